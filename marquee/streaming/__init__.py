@@ -1,0 +1 @@
+"""Streaming: incremental ingestion of raw files dropped into a directory."""
