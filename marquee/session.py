@@ -19,7 +19,15 @@ from pyspark.sql import SparkSession
 # it, splits skewed join partitions (including the left side of a left outer
 # join) and splits or merges ``rebalance`` partitions before a partitioned
 # write. Parquet output is Snappy, the reference lake format.
+#
+# ``minPartitionSize`` bounds how far AQE merges small shuffle partitions.
+# A partitioned lake write creates one file per partition value per task;
+# with the default 1 MB floor a small dataset spread over hundreds of
+# (year, type) directories collapses into one task that creates every
+# file in sequence. A lower floor keeps such writes parallel; on large
+# data partitions are far above either floor, so it changes nothing there.
 SESSION_DEFAULTS: dict[str, str] = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -15,9 +15,16 @@ RAW_SUFFIXES = (".tsv", ".tsv.gz")
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on the file system Spark resolves it on.
 
-    Resolving a text source checks the path without running a job, and
-    works the same for local, HDFS and object-store paths.
+    Asks the Hadoop file system of the path (local, HDFS or object store)
+    through the session's Hadoop configuration. Where no JVM gateway is at
+    hand (Spark Connect), resolving a text source answers the same question
+    without running a job.
     """
+    jvm = getattr(spark, "_jvm", None)
+    jsc = getattr(spark, "_jsc", None)
+    if jvm is not None and jsc is not None:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
     try:
         spark.read.format("text").load(path)
         return True
