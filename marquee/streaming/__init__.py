@@ -1 +1,9 @@
-"""Streaming: incremental ingestion of raw files dropped into a directory."""
+"""Streaming: intentionally empty.
+
+The catalogue pipeline is batch-only: raw files are read whole, datasets
+are rebuilt, and serving tables are refreshed. Nothing in it keeps state
+across arrivals, uses watermarks or reacts to late data, so no streaming
+operator is provided. Re-running the pipeline over a subset of partitions
+is covered by ``write_partitioned(..., mode="dynamic")``, which replaces
+only the partitions present in the new data.
+"""
