@@ -55,39 +55,57 @@ def build_titles_dataset(inputs: dict[str, DataFrame | None]) -> Dataset:
     return Dataset(build_titles(basics, inputs.get(S.RAW_RATINGS)), basics)
 
 
-def build_dependent_datasets(
+def build_episodes_dataset(
     inputs: dict[str, DataFrame | None],
     titles: DataFrame,
     series_type: str = S.SERIES_TYPE,
     episode_type: str = S.EPISODE_TYPE,
-) -> dict[str, Dataset]:
-    """Episodes, names, akas and principals, in the pipeline's order."""
-    out: dict[str, Dataset] = {}
+) -> Dataset:
     episode_raw = inputs.get(S.RAW_EPISODE)
     if episode_raw is not None:
-        out["episodes"] = Dataset(
-            build_episodes(episode_raw, titles, series_type=series_type), episode_raw
-        )
-    else:
-        fallback = build_episodes_from_basics(titles, episode_type=episode_type)
-        out["episodes"] = Dataset(fallback, fallback)
+        return Dataset(build_episodes(episode_raw, titles, series_type=series_type), episode_raw)
+    fallback = build_episodes_from_basics(titles, episode_type=episode_type)
+    return Dataset(fallback, fallback)
+
 
+def build_names_dataset(inputs: dict[str, DataFrame | None]) -> Dataset | None:
     names_raw = inputs.get(S.RAW_NAMES)
-    names = build_names(names_raw) if names_raw is not None else None
-    if names is not None:
-        out["names"] = Dataset(names, names_raw)
+    return None if names_raw is None else Dataset(build_names(names_raw), names_raw)
 
+
+def build_akas_dataset(inputs: dict[str, DataFrame | None]) -> Dataset | None:
     akas_raw = inputs.get(S.RAW_AKAS)
-    if akas_raw is not None:
-        out["akas"] = Dataset(build_akas(akas_raw), akas_raw)
+    return None if akas_raw is None else Dataset(build_akas(akas_raw), akas_raw)
+
 
+def build_principals_dataset(
+    inputs: dict[str, DataFrame | None], names: DataFrame | None, titles: DataFrame
+) -> Dataset | None:
     principals_raw = inputs.get(S.RAW_PRINCIPALS)
-    if principals_raw is not None and names is not None:
-        out["principals"] = Dataset(
-            build_principals(principals_raw, names, titles), principals_raw
-        )
-    elif principals_raw is not None:
+    if principals_raw is None:
+        return None
+    if names is None:
         log.warning("skipping principals: name.basics is not available for the join")
+        return None
+    return Dataset(build_principals(principals_raw, names, titles), principals_raw)
+
+
+def build_dependent_datasets(
+    inputs: dict[str, DataFrame | None],
+    titles: DataFrame,
+    series_type: str = S.SERIES_TYPE,
+    episode_type: str = S.EPISODE_TYPE,
+) -> dict[str, Dataset]:
+    """Episodes, names, akas and principals, in the pipeline's order."""
+    out: dict[str, Dataset] = {
+        "episodes": build_episodes_dataset(inputs, titles, series_type, episode_type)
+    }
+    names = build_names_dataset(inputs)
+    akas = build_akas_dataset(inputs)
+    principals = build_principals_dataset(inputs, names.frame if names else None, titles)
+    for name, ds in (("names", names), ("akas", akas), ("principals", principals)):
+        if ds is not None:
+            out[name] = ds
     return out
 
 
@@ -112,36 +130,36 @@ def run_etl(
 ) -> dict[str, int]:
     """Build and write every dataset the inputs allow; return row counts.
 
-    Titles feed episodes and principals. In ``static`` mode the freshly
-    written titles dataset is read back (columnar, pruned, and no longer
-    dependent on the raw scan and the ratings join), which also cuts the
-    lineage: a lost executor re-reads lake files instead of re-running the
-    raw parse. In ``dynamic`` mode the lake may still hold partitions of an
-    older run, so the dependents use the computed titles instead.
+    Titles feed episodes and principals, names feed principals. In
+    ``static`` mode a freshly written dimension is read back from the lake
+    for its dependents (a pruned columnar scan, no longer dependent on the
+    raw parse and the ratings join), which also cuts the lineage: a lost
+    executor re-reads lake files instead of re-running the raw scan. In
+    ``dynamic`` mode the lake may still hold partitions of an older run, so
+    the dependents use the computed frames instead.
     """
     if S.RAW_BASICS not in inputs or inputs[S.RAW_BASICS] is None:
         raise FileNotFoundError(f"required input {S.RAW_BASICS} is missing")
     counts: dict[str, int] = {}
 
-    titles = build_titles_dataset(inputs)
-    titles_path = lake_path(lake_dir, "titles")
-    counts["titles"] = write_counted(
-        titles.frame, titles_path, S.TITLES.partition_by, mode=mode, probe=titles.probe
-    )
-    titles_frame = titles.frame
-    if mode == "static" and counts["titles"] > 0:
-        titles_frame = read_lake(spark, titles_path, S.TITLES)
-
-    for name, ds in build_dependent_datasets(
-        inputs, titles_frame, series_type, episode_type
-    ).items():
-        counts[name] = write_counted(
-            ds.frame,
-            lake_path(lake_dir, name),
-            S.LAKE[name].partition_by,
-            mode=mode,
-            probe=ds.probe,
-        )
+    def write(name: str, ds: Dataset) -> DataFrame:
+        path = lake_path(lake_dir, name)
+        spec = S.LAKE[name]
+        counts[name] = write_counted(ds.frame, path, spec.partition_by, mode=mode, probe=ds.probe)
+        if mode == "static" and counts[name] > 0:
+            return read_lake(spark, path, spec)
+        return ds.frame
+
+    titles = write("titles", build_titles_dataset(inputs))
+    write("episodes", build_episodes_dataset(inputs, titles, series_type, episode_type))
+    names_ds = build_names_dataset(inputs)
+    names = write("names", names_ds) if names_ds is not None else None
+    akas_ds = build_akas_dataset(inputs)
+    if akas_ds is not None:
+        write("akas", akas_ds)
+    principals_ds = build_principals_dataset(inputs, names, titles)
+    if principals_ds is not None:
+        write("principals", principals_ds)
     for name, rows in counts.items():
         log.info("%s: %s rows", name, f"{rows:,}")
     return counts
