@@ -11,7 +11,7 @@ each *operator* (cleaning, joins, defaults, aggregates) in plain SQL.
 Bindings (driver table -> raw input):
 
 - title.basics     <- part       (p_type is the title type)
-- title.ratings    <- part       (all types but MEDIUM have a rating)
+- title.ratings    <- part       (MEDIUM parts' ratings match no title)
 - title.episode    <- lineitem   (episode = part, parent = part with the
                                   supplier's key; ECONOMY parts are series)
 - name.basics      <- supplier
@@ -90,12 +90,14 @@ BASICS_FROM_PART = {
     "genres": "CASE WHEN p_type = 'SMALL' THEN NULL WHEN p_type = 'PROMO' AND p_size > 25 "
               "THEN '' ELSE replace(p_name, ' ', ',') END",
 }
+# MEDIUM parts get a key no title has: titles without a rating and ratings
+# without a title, over the whole table.
 RATINGS_FROM_PART = {
-    "tconst": "CAST(p_partkey AS STRING)",
+    "tconst": "CASE WHEN p_type = 'MEDIUM' THEN 'r' || CAST(p_partkey AS STRING) "
+              "ELSE CAST(p_partkey AS STRING) END",
     "averageRating": "CAST(p_retailprice / 100 AS STRING)",
     "numVotes": "CAST(p_size * 1000 AS STRING)",
 }
-RATINGS_FILTER = "p_type <> 'MEDIUM'"
 EPISODE_FROM_LINEITEM = {
     "tconst": "CAST(l_partkey AS STRING)",
     "parentTconst": "CAST(l_suppkey AS STRING)",
@@ -178,7 +180,7 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     lineitem = _table(spark, sf_dir, "lineitem")
     return {
         S.RAW_BASICS: part.selectExpr(*_select_list(BASICS_FROM_PART)),
-        S.RAW_RATINGS: part.filter(RATINGS_FILTER).selectExpr(*_select_list(RATINGS_FROM_PART)),
+        S.RAW_RATINGS: part.selectExpr(*_select_list(RATINGS_FROM_PART)),
         S.RAW_EPISODE: lineitem.selectExpr(*_select_list(EPISODE_FROM_LINEITEM)),
         S.RAW_NAMES: _table(spark, sf_dir, "supplier").selectExpr(*_select_list(NAMES_FROM_SUPPLIER)),
         S.RAW_AKAS: _table(spark, sf_dir, "customer").selectExpr(*_select_list(AKAS_FROM_CUSTOMER)),
@@ -493,7 +495,7 @@ def _first_token_sql(c: str) -> str:
 
 
 RAW_BASICS_CTE = ("raw_basics", _sql_proj(BASICS_FROM_PART, "part"))
-RAW_RATINGS_CTE = ("raw_ratings", _sql_proj(RATINGS_FROM_PART, "part", RATINGS_FILTER))
+RAW_RATINGS_CTE = ("raw_ratings", _sql_proj(RATINGS_FROM_PART, "part"))
 RAW_EPISODE_CTE = ("raw_episode", _sql_proj(EPISODE_FROM_LINEITEM, "lineitem"))
 RAW_NAMES_CTE = ("raw_names", _sql_proj(NAMES_FROM_SUPPLIER, "supplier"))
 RAW_AKAS_CTE = ("raw_akas", _sql_proj(AKAS_FROM_CUSTOMER, "customer"))
