@@ -159,3 +159,17 @@ def test_sorted_files(spark):
     for f in files:
         keys = pq.read_table(f, columns=["k"]).column("k").to_pylist()
         assert keys == sorted(keys)
+
+
+def test_series_lookup_prunes_type_partitions(spark, lake, raw):
+    # Episodes built from the lake titles: the series lookup reads only the
+    # tvSeries directories, the episode lookup only the columns it needs.
+    from marquee.operators import build_episodes
+
+    path, _ = lake
+    titles = read_lake(spark, lake_path(path, "titles"), "titles")
+    plan = plan_text(build_episodes(raw[S.RAW_EPISODE], titles))
+    assert "= tvSeries)" in next(
+        l for l in plan.splitlines() if l.startswith("PartitionFilters") and "title_type" in l)
+    assert "ReadSchema: struct<tconst:string,primary_title:string,runtime_minutes:int," \
+           "average_rating:float,num_votes:bigint>" in plan

@@ -54,3 +54,11 @@ def test_missing_required_column_raises(spark, tmp_path):
 
 def test_null_token_constant():
     assert N == S.RAW_NULL_TOKEN == "\\N"
+
+
+def test_quote_on_shifts_unbalanced_row(spark, raw_dir):
+    # With the reader's default quote handling the field opening with '"'
+    # runs to the next quote and swallows the tab: the row shifts.
+    df = read_tsv(spark, str(raw_dir), S.RAW_BASICS, quote='"')
+    row = df.filter("tconst = 'tt06'").first()
+    assert row.primaryTitle != '"Open title' or row.isAdult != "0"
