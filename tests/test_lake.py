@@ -141,10 +141,14 @@ def test_empty_write_writes_nothing(spark, built):
 def test_null_partition_value_reads_back_null(spark, built):
     path = scratch_path(spark, "nullpart")
     titles = built["titles"].withColumn(
-        "title_type", F.when(F.col("tconst") == "tt01", None).otherwise(F.col("title_type")))
+        "title_type",
+        F.when(F.col("tconst") == "tt01", None)
+        .when(F.col("tconst") == "tt06", "")
+        .otherwise(F.col("title_type")))
     write_partitioned(titles, path, S.TITLES.partition_by)
     back = {r.tconst: r.title_type for r in read_lake(spark, path, "titles").collect()}
-    assert back["tt01"] is None and back["tt02"] == "tvSeries"
+    # null and '' both land in the default partition and read back null
+    assert back["tt01"] is None and back["tt06"] is None and back["tt02"] == "tvSeries"
 
 
 def test_sorted_files(spark):
