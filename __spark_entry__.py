@@ -53,7 +53,6 @@ from marquee.operators import (
 )
 from marquee.operators.sinks import layout_for_write
 from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl
-from marquee.plans.etl import lake_path
 from marquee.session import scratch_path
 from marquee.sources import lake_project, read_lake, read_tsv
 

@@ -62,7 +62,13 @@ def build_session(
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory, set up only when the session has none."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context, only the session conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared directory") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
