@@ -329,6 +329,11 @@ def q_runtime_by_group(spark, sf_dir):
     return runtime_by_genre(runtime_titles(spark, sf_dir), RUNTIME_TYPE, MIN_GROUP)
 
 
+def q_runtime_by_group_bounded(spark, sf_dir):
+    return runtime_by_genre(runtime_titles(spark, sf_dir), RUNTIME_TYPE, MIN_GROUP,
+                            median="bounded")
+
+
 def q_top_people_in_categories(spark, sf_dir):
     return top_people_in_categories(_principals(spark, sf_dir), ACTOR_CATEGORIES)
 
@@ -453,6 +458,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_parents_by_child_count": q_top_parents_by_child_count,
     "recent_popularity": q_recent_popularity,
     "runtime_by_group": q_runtime_by_group,
+    "runtime_by_group_bounded": q_runtime_by_group_bounded,
     "top_people_in_categories": q_top_people_in_categories,
     "top_regions": q_top_regions,
     "top_people_typed": q_top_people_typed,
@@ -593,6 +599,14 @@ GROUP BY primary_genre
 ORDER BY title_count DESC, primary_genre ASC NULLS LAST
 LIMIT 20"""
 
+J5_SQL = f"""
+SELECT primary_genre, round(avg(runtime_minutes), 1) AS avg_runtime,
+       quantile_cont(runtime_minutes, 0.5) AS median_runtime, count(*) AS movie_count
+FROM rtitles
+WHERE title_type = '{RUNTIME_TYPE}' AND runtime_minutes IS NOT NULL AND runtime_minutes > 0
+GROUP BY primary_genre HAVING count(*) >= {MIN_GROUP}
+ORDER BY avg_runtime DESC, primary_genre ASC NULLS LAST LIMIT 20"""
+
 SERVING_TITLES_SQL = """
 SELECT coalesce(tconst, '') AS tconst, coalesce(title_type, '') AS title_type,
        coalesce(primary_title, '') AS primary_title,
@@ -635,13 +649,8 @@ FROM episodes WHERE series_title IS NOT NULL AND series_title <> ''
 GROUP BY series_title
 ORDER BY episode_count DESC, series_title ASC NULLS LAST LIMIT 10"""),
     "recent_popularity": _with([ORDERS_TITLES_CTE], J4_SQL),
-    "runtime_by_group": _with([RUNTIME_CTE], f"""
-SELECT primary_genre, round(avg(runtime_minutes), 1) AS avg_runtime,
-       quantile_cont(runtime_minutes, 0.5) AS median_runtime, count(*) AS movie_count
-FROM rtitles
-WHERE title_type = '{RUNTIME_TYPE}' AND runtime_minutes IS NOT NULL AND runtime_minutes > 0
-GROUP BY primary_genre HAVING count(*) >= {MIN_GROUP}
-ORDER BY avg_runtime DESC, primary_genre ASC NULLS LAST LIMIT 20"""),
+    "runtime_by_group": _with([RUNTIME_CTE], J5_SQL),
+    "runtime_by_group_bounded": _with([RUNTIME_CTE], J5_SQL),
     "top_people_in_categories": _with(PRINCIPALS_CTES, f"""
 SELECT primary_name, count(*) AS title_count FROM principals
 WHERE category IN {ACTOR_CATEGORIES!r}

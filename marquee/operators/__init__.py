@@ -20,6 +20,7 @@ from marquee.operators.builders import (
     clean_basics,
 )
 from marquee.operators.joins import left_lookup
+from marquee.operators.median import median_by_group
 from marquee.operators.sinks import layout_for_write, write_counted, write_partitioned
 
 __all__ = [
@@ -34,6 +35,7 @@ __all__ = [
     "genre_popularity",
     "layout_for_write",
     "left_lookup",
+    "median_by_group",
     "runtime_by_genre",
     "top_people_in_categories",
     "top_people_typed",

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import decade
+from marquee.operators.median import median_by_group
 
 
 def _nonempty_text(name: str) -> Column:
@@ -121,44 +122,63 @@ def genre_popularity(
     )
 
 
+MEDIAN_METHODS = ("exact", "bounded", "approx")
+
+
 def runtime_by_genre(
     titles: DataFrame,
     title_type: str = "movie",
     min_count: int = 100,
     limit: int = 20,
-    exact: bool = True,
+    median: str = "exact",
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Average and median runtime per genre for one title type.
 
-    By default the median is exact and interpolating (``percentile(x,
-    0.5)``: {1,2,3,10} gives 2.5). Its partial aggregate keeps one count per
-    *distinct* value per task, so even a genre with a third of all rows only
-    moves a map of distinct runtimes (a few thousand minutes at most), not
-    its rows. For a column whose distinct values grow with the data,
-    ``exact=False`` uses ``percentile_approx`` — a fixed-size sketch per
-    group, like the sampled median of an OLAP engine; it returns an element
-    of the data (no interpolation). Genres with fewer than ``min_count``
-    titles are dropped (HAVING).
+    ``median`` picks how the median is computed:
+
+    * ``"exact"`` (default): ``percentile(x, 0.5)``, exact and interpolating
+      ({1,2,3,10} gives 2.5), one shuffle. Its partial aggregate keeps one
+      count per *distinct* value per task and a group's maps are merged in
+      one task, so that task's state is the number of distinct runtimes of
+      the group (a few thousand minutes), not its rows.
+    * ``"bounded"``: the same exact value from ``median_by_group``, a radix
+      select over a (genre, runtime) histogram; no window partition holds
+      more than 65,536 rows however many distinct values a hot genre has.
+      A few more (small) shuffles.
+    * ``"approx"``: ``percentile_approx``, a fixed-size sketch per group, like
+      the sampled median of an OLAP engine; it returns an element of the
+      data (no interpolation).
+
+    Genres with fewer than ``min_count`` titles are dropped (HAVING).
     """
-    median = (
-        F.median("runtime_minutes")
-        if exact
-        else F.percentile_approx("runtime_minutes", 0.5, accuracy).cast("double")
+    if median not in MEDIAN_METHODS:
+        raise ValueError(f"median must be one of {MEDIAN_METHODS}, got {median!r}")
+    movies = titles.filter(
+        (F.col("title_type") == F.lit(title_type))
+        & F.col("runtime_minutes").isNotNull()
+        & (F.col("runtime_minutes") > F.lit(0))
     )
-    return (
-        titles.filter(
-            (F.col("title_type") == F.lit(title_type))
-            & F.col("runtime_minutes").isNotNull()
-            & (F.col("runtime_minutes") > F.lit(0))
+    if median == "bounded":
+        stats = median_by_group(movies, "primary_genre", "runtime_minutes").select(
+            "primary_genre",
+            F.round(F.col("total") / F.col("n"), 1).alias("avg_runtime"),
+            F.col("median").alias("median_runtime"),
+            F.col("n").alias("movie_count"),
         )
-        .groupBy("primary_genre")
-        .agg(
+    else:
+        median_col = (
+            F.median("runtime_minutes")
+            if median == "exact"
+            else F.percentile_approx("runtime_minutes", 0.5, accuracy).cast("double")
+        )
+        stats = movies.groupBy("primary_genre").agg(
             F.round(F.avg("runtime_minutes"), 1).alias("avg_runtime"),
-            median.alias("median_runtime"),
+            median_col.alias("median_runtime"),
             F.count(F.lit(1)).alias("movie_count"),
         )
-        .filter(F.col("movie_count") >= F.lit(min_count))
+    return (
+        stats.filter(F.col("movie_count") >= F.lit(min_count))
         .orderBy(F.desc("avg_runtime"), F.asc_nulls_last("primary_genre"))
         .limit(limit)
     )

@@ -59,7 +59,7 @@ def test_j5_median_interpolates(spark):
     )
     r = runtime_by_genre(df, min_count=1).first()
     assert r.median_runtime == 2.5 and r.avg_runtime == 4.0
-    approx = runtime_by_genre(df, min_count=1, exact=False).first()
+    approx = runtime_by_genre(df, min_count=1, median="approx").first()
     assert approx.median_runtime == 2.0  # an element of the data, no interpolation
 
 
