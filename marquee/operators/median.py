@@ -71,8 +71,8 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
             F.sum("s").over(whole).alias(_SUM),
         )
         # 0-based ranks of the two middle values (equal when n is odd)
-        .withColumn("k_lo", F.floor((F.col(_N) - 1) / 2))
-        .withColumn("k_hi", F.floor(F.col(_N) / 2))
+        .withColumn("k_lo", F.expr(f"({_N} - 1) div 2"))
+        .withColumn("k_hi", F.expr(f"{_N} div 2"))
     )
 
     def holds(rank: str, lo: str, hi: str):
