@@ -62,3 +62,17 @@ def test_quote_on_shifts_unbalanced_row(spark, raw_dir):
     df = read_tsv(spark, str(raw_dir), S.RAW_BASICS, quote='"')
     row = df.filter("tconst = 'tt06'").first()
     assert row.primaryTitle != '"Open title' or row.isAdult != "0"
+
+
+def test_directory_of_parts_is_one_input(spark, tmp_path):
+    # A large input arrives as many part files (plain or gzip, each with its
+    # header) under the raw name; every part is its own scan split.
+    header, *rows = BASICS
+    part_dir = tmp_path / "title.basics.tsv"
+    part_dir.mkdir()
+    write_tsv(part_dir / "part-0.tsv", [header, *rows[:4]])
+    write_tsv(part_dir / "part-1.tsv.gz", [header, *rows[4:]], gz=True)
+    assert resolve_raw_path(spark, str(tmp_path), S.RAW_BASICS).endswith("title.basics.tsv")
+    df = read_tsv(spark, str(tmp_path), S.RAW_BASICS)
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(r.tconst for r in df.collect()) == sorted(r[0] for r in rows)
