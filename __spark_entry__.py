@@ -226,7 +226,8 @@ _LAKES: dict[tuple, str] = {}
 
 
 def _session_key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir, what)
+    # spark.app.id is set in classic and Spark Connect sessions alike
+    return (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, what)
 
 
 def orders_lake(spark: SparkSession, sf_dir: str) -> str:
