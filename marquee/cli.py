@@ -27,7 +27,7 @@ from marquee.operators import (
 )
 from marquee.plans import read_table, refresh_serving, run_etl_from_dir, validate_counts
 from marquee.plans.etl import counts_frame, lake_path
-from marquee.session import SESSION_DEFAULTS
+from marquee.session import apply_session_defaults, input_bytes, size_shuffles
 from marquee.sources import path_exists, read_lake
 
 REPORTS = {
@@ -43,19 +43,31 @@ REPORTS = {
 
 
 def _session() -> SparkSession:
-    builder = SparkSession.builder.appName("marquee")
-    for key, value in SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+    """The session spark-submit provides; library defaults fill only the
+    settings the cluster left unset."""
+    spark = SparkSession.builder.appName("marquee").getOrCreate()
+    apply_session_defaults(spark)
+    return spark
+
+
+def _size_for(spark: SparkSession, path: str) -> None:
+    """Size the initial shuffle partitions from the input (unless set)."""
+    count = size_shuffles(spark, input_bytes(spark, path))
+    if count is not None:
+        print(f"initial shuffle partitions: {count}", file=sys.stderr)
 
 
 def _etl(spark: SparkSession, args) -> int:
+    if path_exists(spark, args.raw):
+        _size_for(spark, args.raw)
     counts = run_etl_from_dir(spark, args.raw, args.lake, mode=args.mode, quote=args.quote)
     counts_frame(spark, counts).show(truncate=False)
     return 0
 
 
 def _serve(spark: SparkSession, args) -> int:
+    if path_exists(spark, args.lake):
+        _size_for(spark, args.lake)
     refresh_serving(spark, args.lake, args.database, args.location)
     validate_counts(spark, args.database).show(truncate=False)
     return 0

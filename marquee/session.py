@@ -60,6 +60,61 @@ def build_session(
     return spark
 
 
+def _set_by_cluster(spark: SparkSession, key: str) -> bool:
+    """True when the cluster (spark-submit ``--conf``, spark-defaults) set
+    ``key``. Under Spark Connect the launch configuration is not visible, so
+    every key counts as the cluster's and is left alone."""
+    try:
+        return bool(spark.sparkContext.getConf().contains(key))
+    except Exception:
+        return True
+
+
+def apply_session_defaults(spark: SparkSession, defaults: dict[str, str] | None = None) -> None:
+    """Set each of the library's session defaults the cluster has not set."""
+    for key, value in (SESSION_DEFAULTS if defaults is None else defaults).items():
+        if not _set_by_cluster(spark, key):
+            spark.conf.set(key, value)
+
+
+# Shuffle sizing. AQE merges small shuffle partitions but never splits a
+# non-skewed one, so the *initial* partition count bounds the largest task:
+# 100 TB over the default 200 partitions would be 500 GB per task. When the
+# cluster leaves the count unset, it is derived from the input's size.
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+MAX_INITIAL_PARTITIONS = 100_000
+_SIZING_KEYS = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (a metadata call, no job)."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int) -> int | None:
+    """Initial shuffle partition count for ``total_bytes`` of input.
+
+    Only when neither ``spark.sql.shuffle.partitions`` nor AQE's
+    ``initialPartitionNum`` was set by the cluster: then about one partition
+    per 256 MB of input, at least the session's current count and at most
+    100,000, and AQE coalesces down from there. Returns the count set, or
+    ``None`` when the cluster's own setting stays.
+    """
+    if any(_set_by_cluster(spark, k) for k in _SIZING_KEYS):
+        return None
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-max(total_bytes, 0) // SHUFFLE_TARGET_BYTES)
+    count = min(max(current, wanted), MAX_INITIAL_PARTITIONS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
+    return count
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory, set up only when the session has none."""
     try:
