@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIGIT_BITS = 16
 
@@ -41,6 +42,9 @@ _SUM = "_sum"
 def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """``(group, n, total, median)`` per group over the non-null integral
     ``value``: row count, sum (double) and the interpolating median."""
+    value_type = df.schema[value].dataType
+    if not isinstance(value_type, T.IntegralType):
+        raise TypeError(f"median_by_group needs an integral column; {value} is {value_type.simpleString()}")
     bucket = F.shiftright(F.col(value), DIGIT_BITS)
     # The histogram feeds both sides of the join below. Stating the null
     # test the join would infer on one side keeps the two sides' plans equal,

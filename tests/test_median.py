@@ -66,3 +66,13 @@ def test_even_count_interpolates_across_buckets(spark):
                                "g string, v int")
     r = median_by_group(df, "g", "v").first()
     assert (r.n, r.median) == (4, 65_536.0)
+
+
+def test_integral_values_only(spark):
+    import pytest
+
+    df = spark.createDataFrame([("g", 1.5)], "g string, v double")
+    with pytest.raises(TypeError, match="integral"):
+        median_by_group(df, "g", "v")
+    empty = spark.createDataFrame([], "g string, v bigint")
+    assert median_by_group(empty, "g", "v").count() == 0
