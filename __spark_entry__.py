@@ -25,14 +25,22 @@ joined with ``part`` feeds the runtime median report.
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# The package lives next to this file; make it importable however this
+# module is loaded (by name or from its path).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from marquee import schemas as S
-from marquee.operators import (
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from marquee import schemas as S  # noqa: E402
+from marquee.operators import (  # noqa: E402
     avg_rating_by_type,
     build_akas,
     build_episodes,
@@ -51,10 +59,10 @@ from marquee.operators import (
     write_counted,
     write_partitioned,
 )
-from marquee.operators.sinks import layout_for_write
-from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl
-from marquee.session import scratch_path
-from marquee.sources import lake_project, read_lake, read_tsv
+from marquee.operators.sinks import layout_for_write  # noqa: E402
+from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl  # noqa: E402
+from marquee.session import scratch_path  # noqa: E402
+from marquee.sources import lake_project, read_lake, read_tsv  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
