@@ -35,8 +35,11 @@ from pyspark.sql import types as T
 
 DIGIT_BITS = 16
 
+_G = "_group_key"
+_V = "_value"
 _N = "_n"
 _SUM = "_sum"
+_OUTPUT = ("n", "total", "median")
 
 
 def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -45,6 +48,13 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     value_type = df.schema[value].dataType
     if not isinstance(value_type, T.IntegralType):
         raise TypeError(f"median_by_group needs an integral column; {value} is {value_type.simpleString()}")
+    if group in _OUTPUT:
+        raise ValueError(f"group column {group!r} clashes with an output column {_OUTPUT}")
+    # Work on two private names so no input name can clash with the helper
+    # columns below; the group gets its own name back at the end.
+    group_name, value_name = group, value
+    group, value = _G, _V
+    df = df.select(F.col(group_name).alias(group), F.col(value_name).alias(value))
     bucket = F.shiftright(F.col(value), DIGIT_BITS)
     # The histogram feeds both sides of the join below. Stating the null
     # test the join would infer on one side keeps the two sides' plans equal,
@@ -101,7 +111,7 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     ranked = inside.withColumn("v_end", F.col("start") + F.sum("c").over(within)).withColumn(
         "v_start", F.col("v_end") - F.col("c")
     )
-    return ranked.groupBy(group).agg(
+    return ranked.groupBy(F.col(group).alias(group_name)).agg(
         F.max(_N).alias("n"),
         F.max(_SUM).alias("total"),
         (

@@ -76,3 +76,10 @@ def test_integral_values_only(spark):
         median_by_group(df, "g", "v")
     empty = spark.createDataFrame([], "g string, v bigint")
     assert median_by_group(empty, "g", "v").count() == 0
+
+
+def test_input_names_do_not_clash(spark):
+    # Group and value named like the helper's internal columns.
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 5)], "bucket string, c int")
+    got = {r.bucket: (r.n, r.median) for r in median_by_group(df, "bucket", "c").collect()}
+    assert got == {"a": (2, 2.0), "b": (1, 5.0)}
