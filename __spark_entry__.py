@@ -338,9 +338,9 @@ def q_runtime_by_group(spark, sf_dir):
     return runtime_by_genre(runtime_titles(spark, sf_dir), RUNTIME_TYPE, MIN_GROUP)
 
 
-def q_runtime_by_group_bounded(spark, sf_dir):
+def q_runtime_by_group_percentile(spark, sf_dir):
     return runtime_by_genre(runtime_titles(spark, sf_dir), RUNTIME_TYPE, MIN_GROUP,
-                            median="bounded")
+                            median="percentile")
 
 
 def q_top_people_in_categories(spark, sf_dir):
@@ -467,7 +467,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_parents_by_child_count": q_top_parents_by_child_count,
     "recent_popularity": q_recent_popularity,
     "runtime_by_group": q_runtime_by_group,
-    "runtime_by_group_bounded": q_runtime_by_group_bounded,
+    "runtime_by_group_percentile": q_runtime_by_group_percentile,
     "top_people_in_categories": q_top_people_in_categories,
     "top_regions": q_top_regions,
     "top_people_typed": q_top_people_typed,
@@ -659,7 +659,7 @@ GROUP BY series_title
 ORDER BY episode_count DESC, series_title ASC NULLS LAST LIMIT 10"""),
     "recent_popularity": _with([ORDERS_TITLES_CTE], J4_SQL),
     "runtime_by_group": _with([RUNTIME_CTE], J5_SQL),
-    "runtime_by_group_bounded": _with([RUNTIME_CTE], J5_SQL),
+    "runtime_by_group_percentile": _with([RUNTIME_CTE], J5_SQL),
     "top_people_in_categories": _with(PRINCIPALS_CTES, f"""
 SELECT primary_name, count(*) AS title_count FROM principals
 WHERE category IN {ACTOR_CATEGORIES!r}

@@ -122,7 +122,7 @@ def genre_popularity(
     )
 
 
-MEDIAN_METHODS = ("exact", "bounded", "approx")
+MEDIAN_METHODS = ("bounded", "percentile", "approx")
 
 
 def runtime_by_genre(
@@ -130,22 +130,27 @@ def runtime_by_genre(
     title_type: str = "movie",
     min_count: int = 100,
     limit: int = 20,
-    median: str = "exact",
+    median: str = "bounded",
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Average and median runtime per genre for one title type.
 
-    ``median`` picks how the median is computed:
-
-    * ``"exact"`` (default): ``percentile(x, 0.5)``, exact and interpolating
-      ({1,2,3,10} gives 2.5), one shuffle. Its partial aggregate keeps one
-      count per *distinct* value per task and a group's maps are merged in
-      one task, so that task's state is the number of distinct runtimes of
-      the group (a few thousand minutes), not its rows.
-    * ``"bounded"``: the same exact value from ``median_by_group``, a radix
-      select over a (genre, runtime) histogram; no window partition holds
-      more than 65,536 rows however many distinct values a hot genre has.
-      A few more (small) shuffles.
+    The median is exact and interpolating ({1,2,3,10} gives 2.5) unless
+    ``median="approx"``. ``median`` picks the strategy:
+
+    * ``"bounded"`` (default): ``median_by_group``, a radix select over a
+      (genre, runtime) histogram. The input is read and combined map-side
+      once; no task holds more than 65,536 rows of one genre, however many
+      rows or distinct runtimes a hot genre has. Average and count come from
+      the same histogram. Several small shuffles after the first one.
+    * ``"percentile"``: ``percentile(x, 0.5)``, one shuffle. Its state is one
+      count per *distinct* value per group, and all of a group's maps are
+      merged in one task, in object memory that Spark's memory manager does
+      not track. Fine while a genre has a few thousand distinct runtimes; a
+      hot genre with millions of distinct values becomes one long task
+      (30M rows, 10M distinct values in one genre: 26.6 s for that one task
+      against at most 1.7 s per task for ``"bounded"``; with 240 distinct
+      values both take about the same time).
     * ``"approx"``: ``percentile_approx``, a fixed-size sketch per group, like
       the sampled median of an OLAP engine; it returns an element of the
       data (no interpolation).
@@ -169,7 +174,7 @@ def runtime_by_genre(
     else:
         median_col = (
             F.median("runtime_minutes")
-            if median == "exact"
+            if median == "percentile"
             else F.percentile_approx("runtime_minutes", 0.5, accuracy).cast("double")
         )
         stats = movies.groupBy("primary_genre").agg(

@@ -57,8 +57,9 @@ def test_j5_median_interpolates(spark):
         [("movie", "G", m) for m in (1, 2, 3, 10)],
         "title_type string, primary_genre string, runtime_minutes int",
     )
-    r = runtime_by_genre(df, min_count=1).first()
-    assert r.median_runtime == 2.5 and r.avg_runtime == 4.0
+    for method in ("bounded", "percentile"):
+        r = runtime_by_genre(df, min_count=1, median=method).first()
+        assert r.median_runtime == 2.5 and r.avg_runtime == 4.0
     approx = runtime_by_genre(df, min_count=1, median="approx").first()
     assert approx.median_runtime == 2.0  # an element of the data, no interpolation
 

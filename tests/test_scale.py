@@ -85,7 +85,7 @@ def test_median_partial_aggregation(spark):
         "'movie' AS title_type",
         "CASE WHEN id % 3 = 0 THEN 'Drama' ELSE CAST(id % 7 AS STRING) END AS primary_genre",
         "CAST(id % 240 + 1 AS INT) AS runtime_minutes")
-    report = runtime_by_genre(titles, min_count=1)
+    report = runtime_by_genre(titles, min_count=1, median="percentile")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         report.explain("formatted")
