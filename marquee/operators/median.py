@@ -12,13 +12,14 @@ windows:
 1. ``counts``: rows per (group, value). The input passes once, combined
    map-side, and is shuffled on (group, value), so a hot group is spread
    over all tasks by value.
-2. ``buckets``: counts per (group, value >> 16) — at most 65,536 rows per
-   group for 32-bit values. A running sum per group gives each bucket's
-   rank range ``[start, end)``; the (at most two) buckets holding the middle
-   ranks are kept.
-3. The counts inside the kept buckets (at most 65,536 values each) get a
-   running sum per (group, bucket); the values at the two middle ranks are
-   averaged, as the interpolating ``percentile(x, 0.5)`` does.
+2. The counts are shuffled on (group, value >> 16): a running count orders
+   the values inside each bucket (at most 65,536 per window partition), and
+   the same partitions are aggregated in place into one row per bucket.
+3. A running sum over the buckets of a group (at most 65,536 rows for
+   32-bit values) gives each bucket's rank range ``[start, end)``; the (at
+   most two) buckets holding the middle ranks are joined back to the ranked
+   values, and the values at the two middle ranks are averaged, as the
+   interpolating ``percentile(x, 0.5)`` does.
 
 A window partition therefore never holds more than 65,536 rows, however
 large a group is. The result is exact for any integral values; the bound
@@ -56,9 +57,9 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     group, value = _G, _V
     df = df.select(F.col(group_name).alias(group), F.col(value_name).alias(value))
     bucket = F.shiftright(F.col(value), DIGIT_BITS)
-    # The histogram feeds both sides of the join below. Stating the null
-    # test the join would infer on one side keeps the two sides' plans equal,
-    # so Spark reuses the histogram's shuffle and the input is read once.
+    # The ranked histogram feeds both sides of the join below. Stating the
+    # null test the join would infer on one side keeps the two sides' plans
+    # equal, so Spark reuses the shuffle and the input is read once.
     counts = (
         df.filter(F.col(value).isNotNull() & bucket.isNotNull())
         .groupBy(group, value)
@@ -66,14 +67,24 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
         .withColumn("bucket", bucket)
     )
 
+    # Running count of each value inside its bucket: one shuffle by
+    # (group, bucket), at most 65,536 values per window partition. The
+    # bucket table below is aggregated on the same partitioning.
+    within = Window.partitionBy(group, "bucket").orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    ranked = counts.withColumn("in_end", F.sum("c").over(within))
+
     running = Window.partitionBy(group).orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     whole = Window.partitionBy(group)
     buckets = (
-        counts.groupBy(group, "bucket")
+        ranked.groupBy(group, "bucket")
         .agg(
-            F.sum("c").alias("c"),
+            # the running count's last value is the bucket's count; using it
+            # aggregates the window's output in place, on its partitioning
+            F.max("in_end").alias("c"),
             F.sum(F.col(value).cast("double") * F.col("c")).alias("s"),
         )
         .select(
@@ -99,19 +110,16 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     # At most two rows per group, joined back by (group, bucket) — null-safe
     # so that a null group keeps its median. Spark picks the join strategy
     # from the measured size of ``picked``.
-    inside = counts.join(
-        picked,
-        F.col(group).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket")),
-        "inner",
-    ).drop("_group", "_bucket")
-
-    within = Window.partitionBy(group, "bucket").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = inside.withColumn("v_end", F.col("start") + F.sum("c").over(within)).withColumn(
-        "v_start", F.col("v_end") - F.col("c")
+    inside = (
+        ranked.join(
+            picked,
+            F.col(group).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket")),
+            "inner",
+        )
+        .withColumn("v_end", F.col("start") + F.col("in_end"))
+        .withColumn("v_start", F.col("v_end") - F.col("c"))
     )
-    return ranked.groupBy(F.col(group).alias(group_name)).agg(
+    return inside.groupBy(F.col(group).alias(group_name)).agg(
         F.max(_N).alias("n"),
         F.max(_SUM).alias("total"),
         (
