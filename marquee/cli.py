@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from marquee import schemas as S
@@ -44,8 +45,12 @@ REPORTS = {
 
 def _session() -> SparkSession:
     """The session spark-submit provides; library defaults fill only the
-    settings the cluster left unset."""
-    spark = SparkSession.builder.appName("marquee").getOrCreate()
+    settings the cluster left unset. The web UI stays off unless the launch
+    configuration turns it on (``--conf spark.ui.enabled=true``)."""
+    builder = SparkSession.builder.appName("marquee")
+    if not SparkConf().contains("spark.ui.enabled"):
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     apply_session_defaults(spark)
     return spark
 
