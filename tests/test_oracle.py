@@ -30,3 +30,20 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["title_type", "avg_rating", "title_count"]
     assert len(rows) > 0
+
+
+# Reports whose limit is the feature (top-k); no other query may cap rows.
+TOP_K_KEYS = {
+    "top_rated_by_decade", "top_parents_by_child_count", "recent_popularity",
+    "runtime_by_group", "runtime_by_group_percentile", "top_people_in_categories",
+    "top_regions", "top_people_typed", "scan_lake",
+}
+
+
+@pytest.mark.parametrize("key", list(E.queries()))
+def test_no_row_caps_outside_top_k(spark, key):
+    df = E.queries()[key](spark, SF)  # lakes built by the oracle test are reused
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    has_limit = "Limit" in plan
+    assert has_limit == (key in TOP_K_KEYS), plan[:2000]
+    assert "Sample" not in plan
