@@ -31,6 +31,7 @@ from marquee.operators.builders import (
     clean_basics,
 )
 from marquee.operators.sinks import write_counted
+from marquee.session import warn_without_adaptive
 from marquee.sources.lake import read_lake
 from marquee.sources.tsv import read_raw_inputs
 
@@ -147,6 +148,7 @@ def run_etl(
     """
     if S.RAW_BASICS not in inputs or inputs[S.RAW_BASICS] is None:
         raise FileNotFoundError(f"required input {S.RAW_BASICS} is missing")
+    warn_without_adaptive(spark, log)
     counts: dict[str, int] = {}
 
     def write(name: str, ds: Dataset) -> DataFrame:

@@ -10,6 +10,7 @@ shuffle partition instead of a single loader process.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,8 +23,11 @@ from marquee.functions import lenient_cast, unsigned_or_null
 from marquee.operators.sinks import sort_columns, layout_for_write
 from marquee.plans.etl import counts_frame, lake_path
 from marquee.sources.lake import read_lake
+from marquee.session import warn_without_adaptive
 from marquee.sources.tsv import path_exists
 
+log = logging.getLogger(__name__)
+
 
 def _spec(spec: S.ServingSpec | str) -> S.ServingSpec:
     return S.SERVING[spec] if isinstance(spec, str) else spec
@@ -151,6 +155,7 @@ def refresh_serving(
             raise FileNotFoundError(
                 f"required lake dataset missing: {lake_path(lake_dir, required)}"
             )
+    warn_without_adaptive(spark, log)
     create_serving_tables(spark, database, location)
     for spec in S.SERVING.values():
         spark.sql(f"TRUNCATE TABLE {table_name(database, spec)}")

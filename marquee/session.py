@@ -8,6 +8,7 @@ none is set — local runs and tests — a fresh directory is created.
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
@@ -115,6 +116,23 @@ def size_shuffles(spark: SparkSession, total_bytes: int) -> int | None:
     return count
 
 
+def warn_without_adaptive(spark: SparkSession, logger: logging.Logger) -> bool:
+    """Log a warning when AQE is off; return whether it is on.
+
+    Without AQE the ``rebalance`` hint of the writers is a plain hash
+    repartition and skewed join partitions are not split, so a partition
+    value or join key holding a large share of the rows is handled by one
+    task. The setting is the cluster's to make; it is only reported.
+    """
+    enabled = str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
+    if not enabled:
+        logger.warning(
+            "spark.sql.adaptive.enabled is false: hot partition values and hot join keys "
+            "will not be split across tasks"
+        )
+    return enabled
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory, set up only when the session has none."""
     try:

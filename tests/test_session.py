@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from marquee.session import (
     MAX_INITIAL_PARTITIONS,
     SHUFFLE_TARGET_BYTES,
     apply_session_defaults,
     input_bytes,
     size_shuffles,
+    warn_without_adaptive,
 )
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -64,3 +67,12 @@ def test_input_bytes(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "b.tsv").write_text("y" * 24)
     assert input_bytes(spark, str(tmp_path)) == 1024
+
+
+def test_warns_when_adaptive_execution_is_off(caplog):
+    logger = logging.getLogger("marquee.test")
+    with caplog.at_level(logging.WARNING, logger="marquee.test"):
+        assert warn_without_adaptive(_Session({}, {"spark.sql.adaptive.enabled": "true"}), logger)
+        assert not caplog.records
+        assert not warn_without_adaptive(_Session({"spark.sql.adaptive.enabled": "false"}), logger)
+    assert "hot partition values" in caplog.records[0].getMessage()
