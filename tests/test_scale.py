@@ -125,3 +125,40 @@ def test_builder_joins_split_hot_person_and_hot_title(spark, skew_conf):
     assert plan.count("SortMergeJoin(skew=true) LeftOuter") == 2
     assert bridge.count() == ROWS
     assert bridge.filter("primary_name IS NULL OR primary_title IS NULL").count() == 0
+
+
+def test_serving_load_splits_hot_partition_value(spark, skew_conf):
+    # A third of the credits are 'actor': several tasks write that serving
+    # partition, each file still sorted by the table's key.
+    import uuid
+
+    import pyarrow.parquet as pq
+
+    from marquee import schemas as S
+    from marquee.plans import create_serving_tables, load_table
+    from test_lake import parquet_files
+
+    # 1 MB target: the hot value (~6 MB of payload) is above it, each shuffle
+    # partition of cold categories is below it (the fixture restores it)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    db = f"hot_{uuid.uuid4().hex[:8]}"
+    location = scratch_path(spark, "hot-serving")
+    create_serving_tables(spark, db, location, [S.SERVING["principals"]])
+    credits = spark.range(ROWS).selectExpr(
+        "CAST(id % 50000 AS STRING) AS tconst", "CAST(id % 10 AS INT) AS ordering",
+        "CAST(id AS STRING) AS nconst",
+        # only the hot value carries a payload: cold categories stay far
+        # below the advisory size and must keep one file each
+        "CASE WHEN id % 3 = 0 THEN sha2(CAST(id AS STRING), 256) ELSE '' END AS primary_name",
+        "CASE WHEN id % 3 = 0 THEN 'actor' ELSE concat('cat', CAST(id % 200 AS STRING)) END AS category",
+        "'' AS job", "'' AS characters", "'movie' AS title_type", "'' AS primary_title",
+        "'Drama' AS primary_genre", "1950 AS birth_year", "'actor' AS primary_role",
+    )
+    assert load_table(spark, credits, db, "principals")["rows"] == ROWS
+    hot = parquet_files(os.path.join(local(location), "principals", "category=actor"))
+    cold = parquet_files(os.path.join(local(location), "principals", "category=cat1"))
+    assert len(hot) > 1 and len(cold) == 1
+    for f in hot:
+        keys = [(r["tconst"], r["ordering"], r["nconst"])
+                for r in pq.read_table(f, columns=["tconst", "ordering", "nconst"]).to_pylist()]
+        assert keys == sorted(keys)
