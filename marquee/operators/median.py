@@ -30,18 +30,65 @@ same histogram, so the report needs no second pass over the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGIT_BITS = 16
-
-_G = "_group_key"
-_V = "_value"
-_N = "_n"
-_SUM = "_sum"
 _OUTPUT = ("n", "total", "median")
 
+# The three steps above as one statement: a single parse and analysis on the
+# driver instead of one per DataFrame call. ``ranked`` is read twice; its
+# explicit null test on the bucket matches the one the join infers, so both
+# reads plan alike and Spark reuses one shuffle (the input is read once).
+# Input columns are renamed to _g (group) and _v (value) first, so the query
+# never meets a caller's column name.
+_QUERY = """
+WITH counts AS (
+  SELECT _g, _v, count(1) AS c, shiftright(_v, {bits}) AS bucket
+  FROM {{input}}
+  WHERE _v IS NOT NULL AND shiftright(_v, {bits}) IS NOT NULL
+  GROUP BY _g, _v
+),
+ranked AS (
+  SELECT _g, _v, c, bucket,
+         sum(c) OVER (PARTITION BY _g, bucket ORDER BY _v
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS in_end
+  FROM counts
+),
+bucket_totals AS (
+  SELECT _g, bucket, max(in_end) AS bc, sum(CAST(_v AS DOUBLE) * c) AS bs
+  FROM ranked
+  GROUP BY _g, bucket
+),
+bucket_ranges AS (
+  SELECT _g, bucket,
+         (sum(bc) OVER running) - bc AS start,
+         sum(bc) OVER running AS stop,
+         sum(bc) OVER (PARTITION BY _g) AS n,
+         sum(bs) OVER (PARTITION BY _g) AS total
+  FROM bucket_totals
+  WINDOW running AS (PARTITION BY _g ORDER BY bucket
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+picked AS (
+  SELECT _g, bucket, start, n, total, k_lo, k_hi
+  FROM (SELECT *, (n - 1) div 2 AS k_lo, n div 2 AS k_hi FROM bucket_ranges)
+  WHERE (start <= k_lo AND k_lo < stop) OR (start <= k_hi AND k_hi < stop)
+),
+located AS (
+  SELECT r._g, r._v, p.n, p.total, p.k_lo, p.k_hi,
+         p.start + r.in_end - r.c AS v_start, p.start + r.in_end AS v_end
+  FROM ranked r JOIN picked p ON r._g <=> p._g AND r.bucket = p.bucket
+)
+SELECT _g, max(n) AS n, max(total) AS total,
+       (CAST(max(CASE WHEN v_start <= k_lo AND k_lo < v_end THEN _v END) AS DOUBLE)
+        + CAST(max(CASE WHEN v_start <= k_hi AND k_hi < v_end THEN _v END) AS DOUBLE)) / 2.0
+         AS median
+FROM located
+GROUP BY _g
+""".format(bits=DIGIT_BITS)
+
 
 def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """``(group, n, total, median)`` per group over the non-null integral
@@ -51,82 +98,7 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
         raise TypeError(f"median_by_group needs an integral column; {value} is {value_type.simpleString()}")
     if group in _OUTPUT:
         raise ValueError(f"group column {group!r} clashes with an output column {_OUTPUT}")
-    # Work on two private names so no input name can clash with the helper
-    # columns below; the group gets its own name back at the end.
-    group_name, value_name = group, value
-    group, value = _G, _V
-    df = df.select(F.col(group_name).alias(group), F.col(value_name).alias(value))
-    bucket = F.shiftright(F.col(value), DIGIT_BITS)
-    # The ranked histogram feeds both sides of the join below. Stating the
-    # null test the join would infer on one side keeps the two sides' plans
-    # equal, so Spark reuses the shuffle and the input is read once.
-    counts = (
-        df.filter(F.col(value).isNotNull() & bucket.isNotNull())
-        .groupBy(group, value)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("bucket", bucket)
-    )
-
-    # Running count of each value inside its bucket: one shuffle by
-    # (group, bucket), at most 65,536 values per window partition. The
-    # bucket table below is aggregated on the same partitioning.
-    within = Window.partitionBy(group, "bucket").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = counts.withColumn("in_end", F.sum("c").over(within))
-
-    running = Window.partitionBy(group).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    whole = Window.partitionBy(group)
-    buckets = (
-        ranked.groupBy(group, "bucket")
-        .agg(
-            # the running count's last value is the bucket's count; using it
-            # aggregates the window's output in place, on its partitioning
-            F.max("in_end").alias("c"),
-            F.sum(F.col(value).cast("double") * F.col("c")).alias("s"),
-        )
-        .select(
-            group,
-            "bucket",
-            (F.sum("c").over(running) - F.col("c")).alias("start"),
-            F.sum("c").over(running).alias("end"),
-            F.sum("c").over(whole).alias(_N),
-            F.sum("s").over(whole).alias(_SUM),
-        )
-        # 0-based ranks of the two middle values (equal when n is odd)
-        .withColumn("k_lo", F.expr(f"({_N} - 1) div 2"))
-        .withColumn("k_hi", F.expr(f"{_N} div 2"))
-    )
-
-    def holds(rank: str, lo: str, hi: str):
-        return (F.col(lo) <= F.col(rank)) & (F.col(rank) < F.col(hi))
-
-    picked = buckets.filter(holds("k_lo", "start", "end") | holds("k_hi", "start", "end")).select(
-        F.col(group).alias("_group"), F.col("bucket").alias("_bucket"), "start", _N, _SUM,
-        "k_lo", "k_hi",
-    )
-    # At most two rows per group, joined back by (group, bucket) — null-safe
-    # so that a null group keeps its median. Spark picks the join strategy
-    # from the measured size of ``picked``.
-    inside = (
-        ranked.join(
-            picked,
-            F.col(group).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket")),
-            "inner",
-        )
-        .withColumn("v_end", F.col("start") + F.col("in_end"))
-        .withColumn("v_start", F.col("v_end") - F.col("c"))
-    )
-    return inside.groupBy(F.col(group).alias(group_name)).agg(
-        F.max(_N).alias("n"),
-        F.max(_SUM).alias("total"),
-        (
-            (
-                F.max(F.when(holds("k_lo", "v_start", "v_end"), F.col(value))).cast("double")
-                + F.max(F.when(holds("k_hi", "v_start", "v_end"), F.col(value))).cast("double")
-            )
-            / F.lit(2.0)
-        ).alias("median"),
-    )
+    source = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
+    # The DataFrame argument is bound as a temporary view for this statement
+    # only; a null group joins back through the null-safe ``<=>``.
+    return df.sparkSession.sql(_QUERY, input=source).withColumnRenamed("_g", group)
