@@ -83,3 +83,10 @@ def test_input_names_do_not_clash(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 5)], "bucket string, c int")
     got = {r.bucket: (r.n, r.median) for r in median_by_group(df, "bucket", "c").collect()}
     assert got == {"a": (2, 2.0), "b": (1, 5.0)}
+
+
+def test_no_temporary_views_left_behind(spark):
+    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    df = spark.createDataFrame([("g", 1), ("g", 2)], "g string, v int")
+    assert median_by_group(df, "g", "v").first().median == 1.5
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} == before
