@@ -26,6 +26,7 @@ from marquee.operators import (
     top_regions,
     top_series_by_episode_count,
 )
+from marquee.operators.analytics import MEDIAN_METHODS
 from marquee.plans import read_table, refresh_serving, run_etl_from_dir, validate_counts
 from marquee.plans.etl import counts_frame, lake_path
 from marquee.session import apply_session_defaults, input_bytes, size_shuffles
@@ -91,7 +92,8 @@ def _report(spark: SparkSession, args) -> int:
                 continue
             df = read_lake(spark, path, S.LAKE[dataset])
         print(f"== {name}")
-        fn(df).show(truncate=False)
+        report = fn(df, median=args.median) if fn is runtime_by_genre else fn(df)
+        report.show(truncate=False)
     return 0
 
 
@@ -115,6 +117,8 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--lake")
     src.add_argument("--database")
     report.add_argument("--only", nargs="*", choices=list(REPORTS))
+    report.add_argument("--median", choices=MEDIAN_METHODS, default=MEDIAN_METHODS[0],
+                        help="median strategy of runtime_by_genre (exact unless 'approx')")
 
     args = parser.parse_args(argv)
     spark = _session()

@@ -18,4 +18,7 @@ def test_cli_etl_serve_report(spark, raw_dir, capsys, tmp_path):
     assert "== top_regions" in out and "Unknown" in out
     assert main(["report", "--lake", lake, "--only", "top_rated_by_decade"]) == 0
     assert "Alpha" in capsys.readouterr().out
+    for method in ("bounded", "percentile", "approx"):
+        assert main(["report", "--lake", lake, "--only", "runtime_by_genre", "--median", method]) == 0
+        assert "== runtime_by_genre" in capsys.readouterr().out
     assert main(["etl", "--raw", str(tmp_path), "--lake", lake]) == 1
