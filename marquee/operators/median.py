@@ -16,7 +16,7 @@ windows:
    the values inside each bucket (at most 65,536 per window partition), and
    the same partitions are aggregated in place into one row per bucket.
 3. A running sum over the buckets of a group (at most 65,536 rows for
-   32-bit values) gives each bucket's rank range ``[start, end)``; the (at
+   32-bit values) gives each bucket's rank range ``[start, stop)``; the (at
    most two) buckets holding the middle ranks are joined back to the ranked
    values, and the values at the two middle ranks are averaged, as the
    interpolating ``percentile(x, 0.5)`` does.
