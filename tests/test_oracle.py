@@ -52,6 +52,8 @@ def test_no_row_caps_outside_top_k(spark, key):
     has_limit = "Limit" in plan
     assert has_limit == (key in TOP_K_KEYS), plan[:2000]
     assert "Sample" not in plan
+    # no forced broadcast: any broadcast is Spark's size-checked choice
+    assert "strategy=broadcast" not in plan.lower()
     # every query reads the driver's tables, or a lake or serving table
     # that Spark wrote from them (under the scratch directory)
     if key not in COUNT_REPORT_KEYS:
