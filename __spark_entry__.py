@@ -281,6 +281,17 @@ def serving_db(spark: SparkSession, sf_dir: str) -> str:
     return _LAKES[key]
 
 
+def full_serving_db(spark: SparkSession, sf_dir: str) -> str:
+    """A serving database refreshed once, from the full lake."""
+    key = _session_key(spark, sf_dir, "full_serving_db")
+    if key not in _LAKES:
+        database = f"marquee_{uuid.uuid4().hex[:10]}"
+        full_lake, _ = etl_lake(spark, sf_dir, with_all=True)
+        refresh_serving(spark, full_lake, database, scratch_path(spark, "serving-full"))
+        _LAKES[key] = database
+    return _LAKES[key]
+
+
 # --------------------------------------------------------------------------
 # Queries
 # --------------------------------------------------------------------------
@@ -447,6 +458,17 @@ def q_serving_refresh(spark, sf_dir):
     return read_table(spark, serving_db(spark, sf_dir), "titles")
 
 
+def q_serving_top_parents_by_child_count(spark, sf_dir):
+    """J3 over the serving episodes table (the reference's SQL side)."""
+    return top_series_by_episode_count(read_table(spark, full_serving_db(spark, sf_dir), "episodes"))
+
+
+def q_serving_top_people_typed(spark, sf_dir):
+    """J8 over the serving principals table: a missing name is '' there."""
+    return top_people_typed(read_table(spark, full_serving_db(spark, sf_dir), "principals"),
+                            DIRECTOR, SERIES_TYPE)
+
+
 def q_validate_counts(spark, sf_dir):
     from marquee.plans import validate_counts
 
@@ -482,6 +504,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sorted_layout": q_sorted_layout,
     "serving_refresh": q_serving_refresh,
     "validate_counts": q_validate_counts,
+    "serving_top_parents_by_child_count": q_serving_top_parents_by_child_count,
+    "serving_top_people_typed": q_serving_top_people_typed,
 }
 
 
@@ -616,6 +640,24 @@ WHERE title_type = '{RUNTIME_TYPE}' AND runtime_minutes IS NOT NULL AND runtime_
 GROUP BY primary_genre HAVING count(*) >= {MIN_GROUP}
 ORDER BY avg_runtime DESC, primary_genre ASC NULLS LAST LIMIT 20"""
 
+J3_SQL = """
+SELECT series_title, count(*) AS episode_count,
+       round(avg(runtime_minutes), 1) AS avg_runtime_minutes
+FROM episodes WHERE series_title IS NOT NULL AND series_title <> ''
+GROUP BY series_title
+ORDER BY episode_count DESC, series_title ASC NULLS LAST LIMIT 10"""
+
+J8_SQL = f"""
+SELECT primary_name, count(*) AS movie_count FROM {{src}}
+WHERE category = '{DIRECTOR}' AND title_type = '{SERIES_TYPE}'
+GROUP BY primary_name ORDER BY movie_count DESC, primary_name ASC NULLS LAST LIMIT 20"""
+
+# Serving principals: text columns are non-null ('' for null).
+SERVING_PRINCIPALS_CTE = ("sprincipals", """
+SELECT tconst, ordering, nconst, coalesce(primary_name, '') AS primary_name,
+       coalesce(category, '') AS category, coalesce(title_type, '') AS title_type
+FROM principals""")
+
 SERVING_TITLES_SQL = """
 SELECT coalesce(tconst, '') AS tconst, coalesce(title_type, '') AS title_type,
        coalesce(primary_title, '') AS primary_title,
@@ -651,12 +693,7 @@ _ORACLE: dict[str, str] = {
 SELECT title_type, round(avg(average_rating), 2) AS avg_rating, count(*) AS title_count
 FROM titles WHERE average_rating IS NOT NULL
 GROUP BY title_type ORDER BY title_count DESC, title_type ASC NULLS LAST"""),
-    "top_parents_by_child_count": _with(EPISODES_CTES, """
-SELECT series_title, count(*) AS episode_count,
-       round(avg(runtime_minutes), 1) AS avg_runtime_minutes
-FROM episodes WHERE series_title IS NOT NULL AND series_title <> ''
-GROUP BY series_title
-ORDER BY episode_count DESC, series_title ASC NULLS LAST LIMIT 10"""),
+    "top_parents_by_child_count": _with(EPISODES_CTES, J3_SQL),
     "recent_popularity": _with([ORDERS_TITLES_CTE], J4_SQL),
     "runtime_by_group": _with([RUNTIME_CTE], J5_SQL),
     "runtime_by_group_percentile": _with([RUNTIME_CTE], J5_SQL),
@@ -667,10 +704,7 @@ GROUP BY primary_name ORDER BY title_count DESC, primary_name ASC NULLS LAST LIM
     "top_regions": _with([RAW_AKAS_CTE, AKAS_CTE], """
 SELECT region, count(*) AS aka_count FROM akas
 GROUP BY region ORDER BY aka_count DESC, region ASC NULLS LAST LIMIT 20"""),
-    "top_people_typed": _with(PRINCIPALS_CTES, f"""
-SELECT primary_name, count(*) AS movie_count FROM principals
-WHERE category = '{DIRECTOR}' AND title_type = '{SERIES_TYPE}'
-GROUP BY primary_name ORDER BY movie_count DESC, primary_name ASC NULLS LAST LIMIT 20"""),
+    "top_people_typed": _with(PRINCIPALS_CTES, J8_SQL.format(src="principals")),
     "scan_tsv": f"""
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        nullif({SCAN_TSV_NULLED}, 'BUILDING') AS c_mktsegment
@@ -709,6 +743,9 @@ FROM akas"""),
     "serving_refresh": _with([RAW_BASICS_CTE, BASICS_CTE,
                               ("titles_nr", TITLES_NO_RATINGS_SQL)],
                              SERVING_TITLES_SQL.format(src="titles_nr")),
+    "serving_top_parents_by_child_count": _with(EPISODES_CTES, J3_SQL),
+    "serving_top_people_typed": _with(PRINCIPALS_CTES + [SERVING_PRINCIPALS_CTE],
+                                      J8_SQL.format(src="sprincipals")),
     "validate_counts": _with([RAW_BASICS_CTE, BASICS_CTE], f"""
 SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM basics
 UNION ALL SELECT 'episodes', CAST(count(*) AS BIGINT) FROM basics
