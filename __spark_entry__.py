@@ -75,6 +75,7 @@ AS_OF_YEAR = 2001              # the order dates span 1995-2001
 LOOKBACK_YEARS = 2
 RUNTIME_TYPE = "ECONOMY"       # part type standing in for 'movie' in the median report
 MIN_GROUP = 100
+SERVING_MIN_GROUP = 1          # the serving titles have few titles per genre
 ACTOR_CATEGORIES = ("actor", "actress")
 DIRECTOR = "director"
 
@@ -469,6 +470,13 @@ def q_serving_top_people_typed(spark, sf_dir):
                             DIRECTOR, SERIES_TYPE)
 
 
+def q_serving_runtime_by_group(spark, sf_dir):
+    """J5 (bounded median) over the serving titles table, whose runtime
+    column has the 64-bit serving type."""
+    return runtime_by_genre(read_table(spark, full_serving_db(spark, sf_dir), "titles"),
+                            RUNTIME_TYPE, SERVING_MIN_GROUP)
+
+
 def q_validate_counts(spark, sf_dir):
     from marquee.plans import validate_counts
 
@@ -506,6 +514,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_counts": q_validate_counts,
     "serving_top_parents_by_child_count": q_serving_top_parents_by_child_count,
     "serving_top_people_typed": q_serving_top_people_typed,
+    "serving_runtime_by_group": q_serving_runtime_by_group,
 }
 
 
@@ -632,13 +641,14 @@ GROUP BY primary_genre
 ORDER BY title_count DESC, primary_genre ASC NULLS LAST
 LIMIT 20"""
 
-J5_SQL = f"""
+J5_TEMPLATE = f"""
 SELECT primary_genre, round(avg(runtime_minutes), 1) AS avg_runtime,
        quantile_cont(runtime_minutes, 0.5) AS median_runtime, count(*) AS movie_count
-FROM rtitles
+FROM {{src}}
 WHERE title_type = '{RUNTIME_TYPE}' AND runtime_minutes IS NOT NULL AND runtime_minutes > 0
-GROUP BY primary_genre HAVING count(*) >= {MIN_GROUP}
+GROUP BY primary_genre HAVING count(*) >= {{min_group}}
 ORDER BY avg_runtime DESC, primary_genre ASC NULLS LAST LIMIT 20"""
+J5_SQL = J5_TEMPLATE.format(src="rtitles", min_group=MIN_GROUP)
 
 J3_SQL = """
 SELECT series_title, count(*) AS episode_count,
@@ -746,6 +756,8 @@ FROM akas"""),
     "serving_top_parents_by_child_count": _with(EPISODES_CTES, J3_SQL),
     "serving_top_people_typed": _with(PRINCIPALS_CTES + [SERVING_PRINCIPALS_CTE],
                                       J8_SQL.format(src="sprincipals")),
+    "serving_runtime_by_group": _with(TITLES_CTES + [("stitles", SERVING_TITLES_SQL.format(src="titles"))],
+                                      J5_TEMPLATE.format(src="stitles", min_group=SERVING_MIN_GROUP)),
     "validate_counts": _with([RAW_BASICS_CTE, BASICS_CTE], f"""
 SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM basics
 UNION ALL SELECT 'episodes', CAST(count(*) AS BIGINT) FROM basics

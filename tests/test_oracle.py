@@ -37,7 +37,7 @@ TOP_K_KEYS = {
     "top_rated_by_decade", "top_parents_by_child_count", "recent_popularity",
     "runtime_by_group", "runtime_by_group_percentile", "top_people_in_categories",
     "top_regions", "top_people_typed", "scan_lake",
-    "serving_top_parents_by_child_count", "serving_top_people_typed",
+    "serving_top_parents_by_child_count", "serving_top_people_typed", "serving_runtime_by_group",
 }
 
 
