@@ -76,6 +76,8 @@ LOOKBACK_YEARS = 2
 RUNTIME_TYPE = "ECONOMY"       # part type standing in for 'movie' in the median report
 MIN_GROUP = 100
 SERVING_MIN_GROUP = 1          # the serving titles have few titles per genre
+SERVING_MOVIE_TYPE = "ECONOMY" # part-shaped serving titles: a title type with ratings
+SERVING_LOOKBACK_YEARS = 20    # their start years span 1951-2000
 ACTOR_CATEGORIES = ("actor", "actress")
 DIRECTOR = "director"
 
@@ -459,6 +461,30 @@ def q_serving_refresh(spark, sf_dir):
     return read_table(spark, serving_db(spark, sf_dir), "titles")
 
 
+def _serving(spark, sf_dir, name):
+    return read_table(spark, full_serving_db(spark, sf_dir), name)
+
+
+def q_serving_top_rated_by_decade(spark, sf_dir):
+    return top_rated_by_decade(_serving(spark, sf_dir, "titles"), SERVING_MOVIE_TYPE, MIN_VOTES)
+
+
+def q_serving_avg_by_type(spark, sf_dir):
+    return avg_rating_by_type(_serving(spark, sf_dir, "titles"))
+
+
+def q_serving_recent_popularity(spark, sf_dir):
+    return genre_popularity(_serving(spark, sf_dir, "titles"), AS_OF_YEAR, SERVING_LOOKBACK_YEARS)
+
+
+def q_serving_top_people_in_categories(spark, sf_dir):
+    return top_people_in_categories(_serving(spark, sf_dir, "principals"), ACTOR_CATEGORIES)
+
+
+def q_serving_top_regions(spark, sf_dir):
+    return top_regions(_serving(spark, sf_dir, "akas"))
+
+
 def q_serving_top_parents_by_child_count(spark, sf_dir):
     """J3 over the serving episodes table (the reference's SQL side)."""
     return top_series_by_episode_count(read_table(spark, full_serving_db(spark, sf_dir), "episodes"))
@@ -512,9 +538,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sorted_layout": q_sorted_layout,
     "serving_refresh": q_serving_refresh,
     "validate_counts": q_validate_counts,
+    "serving_top_rated_by_decade": q_serving_top_rated_by_decade,
+    "serving_avg_by_type": q_serving_avg_by_type,
     "serving_top_parents_by_child_count": q_serving_top_parents_by_child_count,
-    "serving_top_people_typed": q_serving_top_people_typed,
+    "serving_recent_popularity": q_serving_recent_popularity,
     "serving_runtime_by_group": q_serving_runtime_by_group,
+    "serving_top_people_in_categories": q_serving_top_people_in_categories,
+    "serving_top_regions": q_serving_top_regions,
+    "serving_top_people_typed": q_serving_top_people_typed,
 }
 
 
@@ -623,23 +654,39 @@ TITLES_CTES = [RAW_BASICS_CTE, RAW_RATINGS_CTE, BASICS_CTE, TITLES_CTE]
 EPISODES_CTES = TITLES_CTES + [RAW_EPISODE_CTE, EPISODES_CTE]
 PRINCIPALS_CTES = TITLES_CTES + [RAW_NAMES_CTE, NAMES_CTE, RAW_PRINCIPALS_CTE, PRINCIPALS_CTE]
 
-J1_SQL = f"""
+J1_TEMPLATE = f"""
 SELECT CAST(floor(start_year / 10) * 10 AS INTEGER) AS decade, primary_title, start_year,
        average_rating, num_votes
-FROM otitles
-WHERE title_type = '{MOVIE_TYPE}' AND num_votes >= {MIN_VOTES}
+FROM {{src}}
+WHERE title_type = '{{movie_type}}' AND num_votes >= {MIN_VOTES}
   AND average_rating IS NOT NULL AND start_year > 0
 ORDER BY decade DESC, average_rating DESC, tconst ASC NULLS LAST
 LIMIT 20"""
+J1_SQL = J1_TEMPLATE.format(src="otitles", movie_type=MOVIE_TYPE)
+
+J2_TEMPLATE = """
+SELECT title_type, round(avg(average_rating), 2) AS avg_rating, count(*) AS title_count
+FROM {src} WHERE average_rating IS NOT NULL
+GROUP BY title_type ORDER BY title_count DESC, title_type ASC NULLS LAST"""
 
-J4_SQL = f"""
+J4_TEMPLATE = f"""
 SELECT primary_genre, count(*) AS title_count, round(avg(average_rating), 2) AS avg_rating
-FROM otitles
-WHERE start_year >= {AS_OF_YEAR} - {LOOKBACK_YEARS} AND start_year > 0
+FROM {{src}}
+WHERE start_year >= {AS_OF_YEAR} - {{lookback}} AND start_year > 0
   AND average_rating IS NOT NULL
 GROUP BY primary_genre
 ORDER BY title_count DESC, primary_genre ASC NULLS LAST
 LIMIT 20"""
+J4_SQL = J4_TEMPLATE.format(src="otitles", lookback=LOOKBACK_YEARS)
+
+J6_TEMPLATE = f"""
+SELECT primary_name, count(*) AS title_count FROM {{src}}
+WHERE category IN {ACTOR_CATEGORIES!r}
+GROUP BY primary_name ORDER BY title_count DESC, primary_name ASC NULLS LAST LIMIT 20"""
+
+J7_TEMPLATE = """
+SELECT region, count(*) AS aka_count FROM {src}
+GROUP BY region ORDER BY aka_count DESC, region ASC NULLS LAST LIMIT 20"""
 
 J5_TEMPLATE = f"""
 SELECT primary_genre, round(avg(runtime_minutes), 1) AS avg_runtime,
@@ -682,6 +729,10 @@ SELECT coalesce(tconst, '') AS tconst, coalesce(title_type, '') AS title_type,
 FROM {src}"""
 
 
+SERVING_TITLES_CTES = TITLES_CTES + [("stitles", SERVING_TITLES_SQL.format(src="titles"))]
+SERVING_AKAS_CTE = ("sakas", "SELECT coalesce(region, '') AS region FROM akas")
+
+
 def _count_union(parts: list[tuple[str, str]]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{name}' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM ({sql})"
@@ -699,21 +750,13 @@ _ORACLE: dict[str, str] = {
     "akas_defaults": _with([RAW_AKAS_CTE, AKAS_CTE], "SELECT * FROM akas"),
     "bridge_enriched": _with(PRINCIPALS_CTES, "SELECT * FROM principals"),
     "top_rated_by_decade": _with([ORDERS_TITLES_CTE], J1_SQL),
-    "avg_by_type": _with(TITLES_CTES, """
-SELECT title_type, round(avg(average_rating), 2) AS avg_rating, count(*) AS title_count
-FROM titles WHERE average_rating IS NOT NULL
-GROUP BY title_type ORDER BY title_count DESC, title_type ASC NULLS LAST"""),
+    "avg_by_type": _with(TITLES_CTES, J2_TEMPLATE.format(src="titles")),
     "top_parents_by_child_count": _with(EPISODES_CTES, J3_SQL),
     "recent_popularity": _with([ORDERS_TITLES_CTE], J4_SQL),
     "runtime_by_group": _with([RUNTIME_CTE], J5_SQL),
     "runtime_by_group_percentile": _with([RUNTIME_CTE], J5_SQL),
-    "top_people_in_categories": _with(PRINCIPALS_CTES, f"""
-SELECT primary_name, count(*) AS title_count FROM principals
-WHERE category IN {ACTOR_CATEGORIES!r}
-GROUP BY primary_name ORDER BY title_count DESC, primary_name ASC NULLS LAST LIMIT 20"""),
-    "top_regions": _with([RAW_AKAS_CTE, AKAS_CTE], """
-SELECT region, count(*) AS aka_count FROM akas
-GROUP BY region ORDER BY aka_count DESC, region ASC NULLS LAST LIMIT 20"""),
+    "top_people_in_categories": _with(PRINCIPALS_CTES, J6_TEMPLATE.format(src="principals")),
+    "top_regions": _with([RAW_AKAS_CTE, AKAS_CTE], J7_TEMPLATE.format(src="akas")),
     "top_people_typed": _with(PRINCIPALS_CTES, J8_SQL.format(src="principals")),
     "scan_tsv": f"""
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
@@ -756,8 +799,17 @@ FROM akas"""),
     "serving_top_parents_by_child_count": _with(EPISODES_CTES, J3_SQL),
     "serving_top_people_typed": _with(PRINCIPALS_CTES + [SERVING_PRINCIPALS_CTE],
                                       J8_SQL.format(src="sprincipals")),
-    "serving_runtime_by_group": _with(TITLES_CTES + [("stitles", SERVING_TITLES_SQL.format(src="titles"))],
+    "serving_top_rated_by_decade": _with(SERVING_TITLES_CTES,
+                                         J1_TEMPLATE.format(src="stitles", movie_type=SERVING_MOVIE_TYPE)),
+    "serving_avg_by_type": _with(SERVING_TITLES_CTES, J2_TEMPLATE.format(src="stitles")),
+    "serving_recent_popularity": _with(SERVING_TITLES_CTES,
+                                       J4_TEMPLATE.format(src="stitles", lookback=SERVING_LOOKBACK_YEARS)),
+    "serving_runtime_by_group": _with(SERVING_TITLES_CTES,
                                       J5_TEMPLATE.format(src="stitles", min_group=SERVING_MIN_GROUP)),
+    "serving_top_people_in_categories": _with(PRINCIPALS_CTES + [SERVING_PRINCIPALS_CTE],
+                                              J6_TEMPLATE.format(src="sprincipals")),
+    "serving_top_regions": _with([RAW_AKAS_CTE, AKAS_CTE, SERVING_AKAS_CTE],
+                                 J7_TEMPLATE.format(src="sakas")),
     "validate_counts": _with([RAW_BASICS_CTE, BASICS_CTE], f"""
 SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM basics
 UNION ALL SELECT 'episodes', CAST(count(*) AS BIGINT) FROM basics

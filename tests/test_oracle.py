@@ -38,6 +38,8 @@ TOP_K_KEYS = {
     "runtime_by_group", "runtime_by_group_percentile", "top_people_in_categories",
     "top_regions", "top_people_typed", "scan_lake",
     "serving_top_parents_by_child_count", "serving_top_people_typed", "serving_runtime_by_group",
+    "serving_top_rated_by_decade", "serving_recent_popularity", "serving_top_people_in_categories",
+    "serving_top_regions",
 }
 
 
