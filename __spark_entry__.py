@@ -64,6 +64,20 @@ from marquee.plans import conform, counts_frame, read_table, refresh_serving, ru
 from marquee.session import scratch_path  # noqa: E402
 from marquee.sources import lake_project, read_lake, read_tsv  # noqa: E402
 
+# The text operators and their pipeline are an optional part of the library.
+try:
+    import corpus_pipeline
+    from marquee.llm.queries import ORACLE_SQL as _LLM_ORACLE
+    from marquee.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError as _error:
+    if not (_error.name or "").startswith(("marquee.llm", "corpus_pipeline")):
+        raise
+    _LLM_QUERIES, _LLM_ORACLE = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLE = {**_LLM_ORACLE, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the bindings (test-table values standing in for catalogue ones).
@@ -556,7 +570,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 # --------------------------------------------------------------------------
@@ -821,4 +835,4 @@ UNION ALL SELECT 'principals', CAST(0 AS BIGINT)"""),
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return {**_ORACLE, **_LLM_ORACLE}
