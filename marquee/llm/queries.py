@@ -7,6 +7,7 @@ from marquee.llm.decontamination import find_passages
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.jaccard_join import near_duplicates
 from marquee.llm.kd_sharding import shard_report
+from marquee.llm.lm_scoring import lm_report
 from marquee.llm.mixing import mix_report
 from marquee.llm.substring_dedup import window_report
 from marquee.llm.suffix_dedup import suffix_report
@@ -14,6 +15,10 @@ from marquee.llm.toxicity import toxicity_report
 from marquee.llm.warc import warc_report
 
 
+def op1_lm_scoring(spark, sf_dir):
+    return lm_report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark, sf_dir):
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ def op10_kd_sharding(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_jaccard_join": op4_jaccard_join,

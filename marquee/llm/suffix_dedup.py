@@ -292,6 +292,9 @@ def group_spans(doc_id: np.ndarray, at: np.ndarray, count: np.ndarray, blocks: p
     """(doc_id, start, end) of the later copies within whole groups."""
     data, offsets = text_buffers(blocks)
     order = np.lexsort((at, doc_id))
+    same = np.zeros(len(order), dtype=bool)  # the same place again: a repeated row
+    same[1:] = (doc_id[order[1:]] == doc_id[order[:-1]]) & (at[order[1:]] == at[order[:-1]])
+    order = order[~same]
     size = np.diff(offsets)
     hashes = np.zeros(len(size), dtype=np.uint64)
     hashes[:] = range_hashes(data, offsets[:-1], offsets[1:])

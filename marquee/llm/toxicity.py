@@ -6,9 +6,10 @@ words) is the average of its words' gram vectors (a word that recurs counts once
 into two class probabilities, and embeddings and softmax are trained jointly
 in numpy, so a misspelling never seen shares the vectors of its grams. A
 document is as toxic as its worst segment: one insult in 5,000 words would
-vanish in a document average. Training is multiple-instance: after a first
-pass on all segments, a toxic document teaches by its worst segment, a clean
-one by its worst and some random segments.
+vanish in a document average. Training is multiple-instance: a toxic document teaches by its worst
+segment, a clean one by its worst and some random segments, chosen anew each
+epoch; the first choice is by the grams' log odds, which one dimension of the
+embeddings starts from.
 
 Learning uses a bounded sample of labelled rows (``sample_positive`` and
 ``sample_negative`` rows, chosen by a hash of the id); scoring reads every row
@@ -36,12 +37,14 @@ from marquee.llm.textbytes import LOWER, mix64, range_hashes, row_slices, text_b
 
 BITS = 17
 DIMENSIONS = 8
-SEGMENT_WORDS = 24
+SEGMENT_WORDS = 12
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.3
 SAMPLE_POSITIVE = 2_000
 SAMPLE_NEGATIVE = 4_000
-EPOCHS = 4
+EPOCHS = 6
+PACE = 0.1
+START = 6.0
 MIN_TEXTS = 3
 HELD_OUT = 2
 
@@ -78,7 +81,7 @@ def _gram_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np
     left = lengths[word] - place  # bytes from here to the word's end
     out_id, out_word = [], []
     packed = laid.copy()
-    for n in range(2, max(GRAMS) + 1):
+    for n in range(2, min(max(GRAMS), total) + 1):
         packed[: total - n + 1] |= laid[n - 1 :] << np.uint64(8 * (n - 1))
         if n in GRAMS:
             here = np.flatnonzero(left[: max(total - n + 1, 0)] >= n)
@@ -209,7 +212,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, positive: int, nega
 class _Sample:
     """Distinct words of the sample as gram lists; texts as word ids."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, classes: np.ndarray):
         data, offsets = text_buffers(texts)
         hashes, grams, first, words = [], {}, [np.zeros(1, dtype=np.int64)], 0
         spelled: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -239,6 +242,11 @@ class _Sample:
         texts_of = np.bincount(pairs % max(len(every), 1), minlength=len(every))
         owner = np.repeat(np.arange(len(every)), self._count)
         spread = np.bincount(gram_ids, texts_of[owner], 1 << BITS)
+        toxic_of = np.bincount(pairs % max(len(every), 1), classes[pairs // max(len(every), 1)], len(every))
+        toxic = np.bincount(gram_ids, toxic_of[owner], 1 << BITS)
+        ratio = max(toxic_of.sum(), 1.0) / max((texts_of - toxic_of).sum(), 1.0)
+        # log odds of each gram by the texts that hold it
+        self.odds = np.log((toxic + 1.0) / (ratio * (spread - toxic) + 1.0))
         known = spread[gram_ids] >= MIN_TEXTS
         self.gram_ids = gram_ids[known]
         self.gram_count = np.bincount(owner[known], minlength=len(every))
@@ -275,12 +283,15 @@ def train(texts: pa.Array, classes: np.ndarray, seed: int = 7, epochs: int = EPO
     rng = np.random.default_rng(seed)
     # few examples are shown more often, for about as many steps
     epochs *= int(np.clip(SAMPLE_POSITIVE // max(int(classes.sum()), 1), 1, 3))
-    sample = _Sample(texts)
+    sample = _Sample(texts, classes)
     start, end, row = _segments(sample.first)
     toxic = classes[row]
     embed = rng.normal(0, 0.1, (size, DIMENSIONS))
     soft = rng.normal(0, 0.5, (DIMENSIONS, 2))
-    bias = np.zeros(2)
+    # the first dimension starts from the grams' log odds, so that the first
+    # choice of worst segments is an informed one
+    embed[:, 0], soft[0] = sample.odds, (-START, START)
+    bias = np.array([0.0, prior])
     square = np.full((size, DIMENSIONS), 1e-6)
     square_soft, square_bias = np.full((DIMENSIONS, 2), 1e-6), np.full(2, 1e-6)
     heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, np.int64)
@@ -309,21 +320,14 @@ def train(texts: pa.Array, classes: np.ndarray, seed: int = 7, epochs: int = EPO
         per_word = sample.word_values(embed @ (soft[:, 1] - soft[:, 0]))
         return _segment_values(per_word[sample.word], sample.previous, start, end) + bias[1] - bias[0]
 
-    for epoch in range(epochs + 1):
-        if epoch == 0:  # every toxic segment against as many clean ones, twice
-            clean = np.flatnonzero(toxic == 0)
-            bad = np.flatnonzero(toxic == 1)
-            keep = rng.permutation(clean)[: 2 * len(bad) + 1]
-            chosen = np.concatenate((bad, keep))
-        else:
-            value = values()
-            worst = np.repeat(np.maximum.reduceat(value, heads), np.diff(np.concatenate((heads, [len(row)]))))
-            top = np.flatnonzero(value >= worst)
-            some = rng.permutation(np.flatnonzero(toxic == 0))[: len(heads)]
-            chosen = np.concatenate((top, some))
-        chosen = rng.permutation(chosen)
+    for epoch in range(epochs + 1 if len(row) else 0):
+        value = values()
+        worst = np.repeat(np.maximum.reduceat(value, heads), np.diff(np.concatenate((heads, [len(row)]))))
+        top = np.flatnonzero(value >= worst)
+        some = rng.permutation(np.flatnonzero(toxic == 0))[: len(heads)]
+        chosen = rng.permutation(np.concatenate((top, some)))
         for at in range(0, len(chosen), 256):
-            step(chosen[at : at + 256], 0.3 if epoch < epochs else 0.1)
+            step(chosen[at : at + 256], PACE if epoch < epochs else PACE / 3)
     seen = np.zeros(size, dtype=bool)
     seen[sample.gram_ids] = True
     return Model(np.where(seen, embed @ (soft[:, 1] - soft[:, 0]), 0.0), float(bias[1] - bias[0]))

@@ -1,0 +1,99 @@
+"""The pipeline, stage by stage, against what each stage must keep."""
+
+import random
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as P
+from .conftest import DOCUMENTS, sentence
+from .test_jaccard_join import brute as components
+
+
+@pytest.fixture(scope="module")
+def made(workers, tmp_path_factory):
+    rng = random.Random(8)
+    root = tmp_path_factory.mktemp("corpus")
+    docs, labels = [], []
+    items = [(i, sentence(rng, 25, 5_000)) for i in range(6)]
+    for d in range(360):
+        text = sentence(rng, rng.randrange(20, 200), 3_000)
+        toxic = int(d % 6 == 0)
+        if toxic:
+            w = text.split()
+            w[rng.randrange(len(w))] = "zorgul" + rng.choice(["", "a", "en"])
+            text = " ".join(w)
+        elif d % 17 == 1:
+            text += "\n" + items[d % 6][1] + " " + sentence(rng, 10, 3_000)
+        elif d % 13 == 2 and d > 50:
+            text = next(t for i, t, *_ in docs if i == d - 39 or i % 6 == 3)
+            text = text + " tail" if d % 2 else text
+        docs.append((d, text, "en", f"s{d % 4}", len(text)))
+        labels.append((d, 1, toxic))
+    docs.append((400, None, None, None, 0))
+    workers.createDataFrame(docs, DOCUMENTS).repartition(3).write.parquet(f"{root}/documents.parquet")
+    workers.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{root}/labels.parquet")
+    workers.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{root}/benchmark.parquet")
+    return str(root), docs, {d for d, _, t in labels if t}, items
+
+
+def test_stages(workers, made):
+    sf_dir, docs, toxic, items = made
+    frame = workers.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = [frame]
+    for name, stage in P.STAGES:
+        out = stage(workers, kept[-1], sf_dir)
+        path = f"{sf_dir}/out-{name}"
+        out.write.mode("overwrite").parquet(path)
+        kept.append(workers.read.parquet(path))
+        if name != P.STAGES[-1][0]:
+            assert kept[-1].columns == frame.columns
+    ids = [{r.doc_id for r in k.select("doc_id").collect()} for k in kept]
+    text = {d: t for d, t, *_ in docs}
+    # 1: toxic documents go, clean ones stay
+    gone = ids[0] - ids[1]
+    assert len(gone & toxic) >= 0.9 * len(toxic) and len(gone - toxic) <= 0.02 * len(ids[0])
+    # 2: exactly one of each component stays, the smallest id
+    want = components([(d, text[d]) for d in sorted(ids[1])])
+    assert ids[2] == {d for d, (_, c) in want.items() if c == d}
+    assert len(ids[2]) < len(ids[1])
+    # 3: exactly the documents that hold an item go
+    holds = {d for d in ids[2] if any(t in (text[d] or "") for _, t in items)}
+    assert holds and ids[3] == ids[2] - holds
+    # 4: every source's words come to its target, nothing above three times
+    from marquee.llm.mixing import source_targets
+
+    size = {d: len((text[d] or "").split()) for d in ids[3]}
+    by_source = Counter()
+    for d, _, _, s, _ in docs:
+        if d in ids[3]:
+            by_source[s] += size[d]
+    taken, per_doc = Counter(), Counter()
+    for r in kept[4].collect():
+        n = len((r.text or "").split())
+        taken[r.source] += n
+        per_doc[r.doc_id] += n
+    assert all(abs(taken[s] - t) <= 1 for s, _, t in source_targets(list(by_source.items())))
+    assert all(n <= 3 * size[d] for d, n in per_doc.items())
+    # 5: each row gets a place in one of 16 shards
+    rows = kept[5].toPandas()
+    assert len(rows) == kept[4].count()
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in rows.groupby("shard"))
+    assert Counter(rows.doc_id) == Counter(r.doc_id for r in kept[4].select("doc_id").collect())
+
+
+def test_run_equals_its_stages(workers, made):
+    sf_dir = made[0]
+    got = P.run(workers, sf_dir)
+    again = workers.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in P.STAGES:
+        again = stage(workers, again, sf_dir)
+    drop = lambda df: sorted((r.doc_id, r["size"], r.text_crc32, r.shard) for r in df.collect())
+    assert drop(got) == drop(again)
+
+
+def test_empty_input(workers, tmp_path, made):
+    empty = workers.createDataFrame([], DOCUMENTS)
+    for name, stage in P.STAGES:
+        empty = stage(workers, empty, made[0])
+        assert empty.count() == 0, name

@@ -1,0 +1,95 @@
+import random
+
+import pytest
+
+from marquee.llm.decontamination import banded_distances, contaminated, edit_budget, find_passages
+from .conftest import sentence
+
+import numpy as np
+
+
+def normal(t):
+    return " ".join((t or "").split(" ")).lower()
+
+
+def edits(item: bytes, text: bytes) -> int:
+    """Fewest edits of item against any part of text, by the full table."""
+    cost = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(cost[j - 1] + (c != d), cost[j] + 1, new[j - 1] + 1))
+        cost = new
+    return min(cost)
+
+
+def planted(seed=2):
+    rng = random.Random(seed)
+    items = [(i, sentence(rng, 12 + 2 * i, 5_000)) for i in range(8)] + [(90, None), (91, ""), (92, "short"), (93, "exactly8")]
+    docs = [(0, None), (1, ""), (2, "tiny"), (3, "has exactly8 inside")]
+    for d in range(4, 60):
+        i, item = items[rng.randrange(8)]
+        chars = list(item)
+        budget = edit_budget(len(item))
+        for _ in range(rng.choice([0, 0, 1, 2, budget // 2, budget, 2 * budget, 4 * budget])):
+            at = rng.randrange(len(chars))
+            chars[at : at + rng.randrange(0, 2)] = rng.choice(["", "q", "zz"])
+        text = "".join(chars)
+        text = text.upper() if d % 7 == 0 else text.replace(" ", "  \n") if d % 5 == 0 else text
+        docs.append((d, sentence(rng, rng.randrange(0, 40), 5_000) + " " + text + " " + sentence(rng, rng.randrange(0, 40), 5_000)))
+    docs += [(d, sentence(rng, 200, 5_000)) for d in range(60, 80)]
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_matches_full_table(workers, seed):
+    docs, items = planted(seed)
+    want = {}
+    for d, t in docs:
+        text = " ".join((t or "").split()).lower().encode()
+        for i, item in items:
+            goal = " ".join((item or "").split()).lower().encode()
+            if len(goal) >= 8:
+                n = edits(goal, text)
+                if n <= edit_budget(len(goal)):
+                    want[d, i] = n
+    frame = workers.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = workers.createDataFrame(items, "item_id long, text string")
+    for block in (8 << 20, 100):
+        got = {(r.doc_id, r.item_id): r.distance for r in find_passages(frame, bench, block_bytes=block).collect()}
+        assert got == want
+    assert len(want) > 20
+    assert {r.doc_id for r in contaminated(frame, bench).collect()} == {d for d, _ in want}
+
+
+def test_places(workers):
+    text = "é é  Prefix here THE  Passage\nitself comes next and ends here. tail"
+    item = "the passage itself comes next"
+    frame = workers.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = workers.createDataFrame([(7, item)], "item_id long, text string")
+    r = find_passages(frame, bench).first()
+    assert text.encode()[r.start_byte : r.end_byte].decode() == "THE  Passage\nitself comes next"
+
+
+def test_accented_capitals(workers):
+    frame = workers.createDataFrame([(1, "x " + "ÉÀÜÑ éàüñ OUÇ à la ÈÊÏ".lower() + " y")], "doc_id long, text string")
+    bench = workers.createDataFrame([(7, "ÉÀÜÑ éàüñ OUÇ à la ÈÊÏ")], "item_id long, text string")
+    assert find_passages(frame, bench).first().distance == 0
+
+
+def test_band_of_one_candidate():
+    text = np.frombuffer(b"xxabcdefghijyy", dtype=np.uint8)
+    one = lambda x: np.array([x])
+    assert banded_distances([b"abcdefghij"], text, one(0), one(14), one(2), one(1), one(0)) == [(0, 2, 12)]
+    assert banded_distances([b"abXdefghij"], text, one(0), one(14), one(2), one(1), one(0)) == [None]
+    assert banded_distances([b"abXdefghij"], text, one(0), one(14), one(2), one(1), one(1))[0][0] == 1
+
+
+def test_shapes(workers, empty, clashing, with_nulls, rows):
+    item = rows[[i for i, r in enumerate(rows) if r[1] and len(r[1]) > 600][0]][1][:300]
+    bench = workers.createDataFrame([(1, item), (1, item), (None, item), (2, None)], "item_id long, text string")
+    assert find_passages(empty, bench).count() == 0
+    assert find_passages(with_nulls, bench.limit(0)).count() == 0
+    got = find_passages(with_nulls, bench).collect()
+    assert {r.item_id for r in got} == {1, None}
+    assert find_passages(clashing, bench).count() >= 3
