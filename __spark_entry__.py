@@ -61,6 +61,7 @@ from marquee.operators import (  # noqa: E402
 )
 from marquee.operators.sinks import layout_for_write  # noqa: E402
 from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl  # noqa: E402
+from marquee.plans.etl import lake_path  # noqa: E402
 from marquee.session import scratch_path  # noqa: E402
 from marquee.sources import lake_project, read_lake, read_tsv  # noqa: E402
 
@@ -265,20 +266,22 @@ def orders_lake(spark: SparkSession, sf_dir: str) -> str:
     return _LAKES[key]
 
 
-def etl_lake(spark: SparkSession, sf_dir: str, with_all: bool = True) -> tuple[str, dict]:
+def etl_lake(
+    spark: SparkSession, sf_dir: str, with_all: bool = True, mode: str = "static"
+) -> tuple[str, dict]:
     """Run the whole pipeline on the bound raw inputs into a fresh lake.
 
     ``with_all=False`` runs it with title.basics only (no ratings, episodes,
     names, akas or principals): titles without ratings and the episode
     fallback.
     """
-    key = _session_key(spark, sf_dir, f"etl_lake_{with_all}")
+    key = _session_key(spark, sf_dir, f"etl_lake_{with_all}_{mode}")
     if key not in _LAKES:
         raw = raw_inputs(spark, sf_dir)
         if not with_all:
             raw = {S.RAW_BASICS: raw[S.RAW_BASICS]}
         path = scratch_path(spark, "etl-lake")
-        counts = run_etl(spark, raw, path, series_type=SERIES_TYPE, episode_type=EPISODE_TYPE)
+        counts = run_etl(spark, raw, path, mode=mode, series_type=SERIES_TYPE, episode_type=EPISODE_TYPE)
         _LAKES[key] = (path, counts)
     return _LAKES[key]
 
@@ -461,6 +464,38 @@ def q_conform_schema(spark, sf_dir):
     return conform(_akas(spark, sf_dir), "akas")
 
 
+# Values outside the serving ranges (and nulls) over the whole customer table.
+OUT_OF_RANGE_REGION = "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END"
+OUT_OF_RANGE_ORDERING = "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey * 100 - 2000 END"
+OUT_OF_RANGE_FLAG = "CAST(c_custkey % 400 - 20 AS INT)"
+
+
+def q_conform_out_of_range(spark, sf_dir):
+    """Conformed akas rows whose numbers leave the unsigned ranges: the values
+    are kept, the flags count them."""
+    akas = _table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS title_id", f"CAST({OUT_OF_RANGE_ORDERING} AS INT) AS ordering",
+        "c_name AS title", f"{OUT_OF_RANGE_REGION} AS region", "'' AS language", "'' AS types",
+        f"{OUT_OF_RANGE_FLAG} AS is_original_title")
+    flagged = conform(akas, "akas", with_flags=True)
+    return flagged.groupBy("region").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("ordering").alias("ordering_sum"),
+        F.sum(F.col("_out_of_range_ordering").cast("long")).alias("ordering_out_of_range"),
+        F.sum(F.col("_out_of_range_is_original_title").cast("long")).alias("flag_out_of_range"))
+
+
+def _lake_dataset(name: str, mode: str = "static"):
+    def query(spark, sf_dir):
+        lake, _ = etl_lake(spark, sf_dir, mode=mode)
+        return read_lake(spark, lake_path(lake, name), name)
+
+    return query
+
+
+def _serving_dataset(name: str):
+    return lambda spark, sf_dir: read_table(spark, full_serving_db(spark, sf_dir), name)
+
+
 def q_sorted_layout(spark, sf_dir):
     """Serving layout of the orders titles written to files and read back."""
     spec = S.SERVING["titles"]
@@ -511,7 +546,7 @@ def q_serving_top_people_typed(spark, sf_dir):
 
 
 def q_serving_runtime_by_group(spark, sf_dir):
-    """J5 (bounded median) over the serving titles table, whose runtime
+    """J5 over the serving titles table, whose runtime
     column has the 64-bit serving type."""
     return runtime_by_genre(read_table(spark, full_serving_db(spark, sf_dir), "titles"),
                             RUNTIME_TYPE, SERVING_MIN_GROUP)
@@ -549,6 +584,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "guarded_write_count": q_guarded_write_count,
     "etl_counts": q_etl_counts,
     "conform_schema": q_conform_schema,
+    "conform_out_of_range": q_conform_out_of_range,
+    "lake_episodes": _lake_dataset("episodes"),
+    "lake_names": _lake_dataset("names"),
+    "lake_principals": _lake_dataset("principals"),
+    "lake_principals_dynamic": _lake_dataset("principals", "dynamic"),
+    "serving_episodes": _serving_dataset("episodes"),
+    "serving_names": _serving_dataset("names"),
+    "serving_akas": _serving_dataset("akas"),
+    "serving_principals": _serving_dataset("principals"),
     "sorted_layout": q_sorted_layout,
     "serving_refresh": q_serving_refresh,
     "validate_counts": q_validate_counts,
@@ -725,26 +769,44 @@ GROUP BY primary_name ORDER BY movie_count DESC, primary_name ASC NULLS LAST LIM
 
 # Serving principals: text columns are non-null ('' for null).
 SERVING_PRINCIPALS_CTE = ("sprincipals", """
-SELECT tconst, ordering, nconst, coalesce(primary_name, '') AS primary_name,
-       coalesce(category, '') AS category, coalesce(title_type, '') AS title_type
+SELECT coalesce(tconst, '') AS tconst, coalesce(ordering, 0) AS ordering, coalesce(nconst, '') AS nconst,
+       coalesce(primary_name, '') AS primary_name, coalesce(nullif(category, ''), 'Unknown') AS category,
+       coalesce(job, '') AS job, coalesce(characters, '') AS characters,
+       coalesce(title_type, '') AS title_type, coalesce(primary_title, '') AS primary_title,
+       coalesce(primary_genre, '') AS primary_genre, birth_year, coalesce(primary_role, '') AS primary_role
 FROM principals""")
+SERVING_EPISODES_SQL = """
+SELECT coalesce(episode_tconst, '') AS episode_tconst, coalesce(parent_tconst, '') AS parent_tconst,
+       season_number, episode_number, coalesce(episode_title, '') AS episode_title,
+       coalesce(series_title, '') AS series_title, coalesce(start_year, 0) AS start_year,
+       coalesce(primary_genre, '') AS primary_genre, average_rating, num_votes,
+       CAST(runtime_minutes AS BIGINT) AS runtime_minutes
+FROM episodes"""
+SERVING_NAMES_SQL = """
+SELECT coalesce(nconst, '') AS nconst, coalesce(primary_name, '') AS primary_name, birth_year, death_year,
+       coalesce(primary_profession, '') AS primary_profession,
+       coalesce(nullif(primary_role, ''), 'Unknown') AS primary_role,
+       coalesce(known_for_titles, '') AS known_for_titles
+FROM names"""
+SERVING_AKAS_SQL = """
+SELECT coalesce(title_id, '') AS title_id, coalesce(ordering, 0) AS ordering, coalesce(title, '') AS title,
+       coalesce(nullif(region, ''), 'Unknown') AS region, coalesce(language, '') AS language,
+       coalesce(types, '') AS types, coalesce(CAST(is_original_title AS SMALLINT), 0::SMALLINT) AS is_original_title
+FROM akas"""
 
 SERVING_TITLES_SQL = """
 SELECT coalesce(tconst, '') AS tconst, coalesce(title_type, '') AS title_type,
        coalesce(primary_title, '') AS primary_title,
        coalesce(original_title, '') AS original_title,
-       CASE WHEN start_year BETWEEN 0 AND 65535 THEN start_year END AS start_year,
-       CASE WHEN end_year BETWEEN 0 AND 65535 THEN end_year END AS end_year,
-       CASE WHEN runtime_minutes BETWEEN 0 AND 4294967295
-            THEN CAST(runtime_minutes AS BIGINT) END AS runtime_minutes,
+       coalesce(start_year, 0) AS start_year, end_year,
+       CAST(runtime_minutes AS BIGINT) AS runtime_minutes,
        coalesce(genres, '') AS genres, coalesce(primary_genre, '') AS primary_genre,
-       average_rating,
-       CASE WHEN num_votes BETWEEN 0 AND 4294967295 THEN num_votes END AS num_votes
+       average_rating, num_votes
 FROM {src}"""
 
 
 SERVING_TITLES_CTES = TITLES_CTES + [("stitles", SERVING_TITLES_SQL.format(src="titles"))]
-SERVING_AKAS_CTE = ("sakas", "SELECT coalesce(region, '') AS region FROM akas")
+SERVING_AKAS_CTE = ("sakas", "SELECT coalesce(nullif(region, ''), 'Unknown') AS region FROM akas")
 
 
 def _count_union(parts: list[tuple[str, str]]) -> str:
@@ -797,15 +859,22 @@ UNION ALL SELECT 'empty' AS dataset, CAST(0 AS BIGINT) AS rows""",
                             ("akas", "SELECT * FROM akas"),
                             ("principals", "SELECT * FROM principals"),
                         ])),
-    "conform_schema": _with([RAW_AKAS_CTE, AKAS_CTE], """
-SELECT coalesce(title_id, '') AS title_id,
-       coalesce(CASE WHEN ordering BETWEEN 0 AND 65535 THEN ordering END, 0) AS ordering,
-       coalesce(title, '') AS title, coalesce(region, '') AS region,
-       coalesce(language, '') AS language, coalesce(types, '') AS types,
-       coalesce(CASE WHEN is_original_title BETWEEN 0 AND 255
-                     THEN CAST(is_original_title AS SMALLINT) END,
-                CAST(0 AS SMALLINT)) AS is_original_title
-FROM akas"""),
+    "conform_schema": _with([RAW_AKAS_CTE, AKAS_CTE], SERVING_AKAS_SQL),
+    "conform_out_of_range": f"""
+SELECT region, count(*) AS rows, sum(coalesce(ordering, 0)) AS ordering_sum,
+       sum(CASE WHEN ordering < 0 OR ordering > 65535 THEN 1 ELSE 0 END) AS ordering_out_of_range,
+       sum(CASE WHEN flag < 0 OR flag > 255 THEN 1 ELSE 0 END) AS flag_out_of_range
+FROM (SELECT coalesce(nullif({OUT_OF_RANGE_REGION}, ''), 'Unknown') AS region,
+             CAST({OUT_OF_RANGE_ORDERING} AS BIGINT) AS ordering, {OUT_OF_RANGE_FLAG} AS flag FROM customer)
+GROUP BY region""",
+    "lake_episodes": _with(EPISODES_CTES, "SELECT * REPLACE (nullif(primary_genre, '') AS primary_genre) FROM episodes"),
+    "lake_names": _with([RAW_NAMES_CTE, NAMES_CTE], "SELECT * REPLACE (nullif(primary_role, '') AS primary_role) FROM names"),
+    "lake_principals": _with(PRINCIPALS_CTES, "SELECT * REPLACE (nullif(category, '') AS category) FROM principals"),
+    "lake_principals_dynamic": _with(PRINCIPALS_CTES, "SELECT * REPLACE (nullif(category, '') AS category) FROM principals"),
+    "serving_episodes": _with(EPISODES_CTES, SERVING_EPISODES_SQL),
+    "serving_names": _with([RAW_NAMES_CTE, NAMES_CTE], SERVING_NAMES_SQL),
+    "serving_akas": _with([RAW_AKAS_CTE, AKAS_CTE], SERVING_AKAS_SQL),
+    "serving_principals": _with(PRINCIPALS_CTES + [SERVING_PRINCIPALS_CTE], "SELECT * FROM sprincipals"),
     "sorted_layout": _with([ORDERS_TITLES_CTE], SERVING_TITLES_SQL.format(src="otitles")),
     "serving_refresh": _with([RAW_BASICS_CTE, BASICS_CTE,
                               ("titles_nr", TITLES_NO_RATINGS_SQL)],
@@ -825,12 +894,12 @@ FROM akas"""),
     "serving_top_regions": _with([RAW_AKAS_CTE, AKAS_CTE, SERVING_AKAS_CTE],
                                  J7_TEMPLATE.format(src="sakas")),
     "validate_counts": _with([RAW_BASICS_CTE, BASICS_CTE], f"""
-SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM basics
-UNION ALL SELECT 'episodes', CAST(count(*) AS BIGINT) FROM basics
+SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS out_of_range FROM basics
+UNION ALL SELECT 'episodes', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM basics
     WHERE title_type = '{EPISODE_TYPE}'
-UNION ALL SELECT 'names', CAST(0 AS BIGINT)
-UNION ALL SELECT 'akas', CAST(0 AS BIGINT)
-UNION ALL SELECT 'principals', CAST(0 AS BIGINT)"""),
+UNION ALL SELECT 'names', CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+UNION ALL SELECT 'akas', CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+UNION ALL SELECT 'principals', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""),
 }
 
 

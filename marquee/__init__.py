@@ -12,7 +12,6 @@ Sub-packages:
 - ``marquee.functions`` — reusable ``Column -> Column`` helpers
 - ``marquee.operators`` — dataset builders, joins, sinks, analytics reports
 - ``marquee.plans``     — the ETL pipeline and the serving-table refresh
-- ``marquee.streaming`` — incremental ingestion of newly dropped raw files
 """
 
 from marquee import schemas

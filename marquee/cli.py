@@ -74,7 +74,10 @@ def _etl(spark: SparkSession, args) -> int:
 def _serve(spark: SparkSession, args) -> int:
     if path_exists(spark, args.lake):
         _size_for(spark, args.lake)
-    refresh_serving(spark, args.lake, args.database, args.location)
+    counts = refresh_serving(spark, args.lake, args.database, args.location)
+    for name, found in counts.out_of_range.items():
+        for column, n in found.items():
+            print(f"{name}.{column}: {n} value(s) outside the serving range, kept", file=sys.stderr)
     validate_counts(spark, args.database).show(truncate=False)
     return 0
 

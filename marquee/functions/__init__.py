@@ -6,7 +6,6 @@ from marquee.functions.columns import (
     default_if_null_or,
     first_token,
     lenient_cast,
-    unsigned_or_null,
 )
 
 __all__ = [
@@ -15,5 +14,4 @@ __all__ = [
     "default_if_null_or",
     "first_token",
     "lenient_cast",
-    "unsigned_or_null",
 ]

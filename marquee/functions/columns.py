@@ -57,9 +57,3 @@ def first_token(
 def decade(year: ColumnLike) -> Column:
     """``floor(year / 10) * 10`` as an int."""
     return (F.floor(_col(year) / F.lit(10)) * F.lit(10)).cast(T.IntegerType())
-
-
-def unsigned_or_null(c: ColumnLike, max_value: int) -> Column:
-    """Null for values outside ``[0, max_value]`` (an unsigned range)."""
-    c = _col(c)
-    return F.when((c >= F.lit(0)) & (c <= F.lit(max_value)), c)

@@ -1,31 +1,26 @@
 """Exact grouped median whose per-task state does not grow with a group.
 
 ``percentile(x, 0.5)`` keeps one count per *distinct* value of a group and
-merges a group's partial maps in one task. For minutes that is a few
-thousand entries, but the state grows with the number of distinct values,
-and a group holding a third of all rows puts its whole map in one task.
+merges a group's partial maps in one task. For minutes that is a few hundred
+entries, but over a wide domain the state grows with the number of distinct
+values, and a group holding a third of all rows puts its whole map in one task.
 
-``median_by_group`` selects the two middle ranks of each group digit by
-digit (a radix select with 16-bit digits), using only aggregates and
-windows:
+``median_by_group`` selects the two middle ranks of each group digit by digit
+(a radix select with 16-bit digits), using only aggregates, joins and windows:
 
 1. ``counts``: rows per (group, value). The input passes once, combined
-   map-side, and is shuffled on (group, value), so a hot group is spread
-   over all tasks by value.
-2. The counts are shuffled on (group, value >> 16): a running count orders
-   the values inside each bucket (at most 65,536 per window partition), and
-   the same partitions are aggregated in place into one row per bucket.
-3. A running sum over the buckets of a group (at most 65,536 rows for
-   32-bit values) gives each bucket's rank range ``[start, stop)``; the (at
-   most two) buckets holding the middle ranks are joined back to the ranked
-   values, and the values at the two middle ranks are averaged, as the
-   interpolating ``percentile(x, 0.5)`` does.
+   map-side, and is shuffled on (group, value), so a hot group is spread over
+   all tasks by value. Count and sum of a group come from it as well.
+2. One round per digit, two for 32-bit values and four for 64-bit values. The
+   counts below the prefix already chosen for a rank are added up per next
+   digit; a running sum over those digits (at most 65,536 rows per group and
+   rank) finds the digit that holds the rank. Buckets are chosen before any
+   window, so no window sees the values themselves.
+3. After the last digit the prefix is the value; the values at the two middle
+   ranks are averaged, as the interpolating ``percentile(x, 0.5)`` does.
 
-A window partition therefore never holds more than 65,536 rows, however
-large a group is. The result is exact for any integral values; the bound
-holds for values in the 32-bit range (larger values stay correct but can
-give more buckets per group). Sum and count of each group come out of the
-same histogram, so the report needs no second pass over the input.
+The result is exact for any integral values, and the bound holds for all of
+them.
 """
 
 from __future__ import annotations
@@ -33,62 +28,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 DIGIT_BITS = 16
 _OUTPUT = ("n", "total", "median")
 
-# The three steps above as one statement: a single parse and analysis on the
-# driver instead of one per DataFrame call. ``ranked`` is read twice; its
-# explicit null test on the bucket matches the one the join infers, so both
-# reads plan alike and Spark reuses one shuffle (the input is read once).
-# Input columns are renamed to _g (group) and _v (value) first, so the query
-# never meets a caller's column name.
-_QUERY = """
-WITH counts AS (
-  SELECT _g, _v, count(1) AS c, shiftright(_v, {bits}) AS bucket
-  FROM {{input}}
-  WHERE _v IS NOT NULL AND shiftright(_v, {bits}) IS NOT NULL
-  GROUP BY _g, _v
-),
-ranked AS (
-  SELECT _g, _v, c, bucket,
-         sum(c) OVER (PARTITION BY _g, bucket ORDER BY _v
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS in_end
-  FROM counts
-),
-bucket_totals AS (
-  SELECT _g, bucket, max(in_end) AS bc, sum(CAST(_v AS DOUBLE) * c) AS bs
-  FROM ranked
-  GROUP BY _g, bucket
-),
-bucket_ranges AS (
-  SELECT _g, bucket,
-         (sum(bc) OVER running) - bc AS start,
-         sum(bc) OVER running AS stop,
-         sum(bc) OVER (PARTITION BY _g) AS n,
-         sum(bs) OVER (PARTITION BY _g) AS total
-  FROM bucket_totals
-  WINDOW running AS (PARTITION BY _g ORDER BY bucket
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-),
-picked AS (
-  SELECT _g, bucket, start, n, total, k_lo, k_hi
-  FROM (SELECT *, (n - 1) div 2 AS k_lo, n div 2 AS k_hi FROM bucket_ranges)
-  WHERE (start <= k_lo AND k_lo < stop) OR (start <= k_hi AND k_hi < stop)
-),
-located AS (
-  SELECT r._g, r._v, p.n, p.total, p.k_lo, p.k_hi,
-         p.start + r.in_end - r.c AS v_start, p.start + r.in_end AS v_end
-  FROM ranked r JOIN picked p ON r._g <=> p._g AND r.bucket = p.bucket
-)
-SELECT _g, max(n) AS n, max(total) AS total,
-       (CAST(max(CASE WHEN v_start <= k_lo AND k_lo < v_end THEN _v END) AS DOUBLE)
-        + CAST(max(CASE WHEN v_start <= k_hi AND k_hi < v_end THEN _v END) AS DOUBLE)) / 2.0
-         AS median
-FROM located
-GROUP BY _g
-""".format(bits=DIGIT_BITS)
-
 
 def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """``(group, n, total, median)`` per group over the non-null integral
@@ -98,7 +42,28 @@ def median_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
         raise TypeError(f"median_by_group needs an integral column; {value} is {value_type.simpleString()}")
     if group in _OUTPUT:
         raise ValueError(f"group column {group!r} clashes with an output column {_OUTPUT}")
-    source = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
-    # The DataFrame argument is bound as a temporary view for this statement
-    # only; a null group joins back through the null-safe ``<=>``.
-    return df.sparkSession.sql(_QUERY, input=source).withColumnRenamed("_g", group)
+    bits = 64 if isinstance(value_type, T.LongType) else 32
+    source = df.select(F.col(group).alias("_g"), F.col(value).cast("long").alias("_v")).where("_v IS NOT NULL")
+    counts = source.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    stats = counts.groupBy("_g").agg(
+        F.sum("_c").alias("n"), F.sum(F.col("_v").cast("double") * F.col("_c")).alias("total"))
+    # The ranks still looked for inside the prefix chosen so far, one row each.
+    wanted = stats.select(
+        F.col("_g").alias("_wg"),
+        F.explode(F.array(F.struct(F.lit(0).alias("which"), F.expr("(n - 1) div 2").alias("rank")),
+                          F.struct(F.lit(1).alias("which"), F.expr("n div 2").alias("rank")))).alias("_w"),
+    ).select("_wg", "_w.which", "_w.rank", F.lit(None).cast("long").alias("prefix"))
+    for shift in range(bits - DIGIT_BITS, -1, -DIGIT_BITS):
+        # the prefix above this digit; an arithmetic shift keeps the order of signs
+        above = F.expr(f"shiftright(_v, {shift + DIGIT_BITS})") if shift + DIGIT_BITS < bits else F.lit(None).cast("long")
+        cells = counts.groupBy("_g", above.alias("_above"), F.expr(f"shiftright(_v, {shift})").alias("_cell")).agg(
+            F.sum("_c").alias("_held"))
+        met = cells.join(wanted, cells["_g"].eqNullSafe(wanted["_wg"]) & cells["_above"].eqNullSafe(wanted["prefix"]))
+        ranks = W.partitionBy("_g", "which").orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
+        ranked = met.withColumn("_stop", F.sum("_held").over(ranks))
+        wanted = ranked.where("_stop - _held <= rank AND rank < _stop").select(
+            F.col("_g").alias("_wg"), "which", (F.col("rank") - (F.col("_stop") - F.col("_held"))).alias("rank"),
+            F.col("_cell").alias("prefix"))
+    middle = wanted.groupBy("_wg").agg((F.sum(F.col("prefix").cast("double")) / 2.0).alias("median"))
+    return stats.join(middle, stats["_g"].eqNullSafe(middle["_wg"])).select(
+        F.col("_g").alias(group), "n", "total", "median")

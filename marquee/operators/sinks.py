@@ -37,20 +37,26 @@ def layout_for_write(
     partition_by: Sequence[str],
     sort_by: Sequence = (),
     observation: Observation | None = None,
+    metrics: Sequence[Column] = (),
 ) -> DataFrame:
-    """Distribute by the partition columns (skew-aware) and, optionally,
-    sort each task's rows by partition columns then ``sort_by`` so every
-    written file is ordered and its row-group min/max statistics let later
-    scans skip row groups.
+    """Distribute by the partition columns (skew-aware).
+
+    With ``sort_by`` the rows are dealt by ranges of partition columns and
+    sort key instead and sorted in each task: the files of one partition value
+    hold disjoint key ranges, so file and row-group min/max let later scans
+    skip. A hot value covers many ranges and so many tasks.
 
     An ``observation`` counts rows after the shuffle, i.e. in the write
     stage itself: metrics of that final stage are merged once per output
     partition, so a task retried after a lost executor is not counted twice
     (a map stage before the shuffle may be re-run as a whole).
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    if sort_by:
+        out = df.repartitionByRange(*partition_by, *sort_columns(sort_by))
+    else:
+        out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_columns(sort_by))
     return out
@@ -62,7 +68,6 @@ def write_partitioned(
     partition_by: Sequence[str],
     mode: str = "static",
     sort_by: Sequence = (),
-    max_records_per_file: int | None = None,
     observation: Observation | None = None,
 ) -> None:
     """Overwrite ``path`` with ``df`` partitioned by ``partition_by``.
@@ -80,8 +85,6 @@ def write_partitioned(
         .option("partitionOverwriteMode", mode)
         .option("compression", "snappy")
     )
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

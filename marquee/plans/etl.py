@@ -14,9 +14,11 @@ principals     if title.principals *and* name.basics are present
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,8 +34,7 @@ from marquee.operators.builders import (
 )
 from marquee.operators.sinks import write_counted
 from marquee.session import warn_without_adaptive
-from marquee.sources.lake import read_lake
-from marquee.sources.tsv import read_raw_inputs
+from marquee.sources.tsv import delete_path, read_raw_inputs
 
 log = logging.getLogger(__name__)
 
@@ -87,28 +88,34 @@ def build_principals_dataset(
     if principals_raw is None:
         return None
     if names is None:
-        log.warning("skipping principals: name.basics is not available for the join")
+        log.warning("principals not built: it needs %s, which is absent", S.RAW_NAMES)
         return None
     return Dataset(build_principals(principals_raw, names, titles), principals_raw)
 
 
-def build_dependent_datasets(
+def build_datasets(
     inputs: dict[str, DataFrame | None],
-    titles: DataFrame,
     series_type: str = S.SERIES_TYPE,
     episode_type: str = S.EPISODE_TYPE,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, Dataset]:
-    """Episodes, names, akas and principals, in the pipeline's order."""
-    out: dict[str, Dataset] = {
-        "episodes": build_episodes_dataset(inputs, titles, series_type, episode_type)
-    }
+    """Every dataset the inputs allow, in the pipeline's order, as lazy frames.
+
+    ``keep`` is applied to the dimensions that others join (titles, names).
+    """
+    titles = build_titles_dataset(inputs)
+    titles.frame = keep(titles.frame)
     names = build_names_dataset(inputs)
-    akas = build_akas_dataset(inputs)
-    principals = build_principals_dataset(inputs, names.frame if names else None, titles)
-    for name, ds in (("names", names), ("akas", akas), ("principals", principals)):
-        if ds is not None:
-            out[name] = ds
-    return out
+    if names is not None and inputs.get(S.RAW_PRINCIPALS) is not None:
+        names.frame = keep(names.frame)
+    built = {
+        "titles": titles,
+        "episodes": build_episodes_dataset(inputs, titles.frame, series_type, episode_type),
+        "names": names,
+        "akas": build_akas_dataset(inputs),
+        "principals": build_principals_dataset(inputs, names.frame if names else None, titles.frame),
+    }
+    return {name: ds for name, ds in built.items() if ds is not None}
 
 
 def build_all(
@@ -116,10 +123,8 @@ def build_all(
     series_type: str = S.SERIES_TYPE,
     episode_type: str = S.EPISODE_TYPE,
 ) -> dict[str, DataFrame]:
-    """Every dataset the inputs allow, as lazy frames (nothing is written)."""
-    titles = build_titles_dataset(inputs)
-    rest = build_dependent_datasets(inputs, titles.frame, series_type, episode_type)
-    return {"titles": titles.frame, **{k: v.frame for k, v in rest.items()}}
+    """The frames of ``build_datasets`` (nothing is written)."""
+    return {k: v.frame for k, v in build_datasets(inputs, series_type, episode_type).items()}
 
 
 def run_etl(
@@ -133,57 +138,54 @@ def run_etl(
 ) -> dict[str, int]:
     """Build and write every dataset the inputs allow; return row counts.
 
-    Titles feed episodes and principals, names feed principals. In
-    ``static`` mode a freshly written dimension is read back from the lake
-    for its dependents (a pruned columnar scan, no longer dependent on the
-    raw parse and the ratings join), which also cuts the lineage: a lost
-    executor re-reads lake files instead of re-running the raw scan. In
-    ``dynamic`` mode the lake may still hold partitions of an older run, so
-    the dependents use the computed frames instead.
-
-    Once titles are written, the three independent branches — episodes,
-    names then principals, akas — are submitted as concurrent Spark jobs
-    (``concurrent=True``), so the tail of one job overlaps the others
-    instead of leaving executors idle.
+    Titles feed episodes and principals, names feed principals. These two
+    dimensions are persisted (memory, then disk) while the run lasts, so their
+    parse and joins run once in either mode; a lost executor's blocks are
+    computed again. They are not read back from the lake: a partition
+    directory cannot hold '' (it reads back as null), and dependents must not
+    depend on the mode.
+
+    ``mode="static"`` is a full rebuild: a dataset this run does not produce,
+    or for which it has no rows, is removed from the lake. ``"dynamic"``
+    replaces the partitions it writes and keeps the rest.
+
+    Once titles are written the other datasets are independent and run as
+    concurrent Spark jobs, so the tail of one overlaps the others.
     """
     if S.RAW_BASICS not in inputs or inputs[S.RAW_BASICS] is None:
         raise FileNotFoundError(f"required input {S.RAW_BASICS} is missing")
     warn_without_adaptive(spark, log)
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
+    datasets = build_datasets(inputs, series_type, episode_type, keep)
     counts: dict[str, int] = {}
 
-    def write(name: str, ds: Dataset) -> DataFrame:
-        path = lake_path(lake_dir, name)
-        spec = S.LAKE[name]
-        counts[name] = write_counted(ds.frame, path, spec.partition_by, mode=mode, probe=ds.probe)
-        if mode == "static" and counts[name] > 0:
-            return read_lake(spark, path, spec)
-        return ds.frame
-
-    titles = write("titles", build_titles_dataset(inputs))
-
-    def episodes_branch() -> None:
-        write("episodes", build_episodes_dataset(inputs, titles, series_type, episode_type))
-
-    def people_branch() -> None:
-        names_ds = build_names_dataset(inputs)
-        names = write("names", names_ds) if names_ds is not None else None
-        principals_ds = build_principals_dataset(inputs, names, titles)
-        if principals_ds is not None:
-            write("principals", principals_ds)
-
-    def akas_branch() -> None:
-        akas_ds = build_akas_dataset(inputs)
-        if akas_ds is not None:
-            write("akas", akas_ds)
-
-    branches = (episodes_branch, people_branch, akas_branch)
-    if concurrent:
-        with ThreadPoolExecutor(max_workers=len(branches), thread_name_prefix="etl") as pool:
-            for future in [pool.submit(b) for b in branches]:
-                future.result()
-    else:
-        for branch in branches:
-            branch()
+    def write(name: str) -> None:
+        ds = datasets[name]
+        counts[name] = write_counted(
+            ds.frame, lake_path(lake_dir, name), S.LAKE[name].partition_by, mode=mode, probe=ds.probe)
+
+    try:
+        write("titles")
+        rest = [n for n in datasets if n != "titles"]
+        if concurrent and rest:
+            with ThreadPoolExecutor(max_workers=len(rest), thread_name_prefix="etl") as pool:
+                for future in [pool.submit(write, n) for n in rest]:
+                    future.result()
+        else:
+            for name in rest:
+                write(name)
+    finally:
+        for df in kept:
+            df.unpersist()
+    if mode == "static":
+        for name in S.DATASET_ORDER:
+            if not counts.get(name):
+                delete_path(spark, lake_path(lake_dir, name))
 
     ordered = {n: counts[n] for n in S.DATASET_ORDER if n in counts}
     for name, rows in ordered.items():

@@ -2,29 +2,32 @@
 
 The lake is refreshed into one table per dataset (``CREATE TABLE ... USING
 parquet PARTITIONED BY``). Each load conforms the lake rows to the
-serving types, distributes them by the table's partition column, sorts
-every task's rows by the table's sort key so row-group statistics allow
-data skipping, and inserts them with a distributed write — one task per
-shuffle partition instead of a single loader process.
+serving types, deals them by ranges of partition column and sort key, sorts
+every task's rows by that key so file and row-group statistics allow
+data skipping, and writes them in a distributed job beside the live table,
+which is then switched to them.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schemas as S
-from marquee.functions import lenient_cast, unsigned_or_null
-from marquee.operators.sinks import sort_columns, layout_for_write
-from marquee.plans.etl import counts_frame, lake_path
-from marquee.sources.lake import read_lake
+from marquee.functions import lenient_cast
+from marquee.operators.sinks import layout_for_write
+from marquee.plans.etl import lake_path
 from marquee.session import warn_without_adaptive
-from marquee.sources.tsv import path_exists
+from marquee.sources.lake import read_lake
+from marquee.sources.tsv import delete_path, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -63,49 +66,65 @@ def create_serving_tables(
     return names
 
 
-def _range_checked(c: Column, spec: S.ServingSpec, f: T.StructField) -> Column:
-    cast = lenient_cast(c, f.dataType)
-    if f.name in spec.unsigned_max:
-        cast = unsigned_or_null(cast, spec.unsigned_max[f.name])
-    if f.name in spec.numeric_defaults:
-        cast = F.coalesce(cast, F.lit(spec.numeric_defaults[f.name]).cast(f.dataType))
-    return cast
-
-
 OUT_OF_RANGE_PREFIX = "_out_of_range_"
 
 
 def conform(df: DataFrame, spec: S.ServingSpec | str, with_flags: bool = False) -> DataFrame:
     """Lake rows -> serving types, in the table's column order.
 
-    Text columns are non-null ('' for null), numbers are cast leniently to
-    the serving type, values outside an unsigned range become null (or the
-    column default for non-null numbers). With ``with_flags`` a boolean
-    ``_out_of_range_<col>`` column per unsigned column marks values that
-    were pushed out, so a load can count them.
+    Text columns are non-null ('' for null; 'Unknown' for null or '' where the
+    column is the partition key, which cannot hold ''). Numbers are cast
+    leniently to the serving type, nulls of columns with a default take it.
+    A value outside the unsigned range of its column is kept as it is and
+    reported: with ``with_flags`` a boolean ``_out_of_range_<col>`` column per
+    unsigned column marks it, so a load can count it.
     """
     spec = _spec(spec)
     exprs = []
     for f in spec.schema.fields:
+        c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            exprs.append(F.coalesce(F.col(f.name).cast(T.StringType()), F.lit("")).alias(f.name))
+            text = c.cast(T.StringType())
+            if f.name in spec.partition_by:
+                text = F.when(text != "", text)
+                exprs.append(F.coalesce(text, F.lit(S.UNKNOWN)).alias(f.name))
+            else:
+                exprs.append(F.coalesce(text, F.lit("")).alias(f.name))
         else:
-            exprs.append(_range_checked(F.col(f.name), spec, f).alias(f.name))
+            cast = lenient_cast(c, f.dataType)
+            if f.name in spec.numeric_defaults:
+                cast = F.coalesce(cast, F.lit(spec.numeric_defaults[f.name]).cast(f.dataType))
+            exprs.append(cast.alias(f.name))
     if with_flags:
         for c, top in spec.unsigned_max.items():
-            typed = lenient_cast(c, spec.schema[c].dataType)
-            exprs.append(
-                (F.col(c).isNotNull() & unsigned_or_null(typed, top).isNull()).alias(
-                    OUT_OF_RANGE_PREFIX + c
-                )
-            )
+            exprs.append(_out_of_range(F.col(c), top).alias(OUT_OF_RANGE_PREFIX + c))
     return df.select(*exprs)
 
 
-def serving_layout(df: DataFrame, spec: S.ServingSpec | str) -> DataFrame:
-    """Distribute by partition column, sort by it and the table's sort key."""
-    spec = _spec(spec)
-    return layout_for_write(df, spec.partition_by, spec.sort_by)
+def _out_of_range(c: Column, top: int) -> Column:
+    """True for a value that is no number in [0, top]; nulls are in range."""
+    number = lenient_cast(c, T.LongType())
+    return F.coalesce(c.isNotNull() & (number.isNull() | (number < 0) | (number > top)), F.lit(False))
+
+
+class LoadCounts(dict):
+    """Rows per dataset (None: not in the lake), with the values found out of
+    range: ``out_of_range[dataset][column]`` holds every count above zero."""
+
+    def __init__(self, stats: dict[str, dict[str, int] | None]):
+        super().__init__({n: None if s is None else s["rows"] for n, s in stats.items()})
+        suffix = "_out_of_range"
+        self.out_of_range = {
+            n: {k.removesuffix(suffix): v for k, v in s.items() if k.endswith(suffix) and v}
+            for n, s in stats.items() if s is not None
+        }
+
+
+def _laid_out(df: DataFrame, spec: S.ServingSpec, observation: Observation) -> DataFrame:
+    conformed = conform(df, spec, with_flags=True)
+    flags = [c for c in conformed.columns if c.startswith(OUT_OF_RANGE_PREFIX)]
+    metrics = [F.sum(F.col(c).cast("long")).alias(c[len(OUT_OF_RANGE_PREFIX):] + "_out_of_range") for c in flags]
+    return layout_for_write(conformed, spec.partition_by, spec.sort_by, observation, metrics)
 
 
 def load_table(
@@ -118,65 +137,103 @@ def load_table(
     """
     spec = _spec(spec)
     table = table_name(database, spec)
-    conformed = conform(df, spec, with_flags=True)
-    flags = [c for c in conformed.columns if c.startswith(OUT_OF_RANGE_PREFIX)]
     observation = Observation(f"load_{spec.name}")
-    observed = conformed.hint("rebalance", *spec.partition_by).observe(
-        observation,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.col(c).cast("long")).alias(c[len(OUT_OF_RANGE_PREFIX):] + "_out_of_range")
-          for c in flags],
-    )
-    laid_out = observed.sortWithinPartitions(
-        *spec.partition_by, *sort_columns(spec.sort_by)
-    )
     # insertInto is positional: Spark stores partition columns last.
-    laid_out.select(*spark.table(table).columns).write.insertInto(table)
+    _laid_out(df, spec, observation).select(*spark.table(table).columns).write.insertInto(table)
+    return {k: int(v or 0) for k, v in observation.get.items()}
+
+
+def _write_version(df: DataFrame, path: str, spec: S.ServingSpec) -> dict[str, int]:
+    """Write one table version to a folder of its own."""
+    observation = Observation(f"load_{spec.name}")
+    laid_out = _laid_out(df, spec, observation).select(*spec.columns)
+    laid_out.write.option("compression", "snappy").partitionBy(*spec.partition_by).parquet(path)
     return {k: int(v or 0) for k, v in observation.get.items()}
 
 
+def _table_location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _database_location(spark: SparkSession, database: str) -> str:
+    rows = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").collect()
+    return rows[0]["info_value"].rstrip("/")
+
+
+def _switch(
+    spark: SparkSession, database: str, spec: S.ServingSpec, version: str, loaded: bool
+) -> None:
+    """Point the table at a loaded version (metadata only), then drop the old
+    files. Dropping a table of an explicit location leaves its files. A table
+    whose dataset was not loaded has no partitions."""
+    table = table_name(database, spec)
+    old = _table_location(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"{create_table_sql(database, spec)} LOCATION '{version}'")
+    if loaded:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    if old:
+        delete_path(spark, old)
+
+
 def refresh_serving(
     spark: SparkSession,
     lake_dir: str,
     database: str = S.SERVING_DATABASE,
     location: str | None = None,
     concurrent: bool = True,
-) -> dict[str, int | None]:
+) -> LoadCounts:
     """Full refresh of every serving table from the lake.
 
-    All tables are truncated, then each lake dataset present is loaded;
-    an absent optional dataset leaves its table empty (row count None).
-    The required titles dataset is checked *before* anything is truncated.
-    The lake is the only source, so no table is read while it is rewritten.
-    The five loads are independent and run as concurrent Spark jobs.
+    Every dataset present is checked first (a committed write with data
+    files). Each is then loaded beside the live table, into a folder of its
+    own, and only when all loads have ended are the tables switched to the new
+    versions and the old files dropped: a missing dataset or a failed load
+    leaves all five tables as they were. An absent optional dataset empties
+    its table (row count None). The loads run as concurrent Spark jobs.
     """
-    for required in S.REQUIRED_SERVING:
-        if not path_exists(spark, lake_path(lake_dir, required)):
-            raise FileNotFoundError(
-                f"required lake dataset missing: {lake_path(lake_dir, required)}"
-            )
+    present = {}
+    for name, spec in S.LAKE.items():
+        path = lake_path(lake_dir, name)
+        if path_exists(spark, path):
+            present[name] = read_lake(spark, path, spec)  # raises without data files
+        elif name in S.REQUIRED_SERVING:
+            raise FileNotFoundError(f"serving refresh needs the {name} dataset; the lake has none at {path}")
     warn_without_adaptive(spark, log)
-    create_serving_tables(spark, database, location)
-    for spec in S.SERVING.values():
-        spark.sql(f"TRUNCATE TABLE {table_name(database, spec)}")
-
-    present = {
-        name: lake_path(lake_dir, name)
-        for name in S.SERVING
-        if path_exists(spark, lake_path(lake_dir, name))
-    }
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    base, version = _database_location(spark, database), uuid.uuid4().hex[:12]
+    paths = {name: f"{base}/{name}-{version}" for name in S.SERVING}
+
+    def load(name: str) -> dict[str, int] | None:
+        if name not in present:
+            return None
+        return _write_version(present[name], paths[name], S.SERVING[name])
+
+    try:
+        if concurrent:
+            with ThreadPoolExecutor(max_workers=len(paths), thread_name_prefix="serve") as pool:
+                futures = {name: pool.submit(load, name) for name in paths}
+                stats = {name: f.result() for name, f in futures.items()}
+        else:
+            stats = {name: load(name) for name in paths}
+    except BaseException:
+        for path in paths.values():
+            delete_path(spark, path)
+        raise
+    for name, spec in S.SERVING.items():
+        _switch(spark, database, spec, paths[name], loaded=name in present)
+    counts = LoadCounts(stats)
+    for name, found in counts.out_of_range.items():
+        for column, n in found.items():
+            log.warning("%s.%s: %s value(s) outside the serving range were kept", name, column, n)
+    return counts
 
-    def load(name: str) -> int:
-        lake = read_lake(spark, present[name], S.LAKE[name])
-        return load_table(spark, lake, database, S.SERVING[name])["rows"]
 
-    if concurrent and len(present) > 1:
-        with ThreadPoolExecutor(max_workers=len(present), thread_name_prefix="serve") as pool:
-            futures = {name: pool.submit(load, name) for name in present}
-            rows = {name: f.result() for name, f in futures.items()}
-    else:
-        rows = {name: load(name) for name in present}
-    return {name: rows.get(name) for name in S.SERVING}
+VALIDATION_SCHEMA = "dataset string, rows bigint, out_of_range bigint"
 
 
 def validate_counts(
@@ -184,31 +241,34 @@ def validate_counts(
     database: str = S.SERVING_DATABASE,
     names: Sequence[str] = S.DATASET_ORDER,
 ) -> DataFrame:
-    """``(dataset, rows)`` per serving table; null rows for a missing table.
+    """``(dataset, rows, out_of_range)`` per serving table, in the given order.
 
-    One job: a union of per-table ``count(*)`` (answered from Parquet
-    footers, no column data is read).
+    ``out_of_range`` counts the values outside the unsigned range of their
+    column. A table that is missing or cannot be read has nulls ("not
+    loaded"); the others are still reported.
     """
-    parts = []
-    missing = []
+    out = None
     for name in names:
-        table = table_name(database, name)
-        if spark.catalog.tableExists(table):
-            parts.append(
-                spark.table(table).agg(F.count(F.lit(1)).alias("rows")).select(
-                    F.lit(name).alias("dataset"), "rows"
-                )
-            )
-        else:
-            missing.append(name)
-    if missing:
-        parts.append(counts_frame(spark, {n: None for n in missing}))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = _table_counts(spark, database, name)
+        if part is None:
+            part = spark.createDataFrame([(name, None, None)], VALIDATION_SCHEMA)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
+def _table_counts(spark: SparkSession, database: str, name: str) -> DataFrame | None:
+    spec, table = _spec(name), table_name(database, name)
+    try:
+        rows = spark.table(table)
+        bad = [F.sum(_out_of_range(F.col(c), top).cast("long")) for c, top in spec.unsigned_max.items()]
+        total = sum((F.coalesce(b, F.lit(0)) for b in bad), F.lit(0)).cast("long")
+        found = rows.agg(F.count(F.lit(1)).alias("rows"), total.alias("out_of_range")).first()
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError) as error:
+        log.warning("%s: not loaded (%s)", table, str(error).splitlines()[0])
+        return None
+    return spark.createDataFrame([(name, found["rows"], found["out_of_range"])], VALIDATION_SCHEMA)
+
+
 def read_table(spark: SparkSession, database: str, spec: S.ServingSpec | str) -> DataFrame:
     """A serving table in its declared column order."""
     spec = _spec(spec)

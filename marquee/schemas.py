@@ -147,9 +147,8 @@ DATASET_ORDER = ("titles", "episodes", "names", "akas", "principals")
 # Serving tables
 # --------------------------------------------------------------------------
 
-# Unsigned ranges of the serving types (Spark has no unsigned integers, so a
-# value outside the range is turned into null, or into the default for a
-# non-null column, and counted).
+# Unsigned ranges of the serving types. Spark has no unsigned integers and its
+# wider types hold the values outside, which are kept and reported.
 UINT8_MAX = 255
 UINT16_MAX = 65_535
 UINT32_MAX = 4_294_967_295
@@ -165,18 +164,14 @@ class ServingSpec:
     sort_by: tuple
     # Upper bound of each unsigned column (lower bound is 0).
     unsigned_max: dict = field(default_factory=dict)
-    # Non-null numeric columns and their default.
+    # Numeric columns whose nulls take a default: non-null columns and the year
+    # of the partition key.
     numeric_defaults: dict = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
-    @property
-    def text_columns(self) -> list[str]:
-        """Text columns are non-null in serving: null becomes ''."""
-        return [f.name for f in self.schema.fields if isinstance(f.dataType, T.StringType)]
-
 
 SERVING_DATABASE = "marquee"
 
@@ -192,6 +187,7 @@ SERVING_TITLES = ServingSpec(
     ("title_type", "primary_genre", "tconst"),
     {"start_year": UINT16_MAX, "end_year": UINT16_MAX,
      "runtime_minutes": UINT32_MAX, "num_votes": UINT32_MAX},
+    {"start_year": 0},
 )
 
 SERVING_EPISODES = ServingSpec(
@@ -207,6 +203,7 @@ SERVING_EPISODES = ServingSpec(
     {"season_number": UINT16_MAX, "episode_number": UINT16_MAX,
      "start_year": UINT16_MAX, "num_votes": UINT32_MAX,
      "runtime_minutes": UINT32_MAX},
+    {"start_year": 0},
 )
 
 SERVING_NAMES = ServingSpec(

@@ -2,8 +2,9 @@
 
 Library code never decides where a cluster keeps its files: written
 intermediate tables go under the checkpoint directory the cluster names in
-``spark.checkpoint.dir`` (or the one already set on the context). Only when
-none is set — local runs and tests — a fresh directory is created.
+``spark.checkpoint.dir`` (or the one already set on the context). Only where
+none is set *and* the master is local — tests, one machine — a fresh directory
+is created; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -19,16 +20,9 @@ from pyspark.sql import SparkSession
 # runtime: it turns a small join side into a broadcast only after measuring
 # it, splits skewed join partitions (including the left side of a left outer
 # join) and splits or merges ``rebalance`` partitions before a partitioned
-# write. Parquet output is Snappy, the reference lake format.
-#
-# ``minPartitionSize`` bounds how far AQE merges small shuffle partitions.
-# A partitioned lake write creates one file per partition value per task;
-# with the default 1 MB floor a small dataset spread over hundreds of
-# (year, type) directories collapses into one task that creates every
-# file in sequence. A lower floor keeps such writes parallel; on large
-# data partitions are far above either floor, so it changes nothing there.
+# write. Parquet output is Snappy, the reference lake format. How far AQE
+# merges small shuffle partitions is left to the cluster.
 SESSION_DEFAULTS: dict[str, str] = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -57,7 +51,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    checkpoint_root(spark)
     return spark
 
 
@@ -83,7 +76,6 @@ def apply_session_defaults(spark: SparkSession, defaults: dict[str, str] | None
 # 100 TB over the default 200 partitions would be 500 GB per task. When the
 # cluster leaves the count unset, it is derived from the input's size.
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
-MAX_INITIAL_PARTITIONS = 100_000
 _SIZING_KEYS = (
     "spark.sql.shuffle.partitions",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
@@ -98,20 +90,22 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
-def size_shuffles(spark: SparkSession, total_bytes: int) -> int | None:
+def size_shuffles(
+    spark: SparkSession, total_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES
+) -> int | None:
     """Initial shuffle partition count for ``total_bytes`` of input.
 
     Only when neither ``spark.sql.shuffle.partitions`` nor AQE's
-    ``initialPartitionNum`` was set by the cluster: then about one partition
-    per 256 MB of input, at least the session's current count and at most
-    100,000, and AQE coalesces down from there. Returns the count set, or
-    ``None`` when the cluster's own setting stays.
+    ``initialPartitionNum`` was set by the cluster: then one partition per
+    ``target_bytes`` of input, at least the session's current count, and AQE
+    coalesces down from there. The bytes are those stored: for gzip input,
+    which grows several times when read, pass a smaller target. Returns the
+    count set, or ``None`` when the cluster's own setting stays.
     """
     if any(_set_by_cluster(spark, k) for k in _SIZING_KEYS):
         return None
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-max(total_bytes, 0) // SHUFFLE_TARGET_BYTES)
-    count = min(max(current, wanted), MAX_INITIAL_PARTITIONS)
+    count = max(current, -(-max(total_bytes, 0) // target_bytes))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
     return count
 
@@ -134,7 +128,11 @@ def warn_without_adaptive(spark: SparkSession, logger: logging.Logger) -> bool:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory, set up only when the session has none."""
+    """The shared checkpoint directory of the session.
+
+    A fresh directory is made only for a local master: on a cluster every
+    executor would write to its own disk, so a missing setting raises.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no context, only the session conf
@@ -149,7 +147,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Unset: a local run or a test. Take a fresh directory of our own.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a directory that all executors share")
         configured = tempfile.mkdtemp(prefix="marquee-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

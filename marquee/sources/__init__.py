@@ -1,7 +1,9 @@
-"""Sources: raw TSV files, the Parquet lake and serving tables."""
+"""Sources: raw TSV files and the Parquet lake."""
 
-from marquee.sources.lake import lake_project, read_lake, read_serving
+from marquee.sources.lake import lake_project, read_lake
 from marquee.sources.tsv import (
+    delete_path,
+    holds_data,
     path_exists,
     read_raw_inputs,
     read_tsv,
@@ -10,11 +12,12 @@ from marquee.sources.tsv import (
 )
 
 __all__ = [
+    "delete_path",
+    "holds_data",
     "lake_project",
     "path_exists",
     "read_lake",
     "read_raw_inputs",
-    "read_serving",
     "read_tsv",
     "read_tsv_path",
     "resolve_raw_path",

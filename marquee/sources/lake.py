@@ -1,4 +1,4 @@
-"""Scans of the partitioned Parquet lake and of serving tables."""
+"""Scans of the partitioned Parquet lake."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.schemas import LAKE, LakeSpec
-from marquee.sources.tsv import path_exists
+from marquee.sources.tsv import holds_data, path_exists
 
 
 def _spec(spec: LakeSpec | str) -> LakeSpec:
@@ -26,6 +26,8 @@ def read_lake(spark: SparkSession, path: str, spec: LakeSpec | str) -> DataFrame
     spec = _spec(spec)
     if not path_exists(spark, path):
         raise FileNotFoundError(f"lake dataset {spec.name} not found at {path}")
+    if getattr(spark, "_jvm", None) is not None and not holds_data(spark, path):
+        raise FileNotFoundError(f"lake dataset {spec.name}: no committed Parquet file in {path}")
     return (
         spark.read.schema(spec.schema)
         .option("basePath", path)
@@ -47,9 +49,3 @@ def lake_project(
     if unknown:
         raise ValueError(f"{spec.name}: unknown column(s) {unknown}")
     return read_lake(spark, path, spec).select(*columns)
-
-
-def read_serving(spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:
-    """Serving table in its declared column order (partition columns are
-    stored last by Spark, so the order is re-selected)."""
-    return spark.table(table).select(*columns)

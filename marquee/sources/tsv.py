@@ -26,7 +26,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
     try:
-        spark.read.format("text").load(path)
+        spark.read.format("text").load(path).schema  # resolves the path
         return True
     except AnalysisException as exc:
         condition = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass")
@@ -35,6 +35,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is one file (assumed where no JVM is at hand)."""
+    jvm, jsc = getattr(spark, "_jvm", None), getattr(spark, "_jsc", None)
+    if jvm is None or jsc is None:
+        return True
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).getFileStatus(hpath).isFile())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` and all below it, if it exists (needs the JVM)."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """True when a committed write left at least one Parquet file in ``path``.
+
+    A write under way or interrupted is told by its ``_temporary`` folder and
+    the lack of ``_SUCCESS`` (which a dynamic overwrite never writes).
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    child = jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(child(root, "_SUCCESS")) and fs.exists(child(root, "_temporary")):
+        return False
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath().toString()
+        if file.endswith(".parquet") and "/_temporary/" not in file and "/.spark-staging" not in file:
+            return True
+    return False
+
+
 def resolve_raw_path(spark: SparkSession, raw_dir: str, base_name: str) -> str | None:
     """``<raw_dir>/<base_name>.tsv`` or ``.tsv.gz``; the first that exists wins."""
     for suffix in RAW_SUFFIXES:
@@ -52,12 +87,15 @@ def read_tsv_path(
 ) -> DataFrame:
     """Scan one raw file (or a directory of parts) as all-string columns.
 
-    No schema is passed: the CSV reader takes the column names from the
-    file's own header line and types every column as string, so files with
-    reordered or extra columns still bind by name. ``quote=""`` turns quote
+    No schema is passed: the CSV reader takes the column names from a
+    header line and types every column as string, so a file with reordered or
+    extra columns still binds by name. The parts of a directory must agree:
+    every part's header is checked against those names, and a part with
+    another order or other columns raises instead of being read by position. ``quote=""`` turns quote
     handling off, so a field starting with ``"`` cannot swallow the next tab
     and shift the row; pass ``quote='"'`` for the reader's default handling.
-    Gzip files are decompressed by the reader (one task per ``.gz`` file).
+    A single ``.gz`` file is decompressed by one task; its rows are dealt
+    anew right after the scan, so that cleaning and joins run in parallel.
     """
     df = (
         spark.read.option("header", True)
@@ -65,12 +103,13 @@ def read_tsv_path(
         .option("nullValue", RAW_NULL_TOKEN)
         .option("quote", quote)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
     missing = [c for c in required_columns if c not in df.columns]
     if missing:
         raise ValueError(f"{path}: missing required column(s) {missing}; found {df.columns}")
-    return df
+    return df.hint("rebalance") if path.endswith(".gz") and is_file(spark, path) else df
 
 
 def read_tsv(
@@ -89,7 +128,7 @@ def read_tsv(
     if path is None:
         if required:
             raise FileNotFoundError(
-                f"missing required file {base_name}.tsv or {base_name}.tsv.gz in {raw_dir}"
+                f"raw input {base_name}: none of {[base_name + s for s in RAW_SUFFIXES]} exists under {raw_dir}"
             )
         return None
     return read_tsv_path(spark, path, RAW_COLUMNS.get(base_name, ()), quote=quote)

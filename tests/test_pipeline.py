@@ -8,8 +8,9 @@ import pytest
 
 from marquee import schemas as S
 from marquee.plans import build_all, run_etl, run_etl_from_dir
-from marquee.plans.etl import OPTIONAL_RAW
+from marquee.plans.etl import OPTIONAL_RAW, lake_path
 from marquee.session import scratch_path
+from marquee.sources import path_exists, read_lake
 
 
 def expected_datasets(present: set[str]) -> set[str]:
@@ -35,14 +36,47 @@ def test_thirty_two_combinations():
 
 
 @pytest.mark.parametrize("present", COMBOS, ids=lambda c: "+".join(sorted(c)) or "basics")
-def test_datasets_for_inputs(raw, present):
+def test_datasets_for_inputs(spark, raw, present):
+    """Every combination through the production run, in both modes."""
     inputs = {S.RAW_BASICS: raw[S.RAW_BASICS], **{k: raw[k] for k in present}}
-    built = build_all(inputs)
-    assert set(built) == expected_datasets(set(present))
-    for name, df in built.items():
-        assert df.columns == S.LAKE[name].columns
-        assert [f.dataType for f in df.schema.fields] == [
-            f.dataType for f in S.LAKE[name].schema.fields]
+    expected = expected_datasets(set(present))
+    contents = []
+    for mode in ("static", "dynamic"):
+        lake = scratch_path(spark, f"combo-{mode}")
+        counts = run_etl(spark, inputs, lake, mode=mode)
+        assert set(counts) == expected
+        found = {}
+        for name in expected:
+            df = read_lake(spark, lake_path(lake, name), name)
+            assert df.columns == S.LAKE[name].columns
+            assert [f.dataType for f in df.schema.fields] == [f.dataType for f in S.LAKE[name].schema.fields]
+            found[name] = sorted(map(str, df.collect()))
+            assert len(found[name]) == counts[name]
+        contents.append(found)
+    assert contents[0] == contents[1]
+
+
+def test_static_rebuild_drops_what_it_does_not_produce(spark, raw):
+    lake = scratch_path(spark, "stale")
+    run_etl(spark, dict(raw), lake)
+    assert path_exists(spark, lake_path(lake, "akas"))
+    empty = raw[S.RAW_NAMES].limit(0)
+    counts = run_etl(spark, {S.RAW_BASICS: raw[S.RAW_BASICS], S.RAW_NAMES: empty}, lake)
+    assert counts["names"] == 0
+    assert not any(path_exists(spark, lake_path(lake, n)) for n in ("names", "akas", "principals"))
+    run_etl(spark, dict(raw), lake)
+    run_etl(spark, {S.RAW_BASICS: raw[S.RAW_BASICS]}, lake, mode="dynamic")
+    assert path_exists(spark, lake_path(lake, "akas"))   # dynamic keeps the rest
+
+
+def test_empty_first_token_is_the_same_in_both_modes(spark, raw):
+    names = spark.createDataFrame([("nm1", "Ann", "1950", None, ",writer", None)], raw[S.RAW_NAMES].schema)
+    got = {}
+    for mode in ("static", "dynamic"):
+        lake = scratch_path(spark, f"token-{mode}")
+        run_etl(spark, {**raw, S.RAW_NAMES: names}, lake, mode=mode)
+        got[mode] = {r.primary_role for r in read_lake(spark, lake_path(lake, "principals"), "principals").where("nconst = 'nm1'").collect()}
+    assert got == {"static": {""}, "dynamic": {""}}
 
 
 def test_without_episode_file_uses_fallback(spark, raw):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import uuid
 
@@ -73,7 +74,8 @@ def test_reports_on_serving_tables(spark, serving):
 
 def test_serving_files_sorted_by_key(spark, serving):
     _, location, _ = serving
-    files = parquet_files(os.path.join(location, "principals"))
+    [version] = glob.glob(os.path.join(local(location), "principals-*"))
+    files = parquet_files(version)
     assert files
     for f in files:
         t = pq.read_table(f, columns=["tconst", "ordering", "nconst"]).to_pylist()
@@ -89,9 +91,10 @@ def test_conform_ranges_and_defaults(spark):
                  "CAST(NULL AS STRING) AS language", "CAST(NULL AS STRING) AS types")
     akas = conform(df, "akas").collect()
     by = {r.title_id: r for r in akas}
-    assert (by["t1"].ordering, by["t1"].is_original_title) == (0, 5)
-    assert (by["t2"].ordering, by["t2"].is_original_title) == (3, 0)   # 300 > UInt8
-    assert (by["t3"].ordering, by["t3"].region, by["t3"].title) == (0, "", "")
+    # out of range: kept, and flagged below
+    assert (by["t1"].ordering, by["t1"].is_original_title) == (-1, 5)
+    assert (by["t2"].ordering, by["t2"].is_original_title) == (3, 300)   # 300 > UInt8
+    assert (by["t3"].ordering, by["t3"].region, by["t3"].title) == (0, "Unknown", "")
     flags = conform(df, "akas", with_flags=True).agg(
         F.sum(F.col("_out_of_range_ordering").cast("int")).alias("o"),
         F.sum(F.col("_out_of_range_is_original_title").cast("int")).alias("i")).first()
@@ -109,7 +112,9 @@ def test_load_reports_out_of_range(spark):
     stats = load_table(spark, names, db, "names")
     assert stats == {"rows": 2, "birth_year_out_of_range": 1, "death_year_out_of_range": 1}
     rows = {r.nconst: r for r in read_table(spark, db, "names").collect()}
-    assert rows["nm1"].death_year is None and rows["nm2"].birth_year is None
+    assert rows["nm1"].death_year == 99999 and rows["nm2"].birth_year == -5
+    report = {r.dataset: (r.rows, r.out_of_range) for r in validate_counts(spark, db).collect()}
+    assert report["names"] == (2, 2) and report["titles"] == (None, None)
 
 
 def test_refresh_from_smaller_lake_empties_tables(spark, tmp_path):
@@ -145,4 +150,101 @@ def test_validate_counts_missing_table_is_null(spark):
 
 def test_location_is_used(spark, serving):
     _, location, _ = serving
-    assert os.path.isdir(os.path.join(local(location), "titles"))
+    assert len(glob.glob(os.path.join(local(location), "titles-*"))) == 1  # old versions are dropped
+
+
+def test_empty_lake_directory_keeps_the_old_rows(spark, tmp_path, raw_dir):
+    db, location = f"safe_{uuid.uuid4().hex[:8]}", scratch_path(spark, "safe-db")
+    lake = scratch_path(spark, "safe-lake")
+    run_etl_from_dir(spark, str(raw_dir), lake)
+    refresh_serving(spark, lake, db, location)
+    before = {r.dataset: r.rows for r in validate_counts(spark, db).collect()}
+    broken = tmp_path / "broken"
+    (broken / "titles").mkdir(parents=True)          # interrupted write: no _SUCCESS, no file
+    with pytest.raises(FileNotFoundError, match="titles"):
+        refresh_serving(spark, str(broken), db, location)
+    (broken / "titles" / "_SUCCESS").touch()         # committed, but without data
+    with pytest.raises(FileNotFoundError, match="titles"):
+        refresh_serving(spark, str(broken), db, location)
+    assert {r.dataset: r.rows for r in validate_counts(spark, db).collect()} == before
+
+
+def test_failed_load_keeps_all_tables(spark, raw_dir, monkeypatch):
+    from marquee.plans import serving as module
+
+    db, location = f"fail_{uuid.uuid4().hex[:8]}", scratch_path(spark, "fail-db")
+    lake = scratch_path(spark, "fail-lake")
+    run_etl_from_dir(spark, str(raw_dir), lake)
+    refresh_serving(spark, lake, db, location)
+    before = {n: sorted(map(str, read_table(spark, db, n).collect())) for n in S.SERVING}
+    original = module._write_version
+
+    def failing(df, path, spec):
+        if spec.name == "principals":
+            raise OSError("disk full")
+        return original(df, path, spec)
+
+    monkeypatch.setattr(module, "_write_version", failing)
+    with pytest.raises(OSError, match="disk full"):
+        refresh_serving(spark, lake, db, location)
+    assert {n: sorted(map(str, read_table(spark, db, n).collect())) for n in S.SERVING} == before
+    assert len(glob.glob(os.path.join(local(location), "titles-*"))) == 1
+
+
+def test_refresh_reports_values_out_of_range(spark):
+    from marquee.operators import write_partitioned
+
+    lake = scratch_path(spark, "range-lake")
+    names = spark.createDataFrame(
+        [("nm1", "A", 70_000, -1, "", "", ""), ("nm2", "B", 1950, None, "x", "x", "")],
+        "nconst string, primary_name string, birth_year int, death_year int, "
+        "primary_profession string, primary_role string, known_for_titles string")
+    titles = spark.createDataFrame([("tt1", "", 99_999), ("tt2", "movie", None)], "tconst string, title_type string, start_year int")
+    for f in S.TITLES.schema.fields:
+        if f.name not in titles.columns:
+            titles = titles.withColumn(f.name, F.lit(None).cast(f.dataType))
+    write_partitioned(names, f"{lake}/names", S.NAMES.partition_by)
+    write_partitioned(titles.select(*S.TITLES.columns), f"{lake}/titles", S.TITLES.partition_by)
+    db = f"range_{uuid.uuid4().hex[:8]}"
+    counts = refresh_serving(spark, lake, db, scratch_path(spark, "range-db"))
+    assert counts["names"] == 2
+    assert counts.out_of_range == {"titles": {"start_year": 1}, "names": {"birth_year": 1, "death_year": 1},}
+    kept = {r.nconst: r for r in read_table(spark, db, "names").collect()}
+    assert kept["nm1"].birth_year == 70_000 and kept["nm1"].primary_role == "Unknown"
+    years = {r.tconst: r.start_year for r in read_table(spark, db, "titles").collect()}
+    assert years == {"tt1": 99_999, "tt2": 0}   # a null year is partition 0
+
+
+def test_validate_counts_survives_a_broken_table(spark, serving, tmp_path):
+    db = f"torn_{uuid.uuid4().hex[:8]}"
+    create_serving_tables(spark, db, scratch_path(spark, "torn-db"))
+    bad = tmp_path / "bad"
+    (bad / "region=x").mkdir(parents=True)
+    (bad / "region=x" / "part-0.parquet").write_text("this is no parquet file")
+    spark.sql(f"DROP TABLE {db}.akas")
+    spark.sql(f"{create_table_sql(db, 'akas')} LOCATION '{bad}'")
+    spark.sql(f"MSCK REPAIR TABLE {db}.akas")
+    rows = [(r.dataset, r.rows) for r in validate_counts(spark, db).collect()]
+    assert rows == [("titles", 0), ("episodes", 0), ("names", 0), ("akas", None), ("principals", 0)]
+
+
+def test_files_of_a_hot_value_hold_disjoint_ranges(spark):
+    db = f"ranges_{uuid.uuid4().hex[:8]}"
+    location = scratch_path(spark, "ranges-db")
+    create_serving_tables(spark, db, location, [S.SERVING["akas"]])
+    akas = spark.range(40_000).selectExpr(
+        "concat('tt', lpad(cast(id % 9000 as string), 6, '0')) as title_id", "cast(id % 7 as int) as ordering",
+        "cast(id as string) as title", "case when id % 3 = 0 then 'US' else concat('r', id % 5) end as region",
+        "'' as language", "'' as types", "0 as is_original_title").repartition(4)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load_table(spark, akas, db, "akas")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = parquet_files(os.path.join(local(location), "akas", "region=US"))
+    assert len(files) > 1
+    spans = sorted((min(v), max(v)) for v in (pq.read_table(f, columns=["title_id"])["title_id"].to_pylist() for f in files))
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    one = "tt000300"
+    assert sum(low <= one <= high for low, high in spans) <= 2   # a point lookup skips the others

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import logging
 
+import pytest
+
 from marquee.session import (
-    MAX_INITIAL_PARTITIONS,
     SHUFFLE_TARGET_BYTES,
     apply_session_defaults,
+    checkpoint_root,
     input_bytes,
     size_shuffles,
     warn_without_adaptive,
@@ -54,7 +56,8 @@ def test_shuffle_sizing_from_input_size():
     assert size_shuffles(s, 10 * 1024**3) == 200                      # small input: keep 200
     assert size_shuffles(s, 1024**4) == 1024**4 // SHUFFLE_TARGET_BYTES  # 1 TB -> 4096
     assert s.conf.get(INITIAL) == "4096"
-    assert size_shuffles(s, 100 * 1024**5) == MAX_INITIAL_PARTITIONS   # capped
+    assert size_shuffles(s, 100 * 1024**4) == 100 * 1024**4 // SHUFFLE_TARGET_BYTES  # 100 TB: no cap
+    assert size_shuffles(s, 1024**4, target_bytes=1024**3) == 1024
 
 
 def test_shuffle_sizing_leaves_cluster_setting():
@@ -62,6 +65,24 @@ def test_shuffle_sizing_leaves_cluster_setting():
     assert size_shuffles(s, 1024**5) is None and s.conf.get(INITIAL) is None
 
 
+def test_no_local_scratch_on_a_cluster():
+    class _Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Conf()
+
+    session = _Session({})
+    session.sparkContext = _Context()
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        session.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(session)
+
+
 def test_input_bytes(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("x" * 1000)
     (tmp_path / "sub").mkdir()

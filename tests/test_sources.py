@@ -76,3 +76,29 @@ def test_directory_of_parts_is_one_input(spark, tmp_path):
     df = read_tsv(spark, str(tmp_path), S.RAW_BASICS)
     assert df.rdd.getNumPartitions() == 2
     assert sorted(r.tconst for r in df.collect()) == sorted(r[0] for r in rows)
+
+
+def test_parts_with_another_header_order_raise(spark, tmp_path):
+    part_dir = tmp_path / "title.ratings.tsv"
+    part_dir.mkdir()
+    write_tsv(part_dir / "part-0.tsv", [("tconst", "averageRating", "numVotes"), ("tt0", "9.0", "10")])
+    write_tsv(part_dir / "part-1.tsv", [("tconst", "numVotes", "averageRating"), ("tt1", "10", "9.0")])
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_tsv(spark, str(tmp_path), S.RAW_RATINGS).collect()
+
+
+def test_rows_of_a_single_gzip_file_are_dealt_anew(spark, raw_dir):
+    plan = read_tsv(spark, str(raw_dir), S.RAW_EPISODE)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and plan.index("Exchange") < plan.index("FileScan")
+    plan = read_tsv(spark, str(raw_dir), S.RAW_BASICS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_lake_without_data_files_raises(spark, tmp_path):
+    from marquee.sources import read_lake
+
+    (tmp_path / "names").mkdir()
+    with pytest.raises(FileNotFoundError, match="no committed Parquet"):
+        read_lake(spark, str(tmp_path / "names"), "names")
+    with pytest.raises(FileNotFoundError, match="not found"):
+        read_lake(spark, str(tmp_path / "akas"), "akas")
