@@ -40,7 +40,6 @@ from pyspark.sql import functions as F
 
 from marquee.llm._frames import staged
 from marquee.llm.textbytes import (
-    SLICE_BYTES,
     _tables,
     merge_intervals,
     mix64,
@@ -54,7 +53,9 @@ LENGTH = 100
 GRAM = 24
 HOT_DOCUMENTS = 1_000
 PIECE = 8
-GROUP_BYTES = 4 << 20
+EMIT_BLOCKS = 4_096
+GROUP_BYTES = 1 << 20      # text of the groups worked on at once
+PIECE_BYTES = 1 << 19      # text of documents worked on at once
 _PLACE_BITS = 21
 BLOCK_SCHEMA = "key long, doc_id long, at long, n int, block binary, is_hot boolean"
 SPAN_SCHEMA = "doc_id long, span_start long, span_end long"
@@ -72,17 +73,17 @@ def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:
 
 
 def text_pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, place in that row, bytes, offsets), about SLICE_BYTES each.
+    """(first row, place in that row, bytes, offsets), about PIECE_BYTES each.
 
     A text longer than a slice comes in pieces that overlap by length - 1.
     """
-    for i, j in row_slices(offsets):
+    for i, j in row_slices(offsets, PIECE_BYTES):
         low, high = int(offsets[i]), int(offsets[j])
-        if high - low <= SLICE_BYTES:
+        if high - low <= PIECE_BYTES:
             yield i, 0, data[low:high], offsets[i : j + 1] - low
             continue
-        for a in range(0, high - low - length + 1, SLICE_BYTES):
-            z = min(a + SLICE_BYTES + length - 1, high - low)
+        for a in range(0, high - low - length + 1, PIECE_BYTES):
+            z = min(a + PIECE_BYTES + length - 1, high - low)
             yield i, a, data[low + a : low + z], np.array([0, z - a])
 
 
@@ -149,8 +150,12 @@ def _longs(value) -> np.ndarray:
 def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
     """Binary array of the given byte ranges (ranges may overlap)."""
     ends = np.concatenate(([0], np.cumsum(size)))
-    index = np.arange(int(ends[-1])) + np.repeat(start - ends[:-1], size)
-    body = data[index]
+    body = np.empty(int(ends[-1]), dtype=np.uint8)
+    for a in range(0, len(start), 2_048):  # a bounded index at a time
+        z = min(a + 2_048, len(start))
+        n = size[a:z]
+        index = np.arange(int(n.sum()), dtype=np.int32) + np.repeat((start[a:z] - (ends[a:z] - ends[a])).astype(np.int32), n)
+        body[ends[a] : ends[z]] = data[index]
     return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(body)])
 
 
@@ -172,8 +177,11 @@ def _block_batches(length: int):
                     # membership per (row, seed), as one sorted search
                     known = np.concatenate(wanted) ^ np.repeat(_row_salt(np.arange(n_rows)), sizes)
                     take = np.isin(seed ^ _row_salt(row), known)
-                    out = _emit(piece, row[take], start[take], count[take], place[take], seed[take], length, kind == "hot")
-                    if out is not None:
+                    chosen = np.flatnonzero(take)
+                    for part in np.array_split(chosen, -(-len(chosen) // EMIT_BLOCKS) or 1):
+                        out = _emit(piece, row[part], start[part], count[part], place[part], seed[part], length, kind == "hot")
+                        if out is None:
+                            continue
                         keys, rows_, at, n, size, blocks = out
                         yield pa.RecordBatch.from_arrays([
                             pa.array(keys.view(np.int64)), pa.array(ids[first + rows_]),
