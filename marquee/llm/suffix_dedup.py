@@ -13,7 +13,8 @@ earlier: in a document of a smaller id, or earlier in the same document.
   previous and next smaller positions in suffix order give each suffix's
   longest earlier match, and a string whose longest previous factor reaches
   ``length`` is a later copy. The first copy stays.
-- *Hot seeds.* A seed of more than ``HOT_DOCUMENTS`` documents is split: its
+- *Hot seeds.* Up to ``HOT_DOCUMENTS`` documents, the blocks of a seed are about
+  3 MB and stay together. A seed of more documents is split: its
   strings are dealt by their offset from the seed gram in steps of ``PIECE``,
   and keyed by the ``length - PIECE + 1`` bytes that all strings of a piece
   share. Equal pieces are combined in the map tasks; the first stays in the
@@ -51,7 +52,7 @@ from marquee.llm.textbytes import (
 
 LENGTH = 100
 GRAM = 24
-HOT_DOCUMENTS = 1_000
+HOT_DOCUMENTS = 16_384     # a seed's group is at most so many blocks a text, about 3 MB
 PIECE = 8
 EMIT_BLOCKS = 4_096
 GROUP_BYTES = 1 << 20      # text of the groups worked on at once
