@@ -17,8 +17,9 @@ least ``PERCENT`` / 100.
    copies). After these links are merged into components, the remaining pairs
    of a shingle are formed only between different components.
 5. *Filters.* Length, position (counting only prefix shingles that another
-   class holds), and suffix: the sets' counts in fixed parts of hash space
-   bound their difference from below.
+   class holds), and suffix: parity signatures (inside the join between
+   components) and the sets' counts in fixed parts of hash space both bound
+   the sets' difference from below.
 6. *Verification.* Each pair left is verified once, on the whole sets.
 
 Links inside a component that is already connected are not listed; components
@@ -50,7 +51,8 @@ PERCENT = 80
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
 PARTS = 32
-SET_SCHEMA = "doc_id long, n long, set_id long, parts binary, prefix array<long>"
+SIGNATURE = [f"bits{i}" for i in range(8)]   # 64 bits each
+SET_SCHEMA = "doc_id long, n long, set_id long, parts binary, prefix array<long>, " + ", ".join(f"{c} long" for c in SIGNATURE)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +142,23 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
+def signatures(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """Parity bits of each row's set: rows x len(SIGNATURE) signed words.
+
+    Each shingle flips one bit, so two signatures differ in at most as many
+    bits as the sets differ in shingles.
+    """
+    bits = 64 * len(SIGNATURE)
+    bit = (mix64(value ^ np.uint64(0xE7037ED1A0B428DB)) % np.uint64(bits)).astype(np.int64)
+    out = np.zeros((rows, len(SIGNATURE)), dtype=np.int64)
+    for a in range(0, rows, 1_024):
+        z = min(a + 1_024, rows)
+        i, j = np.searchsorted(row, [a, z])
+        odd = np.bincount((row[i:j] - a) * bits + bit[i:j], minlength=(z - a) * bits) & 1
+        out[a:z] = np.packbits(odd.astype(np.uint8).reshape(z - a, bits), axis=1).view(np.int64)
+    return out
+
+
 def _set_batches(ranks, words: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of = ranks.value
@@ -166,8 +185,8 @@ def _set_batches(ranks, words: int, percent: int):
                 yield pa.RecordBatch.from_arrays([
                     batch["doc_id"].slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(set_id),
                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * PARTS), j - i, [None, pa.py_buffer(parts.tobytes())]).cast(pa.binary()),
-                    prefix,
-                ], ["doc_id", "n", "set_id", "parts", "prefix"])
+                    prefix, *(pa.array(np.ascontiguousarray(c)) for c in signatures(row, value, j - i).T),
+                ], ["doc_id", "n", "set_id", "parts", "prefix", *SIGNATURE])
 
     return run
 
@@ -226,19 +245,23 @@ def hub_pairs(shared: DataFrame, percent: int) -> DataFrame:
     return kept.select(*_pair("set_id", "hs", "n", "hn")).distinct()
 
 
-def cross_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a prefix shingle between classes of different components."""
+def cross_pairs(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a prefix shingle between classes of different components that
+    pass the length, position and signature filters."""
     named = shared.join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left").withColumn(
         "label", F.coalesce("label", "set_id"))
     named = staged(named, "jaccard-labelled")
     open_ = named.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("gram")
-    rows = staged(named.join(open_, "gram"), "jaccard-open")
-    left = rows.select("gram", *[F.col(c).alias(f"x_{c}") for c in ("set_id", "n", "place", "shared_before", "label")])
-    right = rows.select("gram", *[F.col(c).alias(f"y_{c}") for c in ("set_id", "n", "place", "shared_before", "label")])
-    met = left.join(right, (left["gram"] == right["gram"]) & (F.col("x_set_id") < F.col("y_set_id"))
+    rows = staged(named.join(open_, "gram").join(classes.select("set_id", *SIGNATURE), "set_id"), "jaccard-open")
+    sides = ["gram", "set_id", "n", "place", "shared_before", "label", *SIGNATURE]
+    left, right = (rows.select(*[F.col(c).alias(f"{s}_{c}") for c in sides]) for s in "xy")
+    differing = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in SIGNATURE), F.lit(0))
+    allowed = F.col("x_n") + F.col("y_n") - 2 * _needed(F.col("x_n"), F.col("y_n"), percent)
+    met = left.join(right, (F.col("x_gram") == F.col("y_gram")) & (F.col("x_set_id") < F.col("y_set_id"))
                     & (F.col("x_label") != F.col("y_label")) & _length_ok(F.col("x_n"), F.col("y_n"), percent)
                     & _position_ok(F.col("x_n"), F.col("x_place"), F.col("x_shared_before"),
-                                   F.col("y_n"), F.col("y_place"), F.col("y_shared_before"), percent))
+                                   F.col("y_n"), F.col("y_place"), F.col("y_shared_before"), percent)
+                    & (differing <= allowed))
     return met.select(*_pair("x_set_id", "y_set_id", "x_n", "y_n")).distinct()
 
 
@@ -320,7 +343,7 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     near = staged(hub_pairs(shared, percent), "jaccard-hub-pairs")
     links = verified(suffix_filter(near, classes, percent), classes, rows, words, percent)
     labels = staged(connected_components(links), "jaccard-hub-labels")
-    far = cross_pairs(shared, labels, percent).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    far = cross_pairs(shared, labels, classes, percent).join(near.select("a", "b"), ["a", "b"], "left_anti")
     more = verified(suffix_filter(far, classes, percent), classes, rows, words, percent)
     # hub components are kept as links of their label
     merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
