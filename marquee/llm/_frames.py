@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from marquee.session import scratch_path
 
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
-CHUNK_ROWS = 2_000
+CHUNK_ROWS = 500
 
 
 # Once a staged table is written nothing reads the shuffle files of its job

@@ -114,17 +114,20 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return each
 
 
-def _last_slot(planned: DataFrame) -> DataFrame:
-    """Per (rank, turn): the slot that holds the short last block."""
-    return planned.where("block = blocks - 1").select("rank", "turn", F.col("slot").alias("short_slot"))
-
-
 def mix_slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix as slots: rank, turn, slot, block, words, shard, place."""
-    listed = slots(sources, block_words)
-    planned = listed.join(_last_slot(listed), ["rank", "turn"])
-    short = F.when(F.col("slot") > F.col("short_slot"), block_words - F.col("_last")).otherwise(0)
-    before = F.col("slot") * block_words - short
+    """The mix as slots: rank, turn, slot, block, words, shard, place.
+
+    The slot lists are staged: Spark plans their joins by the size of the
+    files, not by the size of the source table they were exploded from.
+    """
+    spark = sources.sparkSession
+    listed = staged(slots(sources, block_words), "mix-slots")
+    # a row per source and pass: the slot that holds the short last block
+    short = listed.where("block = blocks - 1").select("rank", "turn", "slot").collect()
+    ends = spark.createDataFrame([tuple(r) for r in short], "rank long, turn long, short_slot long")
+    planned = listed.join(F.broadcast(ends), ["rank", "turn"])
+    lacking = F.when(F.col("slot") > F.col("short_slot"), block_words - F.col("_last")).otherwise(0)
+    before = F.col("slot") * block_words - lacking
     taken = F.greatest(F.lit(0), F.least(F.col("length"), F.col("budget") - before))
     kept = planned.withColumn("words_taken", taken).where("words_taken > 0")
     # Global slot number: sources in order, passes in order, slots in order.
@@ -134,14 +137,13 @@ def mix_slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: i
     for rank, turn, n in counts:
         bases.append((rank, turn, total))
         total += n
-    spark = sources.sparkSession
     base = spark.createDataFrame(bases, "rank long, turn long, base long")
     number = F.col("base") + F.col("slot")
     place = _permuted(number, F.lit(max(total, 1)).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"))
-    return kept.join(base, ["rank", "turn"]).withColumn("place", place).select(
+    return staged(kept.join(F.broadcast(base), ["rank", "turn"]).withColumn("place", place).select(
         "rank", "turn", "slot", "block", "words_taken",
         F.expr(f"place div {shard_slots}").alias("shard"), F.pmod("place", F.lit(shard_slots)).alias("position"),
-    )
+    ), "mix-places")
 
 
 def pack(sizes: DataFrame, sources: DataFrame, rows: int, block_words: int = BLOCK_WORDS) -> DataFrame:
