@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from marquee.session import scratch_path
 
 MIN_BYTES = 1_000
-FILE_RECORDS = 8_192          # records of an archive file at most
+FILE_RECORDS = 4_096          # records of an archive file at most
 PIECE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 DATE = "1970-01-01T00:00:00Z"  # archives repeat exactly
