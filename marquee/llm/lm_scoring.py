@@ -12,10 +12,11 @@ take the last 0.1. Probabilities of a position add up to one.
 
 *Training.* Noise-contrastive estimation against the unigram distribution of
 classes, with the noise words of a minibatch shared, so every step is a few
-matrix products in numpy. All training texts are used, in ``ROUNDS`` disjoint
-parts: in a round every task trains a copy of the model on its texts, and the
-copies are averaged in Spark, weighted by tokens, before the next round. Only
-the averaged model, of fixed size, reaches the driver.
+matrix products in numpy. Training is ``EPOCHS`` epochs over all training
+texts, as many at every size of corpus: in an epoch every task trains a copy of
+the model on its texts, each once, and the copies with their AdaGrad sums are
+averaged in Spark, weighted by tokens, before the next epoch. Only the average,
+of fixed size, reaches the driver.
 
 *Counts.* Words are counted over all training texts: a row per task and
 distinct word, added up by word. To score, documents are dealt into blocks of
@@ -52,9 +53,7 @@ CONTEXT = 2
 DIMENSIONS = 16
 NOISE = 48
 BATCH = 4_096
-ROUNDS = 2
-SMALL_TOKENS = 4_000_000    # a smaller corpus is passed over several times,
-MAX_PASSES = 8              # up to so many
+EPOCHS = 3
 PACE = 0.1
 PIECE_TOKENS = 1 << 20
 SCORE_BYTES = 4 << 20
@@ -197,6 +196,11 @@ class Model:
         return np.concatenate([x.ravel() for x in (self.context, self.place, self.output, self.bias)])
 
 
+def initial_squares(model: Model) -> list[np.ndarray]:
+    """AdaGrad sums before the first step, shaped like the parameters."""
+    return [np.full_like(x, 1e-4) for x in (model.context, model.place, model.output, model.bias[:, None])]
+
+
 def _shaped(flat: np.ndarray) -> Model:
     sizes = ((CLASSES + 1, DIMENSIONS), (CONTEXT, DIMENSIONS), (CLASSES, DIMENSIONS), (CLASSES,))
     out, at = [], 0
@@ -278,23 +282,30 @@ def train_slice(model: Model, squares: list[np.ndarray], context: np.ndarray, ta
         _scatter(bias, squares[3], rows, g_bias, pace)
 
 
+def _flat_state(model: Model, squares: list[np.ndarray]) -> np.ndarray:
+    """Parameters and AdaGrad sums, one after the other."""
+    return np.concatenate([model.flat(), *(x.ravel() for x in squares)])
+
+
+def _state(flat: np.ndarray) -> tuple[Model, list[np.ndarray]]:
+    half = len(flat) // 2
+    model, sums = _shaped(flat[:half]), _shaped(flat[half:])
+    return model, [sums.context, sums.place, sums.output, sums.bias[:, None]]
+
+
 def _train_batches(shared, seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, vocab = shared.value
-        model = _shaped(flat.copy())
-        squares = [np.full_like(x, 1e-4) for x in (model.context, model.place, model.output, model.bias[:, None])]
+        state, vocab = shared.value
+        model, squares = _state(state)
         noise, rng, seen = _noise(vocab), np.random.default_rng(seed), 0
-        passes = int(np.clip(SMALL_TOKENS // max(vocab.total, 1), 1, MAX_PASSES))
         for batch in batches:
             for _, _, piece, places in _slices(batch["text"]):
                 word, tail, head = tokens(piece, places)
                 classes = vocab.classify(word, tail)
-                before = contexts(classes, head)
-                for _ in range(passes):
-                    train_slice(model, squares, before, classes, noise, rng)
+                train_slice(model, squares, contexts(classes, head), classes, noise, rng)
                 seen += len(classes)
         if seen:
-            yield _parameters(model.flat().astype(np.float64) * seen, seen, seed)
+            yield _parameters(_flat_state(model, squares).astype(np.float64) * seen, seen, seed)
 
     return run
 
@@ -330,20 +341,20 @@ def _add_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], ["part", "salt", "weight", "numbers"])
 
 
-def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Train on all ``rows``; round r takes the texts whose hash is r."""
+def train(rows: DataFrame, vocab: Vocabulary, epochs: int = EPOCHS) -> Model:
+    """Train on all ``rows`` in every epoch; copies are averaged after each."""
     sc = rows.sparkSession.sparkContext
     model = initial_model(vocab)
-    for r in range(rounds):
-        shared = sc.broadcast((model.flat(), vocab))        # fixed size
-        part = rows.where(F.pmod(F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), F.lit(rounds)) == r)
-        copies = part.select("text").mapInArrow(_train_batches(shared, r), PARAMETER_SCHEMA)
+    state = _flat_state(model, initial_squares(model))
+    for epoch in range(epochs):
+        shared = sc.broadcast((state, vocab))        # fixed size
+        copies = rows.select("text").mapInArrow(_train_batches(shared, epoch), PARAMETER_SCHEMA)
         for keys in (("part", "salt"), ("part",)):
             copies = copies.repartition(PARAMETER_PARTS, *keys).mapInArrow(_add_batches, PARAMETER_SCHEMA)
         got = sorted(copies.collect(), key=lambda x: x["part"])   # PARAMETER_PARTS rows
         if got:
-            model = _shaped(np.concatenate([np.array(x["numbers"]) / x["weight"] for x in got]))
-    return model
+            state = np.concatenate([np.array(x["numbers"]) / x["weight"] for x in got])
+    return _state(state)[0]
 
 
 # --------------------------------------------------------------------- scoring

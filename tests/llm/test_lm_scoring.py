@@ -119,3 +119,24 @@ def test_long_text_and_blocks(workers):
     assert want.keys() == small.keys() and all(small[d] == pytest.approx(want[d]) for d in want)
     true = brute(rows)
     assert all(want[d] == pytest.approx(true[d][3]) for d in want)
+
+
+def test_a_text_is_trained_on_once_an_epoch_at_any_size(monkeypatch):
+    """The size of the corpus changes neither the passes nor the model."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c a", "b c"] * 50)], ["text"])
+    calls, real = [], L.train_slice
+    monkeypatch.setattr(L, "train_slice", lambda *a, **b: (calls.append(len(a[3])), real(*a, **b)))
+    got = []
+    for total in (9, 10**9):
+        count = np.full(L.CLASSES, 5)
+        vocab = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), count, np.ones(L.CLASSES, np.int64), total, L.CLASSES)
+        model = L.initial_model(vocab)
+        shared = SimpleNamespace(value=(L._flat_state(model, L.initial_squares(model)), vocab))
+        out, = L._train_batches(shared, 0)([batch])
+        got.append(np.concatenate([x.values.to_numpy() for x in out["numbers"]]))
+    assert calls == [8 * 50, 8 * 50]
+    assert (got[0] == got[1]).all()
