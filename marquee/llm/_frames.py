@@ -41,6 +41,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW_KEY = "struct<file:bigint,row:bigint>"
+
+
+def with_row_key(df: DataFrame, out: str, name: str) -> DataFrame:
+    """``df`` with a key of type ROW_KEY, different for every row and the same
+    at every evaluation: the file (a 64-bit hash of its path) and the row in it.
+
+    A frame that is not a plain read of files is staged first, since rows of
+    one file may have been repeated by then.
+    """
+    plan = df._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    rows = df if plan == "LogicalRelation" else staged(df, name)
+    key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.select(*rows.columns, key.alias(out))
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did.
 

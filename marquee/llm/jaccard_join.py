@@ -7,8 +7,8 @@ least ``PERCENT`` / 100.
 1. *Order.* A frequency sketch of fixed size (2**SKETCH_BITS counters over all
    shingles of all texts) ranks shingles; a set is ordered rare first, ties by
    hash. Any total order is right for the filters; rare-first makes them cheap.
-2. *Classes.* Equal sets are one class, represented by the smallest doc_id, so
-   exact copies are never paired.
+2. *Classes.* Equal sets are one class, represented by one row (a row key, not
+   a doc_id, finds its text again), so exact copies are never paired.
 3. *Prefixes.* Sets that link share a shingle among the first
    n - ceil(t n) + 1 of each. Prefix shingles of one class alone are dropped.
 4. *Candidates without all pairs.* For each prefix shingle, every class is
@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from marquee.llm._frames import staged
+from marquee.llm._frames import ROW_KEY, staged, with_row_key
 from marquee.llm.components import connected_components
 from marquee.llm.textbytes import LOWER, gram_hashes, mix64, range_hashes, row_slices, text_buffers, word_bounds
 
@@ -52,7 +52,7 @@ SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
 PARTS = 32
 SIGNATURE = [f"bits{i}" for i in range(8)]   # 64 bits each
-SET_SCHEMA = "doc_id long, n long, set_id long, parts binary, prefix array<long>, " + ", ".join(f"{c} long" for c in SIGNATURE)
+SET_SCHEMA = f"row {ROW_KEY}, doc_id long, n long, set_id long, parts binary, prefix array<long>, " + ", ".join(f"{c} long" for c in SIGNATURE)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -183,16 +183,16 @@ def _set_batches(ranks, words: int, percent: int):
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(value[chosen].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([
-                    batch["doc_id"].slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(set_id),
+                    batch["row"].slice(i, j - i), batch["doc_id"].slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(set_id),
                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * PARTS), j - i, [None, pa.py_buffer(parts.tobytes())]).cast(pa.binary()),
                     prefix, *(pa.array(np.ascontiguousarray(c)) for c in signatures(row, value, j - i).T),
-                ], ["doc_id", "n", "set_id", "parts", "prefix", *SIGNATURE])
+                ], ["row", "doc_id", "n", "set_id", "parts", "prefix", *SIGNATURE])
 
     return run
 
 
 def document_sets(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, set_id, parts and rare-first prefix of every document."""
+    """row, doc_id, n, set_id, parts and rare-first prefix of every document."""
     ranks = rows.sparkSession.sparkContext.broadcast(frequency_ranks(rows, words))
     return staged(rows.mapInArrow(_set_batches(ranks, words, percent), SET_SCHEMA), "jaccard-sets")
 
@@ -324,21 +324,23 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     """The links among ``pairs``: whole sets are compared, each pair once."""
     pairs = staged(pairs, "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    owners = classes.join(wanted, "set_id").select("set_id", F.col("doc_id").alias("_doc"))
-    texts = rows.join(owners, rows["doc_id"] == owners["_doc"]).select("set_id", "text").dropDuplicates(["set_id"])
+    owners = classes.join(wanted, "set_id").select("set_id", "row")
+    texts = rows.join(owners, "row").select("set_id", "text")
     tokens = staged(texts.mapInArrow(_token_batches(words), "set_id long, tokens array<long>"), "jaccard-tokens")
     with_a = pairs.select("a", "b").join(tokens.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta")), "a")
     both = with_a.join(tokens.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb")), "b")
     return staged(both.mapInArrow(_verify_batches(percent), "a long, b long"), "jaccard-links")
 
 
-def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_id, component_id."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def placed_rows(keyed: DataFrame, key: str, words: int = WORDS, percent: int = PERCENT, nameless: bool = True) -> DataFrame:
+    """row (the value of ``key``), doc_id, n, set_id and label of every row;
+    rows of one component share a label. Sets that only rows without a doc_id
+    hold link like any other if ``nameless``, else with nothing."""
+    rows = keyed.select(F.col(key).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = document_sets(rows, words, percent)
-    first = sets.where("n > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("_doc"))
-    classes = staged(sets.join(first.select(F.col("_doc").alias("doc_id"), "set_id"), ["doc_id", "set_id"])
-                     .dropDuplicates(["set_id"]).select(*sets.columns), "jaccard-classes")
+    held = sets.where("n > 0") if nameless else sets.where("n > 0 and doc_id is not null")
+    first = held.groupBy("set_id").agg(F.min("row").alias("row"))
+    classes = staged(sets.join(first, ["row", "set_id"]).select(*sets.columns), "jaccard-classes")
     shared = shared_prefixes(classes)
     near = staged(hub_pairs(shared, percent), "jaccard-hub-pairs")
     links = verified(suffix_filter(near, classes, percent), classes, rows, words, percent)
@@ -348,9 +350,15 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     # hub components are kept as links of their label
     merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
     final = connected_components(merged)
-    placed = sets.select("doc_id", "n", "set_id").join(
+    placed = sets.select("row", "doc_id", "n", "set_id").join(
         final.select(F.col("node").alias("set_id"), "label"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    placed = staged(placed, "jaccard-placed")
+    return staged(placed, "jaccard-placed")
+
+
+def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, set_id, component_id."""
+    keyed = with_row_key(documents, "_row", "jaccard-texts")
+    placed = placed_rows(keyed, "_row", words, percent, nameless=False)
     smallest = placed.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     joined = placed.join(smallest, "label", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), "set_id",

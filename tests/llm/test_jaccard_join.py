@@ -93,3 +93,15 @@ def test_components(workers):
     got = {r.node: r.label for r in connected_components(workers.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in linked}
     assert connected_components(workers.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_share_an_id_are_verified_with_their_own(workers):
+    """Ids 0-19 name two different texts each; both have a near copy."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(20):
+        a, b = sentence(rng, 60, 50_000), sentence(rng, 60, 50_000)
+        rows += [(i, a), (i, b), (100 + i, a + " tail"), (200 + i, b + " tail")]
+    frame = workers.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(frame).collect()}
+    assert got == {(k + i, i) for i in range(20) for k in (0, 100, 200)}
