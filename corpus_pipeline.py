@@ -3,6 +3,9 @@
 A stage is ``f(spark, docs, sf_dir) -> DataFrame``. Every stage works on all
 rows its predecessor kept and all but the last return the columns of
 ``documents``; between stages the rows are written as Parquet and read back.
+
+Stages that drop rows decide and act on each row by a row key, never by
+``doc_id``: ids may be null, repeated, or shared by different texts.
 """
 
 from __future__ import annotations
@@ -10,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm._frames import staged, table
+from marquee.llm._frames import staged, table, with_row_key
 from marquee.llm.kd_sharding import kd_shards
 from marquee.llm.mixing import mix_documents
-from marquee.llm.decontamination import contaminated
-from marquee.llm.jaccard_join import near_duplicates
+from marquee.llm.decontamination import contaminated_rows
+from marquee.llm.jaccard_join import placed_rows
 from marquee.llm.toxicity import score_documents, train_on_labels
 
 
@@ -25,16 +28,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest id."""
-    groups = near_duplicates(docs).select(F.col("doc_id").alias("_id"), "component_id")
-    gone = groups.where("_id <> component_id").select("_id")
-    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    """One row of each group of near duplicates stays: the smallest id, nulls
+    last, then the smallest row key. Rows without words all stay."""
+    keyed = with_row_key(docs, "_row", "pipeline-rows")
+    placed = placed_rows(keyed, "_row").where("n > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    first = placed.groupBy("label").agg(F.min(order).alias("first")).select("label", F.col("first.row").alias("kept"))
+    gone = placed.join(first, "label").where("row <> kept").select(F.col("row").alias("_row"))
+    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    hits = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id"))
-    return docs.join(hits, docs["doc_id"] == hits["_id"], "left_anti")
+    """Rows that hold a passage of the benchmark go."""
+    keyed = with_row_key(docs, "_row", "pipeline-rows")
+    hits = contaminated_rows(keyed, "_row", table(spark, sf_dir, "benchmark"))
+    return keyed.join(hits, "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

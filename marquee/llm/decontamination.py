@@ -28,9 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm._frames import ROW_KEY
 from marquee.llm.textbytes import LOWER, _SEPARATOR, mix64, row_slices, text_buffers
 
 Q = 8
@@ -259,7 +260,7 @@ def _search_batches(blocks: list[Index]):
                         own = offsets[i + r] - offsets[i]
                         hits.append((ids[i + r], index.ids[k], distance, int(from_ - own), int(to - own)))
             if hits:
-                columns = [pa.array(c, t) for c, t in zip(zip(*hits), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))]
+                columns = [pa.array(c, t) for c, t in zip(zip(*hits), (batch["doc_id"].type, pa.int64(), pa.int32(), pa.int64(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in HIT_SCHEMA.split(", ")])
 
     return run
@@ -286,15 +287,27 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, share: float = EDI
     Columns: doc_id, item_id, distance (edits of the best occurrence),
     start_byte, end_byte (its place in the text's UTF-8 bytes).
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _passages(documents, F.col("doc_id").cast("long"), "long", benchmark, share, block_bytes)
+
+
+def _passages(documents: DataFrame, key: Column, kind: str, benchmark: DataFrame, share: float = EDIT_SHARE,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``find_passages`` with ``key``, of type ``kind``, as the doc_id."""
+    schema = HIT_SCHEMA.replace("doc_id long", f"doc_id {kind}")
+    rows = documents.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for blocks in _blocks(benchmark, share, block_bytes):
-        part = rows.mapInArrow(_search_batches(blocks), HIT_SCHEMA)
+        part = rows.mapInArrow(_search_batches(blocks), schema)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else documents.sparkSession.createDataFrame([], HIT_SCHEMA)
+    return out if out is not None else documents.sparkSession.createDataFrame([], schema)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Ids of the documents that hold a benchmark passage, one row each."""
     return find_passages(documents, benchmark, **options).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("items"), F.min("distance").alias("distance"))
+
+
+def contaminated_rows(keyed: DataFrame, key: str, benchmark: DataFrame, **options) -> DataFrame:
+    """Row keys (column ``key``) of the rows that hold a benchmark passage."""
+    return _passages(keyed, F.col(key), ROW_KEY, benchmark, **options).select(F.col("doc_id").alias(key)).distinct()

@@ -97,3 +97,32 @@ def test_empty_input(workers, tmp_path, made):
     for name, stage in P.STAGES:
         empty = stage(workers, empty, made[0])
         assert empty.count() == 0, name
+
+
+def test_rows_are_dropped_by_row_not_by_id(workers, tmp_path, made):
+    """Null ids, repeated rows, and ids that different texts share."""
+    sf_dir, _, _, items = made
+    rng = random.Random(21)
+    a, b, c, d, e = (sentence(rng, 120, 50_000) for _ in range(5))
+    dirty = f"{sentence(rng, 40, 50_000)} {items[0][1]}"
+    texts = [
+        (1, a), (1, a), (1, a),              # repeated rows of the smallest id: one stays
+        (2, b), (2, a + " tail"),            # one id, a clean text and a near copy: b stays
+        (None, c), (None, c + " tail"),      # near copies without an id: one stays
+        (None, d), (9, d),                   # the row with an id stays
+        (3, e), (3, dirty), (None, dirty + " x1 x2 x3 x4 x5 x6 x7 x8 x9 x10 x11 x12 x13 x14 x15 x16 x17"),
+        (None, None), (None, ""),
+    ]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    path = f"{tmp_path}/documents"
+    workers.createDataFrame(rows, DOCUMENTS).repartition(3).write.parquet(path)
+    read = workers.read.parquet(path)
+    for frame in (read, read.where("n_chars >= 0"), workers.createDataFrame(rows, DOCUMENTS)):
+        near = P.drop_near_duplicates(workers, frame, sf_dir)
+        got = Counter((r.doc_id, r.text) for r in near.collect())
+        assert got[1, a] == 1 and got[2, b] == 1 and got[2, a + " tail"] == 0
+        assert got[None, c] + got[None, c + " tail"] == 1
+        assert got[9, d] == 1 and got[None, d] == 0
+        assert got[3, e] == 1 and got[None, None] == 1 and got[None, ""] == 1
+        clean = Counter((r.doc_id, r.text) for r in P.drop_contaminated(workers, frame, sf_dir).collect())
+        assert clean == Counter((i, t) for i, t in texts if items[0][1] not in (t or ""))
