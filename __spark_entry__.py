@@ -60,7 +60,7 @@ from marquee.operators import (  # noqa: E402
     write_partitioned,
 )
 from marquee.operators.sinks import layout_for_write  # noqa: E402
-from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl  # noqa: E402
+from marquee.plans import conform, counts_frame, read_table, refresh_serving, run_etl, write_lake  # noqa: E402
 from marquee.plans.etl import lake_path  # noqa: E402
 from marquee.session import scratch_path  # noqa: E402
 from marquee.sources import lake_project, read_lake, read_tsv  # noqa: E402
@@ -182,6 +182,10 @@ RUNTIME_FROM_LINEITEM_PART = {
 }
 
 
+# The same with a wide 64-bit value in place of minutes.
+WIDE_RUNTIME = "CAST(l_orderkey * 1048576 + l_partkey * 64 + l_linenumber AS BIGINT)"
+
+
 def _select_list(exprs: dict[str, str]) -> list[str]:
     return [f"{e} AS {n}" for n, e in exprs.items()]
 
@@ -240,11 +244,14 @@ def orders_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").selectExpr(*_select_list(TITLES_FROM_ORDERS))
 
 
-def runtime_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def runtime_titles(spark: SparkSession, sf_dir: str, runtime: str | None = None) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem")
     part = _table(spark, sf_dir, "part")
     joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
-    return joined.selectExpr(*_select_list(RUNTIME_FROM_LINEITEM_PART))
+    exprs = dict(RUNTIME_FROM_LINEITEM_PART)
+    if runtime:
+        exprs["runtime_minutes"] = runtime
+    return joined.selectExpr(*_select_list(exprs))
 
 
 # Lakes written by the layout queries, built once per session and input.
@@ -374,6 +381,16 @@ def q_runtime_by_group_percentile(spark, sf_dir):
                             median="percentile")
 
 
+def q_runtime_by_group_bounded(spark, sf_dir):
+    """J5 by radix select over a 64-bit value with about one distinct value a row."""
+    titles = runtime_titles(spark, sf_dir, WIDE_RUNTIME)
+    return runtime_by_genre(titles, RUNTIME_TYPE, MIN_GROUP, median="bounded")
+
+
+def q_runtime_by_group_approx(spark, sf_dir):
+    return runtime_by_genre(runtime_titles(spark, sf_dir), RUNTIME_TYPE, MIN_GROUP, median="approx")
+
+
 def q_top_people_in_categories(spark, sf_dir):
     return top_people_in_categories(_principals(spark, sf_dir), ACTOR_CATEGORIES)
 
@@ -445,6 +462,32 @@ def q_partition_overwrite(spark, sf_dir):
     return read_lake(spark, path, S.TITLES)
 
 
+UPDATE_YEARS_BACK = 3
+
+
+def q_lake_moved_rows(spark, sf_dir):
+    """A lake of all orders titles, then an update with the (year >= 2000, 'F')
+    titles, runtime + 1, a third of which now carry an earlier year: the
+    partitions of the update are replaced, and titles that moved into them
+    leave the partition they were in."""
+    lake = scratch_path(spark, "moved-lake")
+    titles = orders_titles(spark, sf_dir)
+    write_lake(spark, lake, {"titles": titles})
+    changed = titles.filter(
+        (F.col("title_type") == MOVIE_TYPE) & (F.col("start_year") >= OVERWRITE_FROM_YEAR)
+    ).withColumns({
+        "runtime_minutes": F.col("runtime_minutes") + 1,
+        "title_type": F.when(F.col("tconst").cast("long") % 3 == 0, F.lit("moved")).otherwise(F.col("title_type")),
+        "start_year": F.when(F.col("tconst").cast("long") % 3 == 0, F.col("start_year") - UPDATE_YEARS_BACK)
+        .otherwise(F.col("start_year")),
+    }).filter("start_year <> 2001")
+    write_lake(spark, lake, {"titles": changed}, mode="dynamic", pool_rows=MOVED_POOL_ROWS)
+    return read_lake(spark, lake_path(lake, "titles"), S.TITLES)
+
+
+MOVED_POOL_ROWS = 500  # the update has both small and large partition values
+
+
 def q_guarded_write_count(spark, sf_dir):
     titles = orders_titles(spark, sf_dir)
     empty = titles.filter(F.col("title_type") == "no such type")
@@ -573,6 +616,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_popularity": q_recent_popularity,
     "runtime_by_group": q_runtime_by_group,
     "runtime_by_group_percentile": q_runtime_by_group_percentile,
+    "runtime_by_group_bounded": q_runtime_by_group_bounded,
+    "runtime_by_group_approx": q_runtime_by_group_approx,
     "top_people_in_categories": q_top_people_in_categories,
     "top_regions": q_top_regions,
     "top_people_typed": q_top_people_typed,
@@ -581,6 +626,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lake": q_scan_lake,
     "lake_project": q_lake_project,
     "partition_overwrite": q_partition_overwrite,
+    "lake_moved_rows": q_lake_moved_rows,
     "guarded_write_count": q_guarded_write_count,
     "etl_counts": q_etl_counts,
     "conform_schema": q_conform_schema,
@@ -708,6 +754,9 @@ ORDERS_TITLES_CTE = ("otitles", _sql_proj(TITLES_FROM_ORDERS, "orders"))
 RUNTIME_CTE = ("rtitles", _sql_proj(
     RUNTIME_FROM_LINEITEM_PART, "lineitem JOIN part ON l_partkey = p_partkey"))
 
+WIDE_RUNTIME_CTE = ("rtitles", _sql_proj(
+    {**RUNTIME_FROM_LINEITEM_PART, "runtime_minutes": WIDE_RUNTIME}, "lineitem JOIN part ON l_partkey = p_partkey"))
+
 TITLES_CTES = [RAW_BASICS_CTE, RAW_RATINGS_CTE, BASICS_CTE, TITLES_CTE]
 EPISODES_CTES = TITLES_CTES + [RAW_EPISODE_CTE, EPISODES_CTE]
 PRINCIPALS_CTES = TITLES_CTES + [RAW_NAMES_CTE, NAMES_CTE, RAW_PRINCIPALS_CTE, PRINCIPALS_CTE]
@@ -831,6 +880,9 @@ _ORACLE: dict[str, str] = {
     "recent_popularity": _with([ORDERS_TITLES_CTE], J4_SQL),
     "runtime_by_group": _with([RUNTIME_CTE], J5_SQL),
     "runtime_by_group_percentile": _with([RUNTIME_CTE], J5_SQL),
+    "runtime_by_group_bounded": _with([WIDE_RUNTIME_CTE], J5_SQL),
+    "runtime_by_group_approx": _with([RUNTIME_CTE], J5_SQL.replace(
+        "quantile_cont(runtime_minutes, 0.5)", "CAST(quantile_disc(runtime_minutes, 0.5) AS DOUBLE)")),
     "top_people_in_categories": _with(PRINCIPALS_CTES, J6_TEMPLATE.format(src="principals")),
     "top_regions": _with([RAW_AKAS_CTE, AKAS_CTE], J7_TEMPLATE.format(src="akas")),
     "top_people_typed": _with(PRINCIPALS_CTES, J8_SQL.format(src="principals")),
@@ -848,6 +900,17 @@ SELECT tconst, title_type, primary_title, original_title, start_year, end_year,
             THEN runtime_minutes + 1 ELSE runtime_minutes END AS runtime_minutes,
        genres, primary_genre, average_rating, num_votes
 FROM otitles"""),
+    "lake_moved_rows": _with([ORDERS_TITLES_CTE, ("changed", f"""
+SELECT tconst, CASE WHEN CAST(tconst AS BIGINT) % 3 = 0 THEN 'moved' ELSE title_type END AS title_type,
+       primary_title, original_title,
+       CASE WHEN CAST(tconst AS BIGINT) % 3 = 0 THEN start_year - {UPDATE_YEARS_BACK} ELSE start_year END AS start_year,
+       end_year, runtime_minutes + 1 AS runtime_minutes, genres, primary_genre, average_rating, num_votes
+FROM otitles WHERE title_type = '{MOVIE_TYPE}' AND start_year >= {OVERWRITE_FROM_YEAR}"""),
+        ("updated", "SELECT * FROM changed WHERE start_year <> 2001")], """
+SELECT * FROM updated
+UNION ALL
+SELECT * FROM otitles o WHERE NOT EXISTS (SELECT 1 FROM updated u WHERE u.tconst = o.tconst)
+  AND NOT EXISTS (SELECT 1 FROM updated u WHERE u.start_year = o.start_year AND u.title_type = o.title_type)"""),
     "guarded_write_count": """
 SELECT 'titles' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM orders
 UNION ALL SELECT 'empty' AS dataset, CAST(0 AS BIGINT) AS rows""",

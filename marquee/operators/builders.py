@@ -178,6 +178,18 @@ def build_akas(akas_raw: DataFrame) -> DataFrame:
     )
 
 
+def read_credits(principals_raw: DataFrame) -> DataFrame:
+    """The bridge's own columns, typed; a missing category becomes ``Unknown``."""
+    return principals_raw.select(
+        "tconst",
+        lenient_cast("ordering", INT).alias("ordering"),
+        "nconst",
+        default_if_null("category", S.UNKNOWN).alias("category"),
+        "job",
+        "characters",
+    )
+
+
 def build_principals(
     principals_raw: DataFrame, names: DataFrame, titles: DataFrame
 ) -> DataFrame:
@@ -187,14 +199,7 @@ def build_principals(
     (tconst)``; only the attributes the bridge carries are projected from
     each dimension before its join. A missing category becomes ``Unknown``.
     """
-    credits = principals_raw.select(
-        "tconst",
-        lenient_cast("ordering", INT).alias("ordering"),
-        "nconst",
-        default_if_null("category", S.UNKNOWN).alias("category"),
-        "job",
-        "characters",
-    )
+    credits = read_credits(principals_raw)
     people = names.select("nconst", "primary_name", "birth_year", "primary_role")
     title_attrs = titles.select("tconst", "title_type", "primary_title", "primary_genre")
     joined = left_lookup(left_lookup(credits, people, "nconst"), title_attrs, "tconst")

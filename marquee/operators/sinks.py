@@ -11,10 +11,14 @@ task writing it alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marquee.schemas import LakeSpec
+from marquee.sources.manifest import POOL_PREFIX, POOLED, partition_key
 
 OVERWRITE_MODES = ("static", "dynamic")
 
@@ -114,3 +118,38 @@ def write_counted(
         df, path, partition_by, mode=mode, sort_by=sort_by, observation=observation
     )
     return int(observation.get["rows"])
+
+
+def write_routed(
+    df: DataFrame,
+    path: str,
+    spec: LakeSpec,
+    large: Collection[str] | None = None,
+    observation: Observation | None = None,
+) -> None:
+    """Write a new lake segment, in one job.
+
+    Rows whose partition value is in ``large`` (all, for ``None``) go to a
+    directory per value below ``pooled=false``. The others share files below
+    ``pooled=true``: one directory, clustered and sorted by the partition
+    columns, so that row-group statistics take the place of directories. Files
+    of small values are thereby as large as the tasks that write them, and
+    their number follows the bytes written instead of the number of values.
+    """
+    pooled = F.lit(False) if large is None else ~partition_key(spec).isin(list(large))
+    keys = [POOL_PREFIX + c for c in spec.partition_by]
+    routed = df.withColumn(POOLED, pooled)
+    for c in spec.partition_by:
+        kind = spec.schema[c].dataType
+        value = F.nullif(F.col(c), F.lit("")) if isinstance(kind, T.StringType) else F.col(c)
+        routed = routed.withColumn(POOL_PREFIX + c, F.when(F.col(POOLED), value))
+    for c in spec.partition_by:
+        routed = routed.withColumn(c, F.when(~F.col(POOLED), F.col(c)))
+    # values of both kinds are dealt by value; a hot one is split (see layout_for_write)
+    dealt = routed.hint("rebalance", POOLED, *spec.partition_by, *keys)
+    if observation is not None:
+        dealt = dealt.observe(observation, F.count(F.lit(1)).alias("rows"))
+    (
+        dealt.sortWithinPartitions(POOLED, *spec.partition_by, *keys)
+        .write.option("compression", "snappy").partitionBy(POOLED, *spec.partition_by).parquet(path)
+    )

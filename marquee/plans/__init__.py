@@ -11,15 +11,22 @@ from marquee.plans.serving import (
     conform,
     create_serving_tables,
     load_table,
+    current_version,
     read_table,
     refresh_serving,
+    repair_views,
     validate_counts,
 )
+from marquee.plans.versions import expire_versions, write_lake
 
 __all__ = [
     "build_all",
     "conform",
     "counts_frame",
+    "current_version",
+    "expire_versions",
+    "repair_views",
+    "write_lake",
     "create_serving_tables",
     "lake_path",
     "load_table",

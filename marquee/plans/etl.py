@@ -31,10 +31,21 @@ from marquee.operators.builders import (
     build_principals,
     build_titles,
     clean_basics,
+    read_credits,
+)
+from marquee.operators.sinks import OVERWRITE_MODES
+from marquee.plans.versions import (
+    KEEP_VERSIONS,
+    POOL_ROWS,
+    current_state,
+    discard,
+    expire_versions,
+    large_values,
+    update_dataset,
 )
-from marquee.operators.sinks import write_counted
 from marquee.session import warn_without_adaptive
-from marquee.sources.tsv import delete_path, read_raw_inputs
+from marquee.sources.manifest import commit, new_version
+from marquee.sources.tsv import read_raw_inputs
 
 log = logging.getLogger(__name__)
 
@@ -43,10 +54,15 @@ OPTIONAL_RAW = (S.RAW_RATINGS, S.RAW_EPISODE, S.RAW_PRINCIPALS, S.RAW_AKAS, S.RA
 
 @dataclass
 class Dataset:
-    """A built dataset and a narrow frame that is empty exactly when it is."""
+    """A built dataset and a narrow frame that is empty exactly when it is.
+
+    ``layout`` has the dataset's rows with at least its partition columns,
+    where these are at hand without its joins.
+    """
 
     frame: DataFrame
     probe: DataFrame
+    layout: DataFrame | None = None
 
 
 def lake_path(lake_dir: str, name: str) -> str:
@@ -90,7 +106,7 @@ def build_principals_dataset(
     if names is None:
         log.warning("principals not built: it needs %s, which is absent", S.RAW_NAMES)
         return None
-    return Dataset(build_principals(principals_raw, names, titles), principals_raw)
+    return Dataset(build_principals(principals_raw, names, titles), principals_raw, read_credits(principals_raw))
 
 
 def build_datasets(
@@ -135,9 +151,16 @@ def run_etl(
     series_type: str = S.SERIES_TYPE,
     episode_type: str = S.EPISODE_TYPE,
     concurrent: bool = True,
+    pool_rows: int = POOL_ROWS,
+    keep_versions: int = KEEP_VERSIONS,
 ) -> dict[str, int]:
     """Build and write every dataset the inputs allow; return row counts.
 
+    All datasets of a run are written into a new version of the lake, which one
+    manifest row makes current at the end: readers see all of the old lake or
+    all of the new one, and a run that fails leaves the old one as it was.
+    Files of versions before the last ``keep_versions`` are removed.
+
     Titles feed episodes and principals, names feed principals. These two
     dimensions are persisted (memory, then disk) while the run lasts, so their
     parse and joins run once in either mode; a lost executor's blocks are
@@ -145,13 +168,17 @@ def run_etl(
     directory cannot hold '' (it reads back as null), and dependents must not
     depend on the mode.
 
-    ``mode="static"`` is a full rebuild: a dataset this run does not produce,
-    or for which it has no rows, is removed from the lake. ``"dynamic"``
-    replaces the partitions it writes and keeps the rest.
+    ``mode="static"`` is a full rebuild: the new version holds what this run
+    produces and nothing else. ``"dynamic"`` replaces the partitions for which
+    it has rows, takes rows that moved to them out of the partitions they were
+    in before, and keeps the rest (see ``update_dataset``).
 
-    Once titles are written the other datasets are independent and run as
-    concurrent Spark jobs, so the tail of one overlaps the others.
+    Partition values with fewer than ``pool_rows`` rows share files (0: each
+    has a directory). The datasets are independent and run as concurrent Spark
+    jobs, so the tail of one overlaps the others.
     """
+    if mode not in OVERWRITE_MODES:
+        raise ValueError(f"mode must be one of {OVERWRITE_MODES}, got {mode!r}")
     if S.RAW_BASICS not in inputs or inputs[S.RAW_BASICS] is None:
         raise FileNotFoundError(f"required input {S.RAW_BASICS} is missing")
     warn_without_adaptive(spark, log)
@@ -162,12 +189,18 @@ def run_etl(
         return kept[-1]
 
     datasets = build_datasets(inputs, series_type, episode_type, keep)
+    base, version = current_state(spark, lake_dir), new_version()
     counts: dict[str, int] = {}
+    state = dict(base.datasets) if base is not None and mode == "dynamic" else {}
 
     def write(name: str) -> None:
-        ds = datasets[name]
-        counts[name] = write_counted(
-            ds.frame, lake_path(lake_dir, name), S.LAKE[name].partition_by, mode=mode, probe=ds.probe)
+        ds, spec = datasets[name], S.LAKE[name]
+        if ds.probe.isEmpty():
+            counts[name] = 0
+            return
+        old = state.get(name, ()) if mode == "dynamic" else ()
+        large = large_values(ds.frame if ds.layout is None else ds.layout, spec, pool_rows)
+        state[name], counts[name] = update_dataset(spark, lake_dir, version, ds.frame, spec, old, large, pool_rows)
 
     try:
         write("titles")
@@ -179,13 +212,14 @@ def run_etl(
         else:
             for name in rest:
                 write(name)
+        commit(spark, lake_dir, version, state, base)
+    except BaseException:
+        discard(spark, lake_dir, version)
+        raise
     finally:
         for df in kept:
             df.unpersist()
-    if mode == "static":
-        for name in S.DATASET_ORDER:
-            if not counts.get(name):
-                delete_path(spark, lake_path(lake_dir, name))
+    expire_versions(spark, lake_dir, keep_versions)
 
     ordered = {n: counts[n] for n in S.DATASET_ORDER if n in counts}
     for name, rows in ordered.items():
@@ -199,13 +233,15 @@ def run_etl_from_dir(
     lake_dir: str,
     mode: str = "static",
     quote: str = "",
+    **options,
 ) -> dict[str, int]:
     """Read the raw files found in ``raw_dir`` and run the pipeline.
 
     A missing ``title.basics`` raises ``FileNotFoundError`` before any work.
+    ``options`` are those of ``run_etl``.
     """
     inputs = read_raw_inputs(spark, raw_dir, S.REQUIRED_RAW, OPTIONAL_RAW, quote=quote)
-    return run_etl(spark, inputs, lake_dir, mode=mode)
+    return run_etl(spark, inputs, lake_dir, mode=mode, **options)
 
 
 COUNTS_SCHEMA = T.StructType(

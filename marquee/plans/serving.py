@@ -4,14 +4,25 @@ The lake is refreshed into one table per dataset (``CREATE TABLE ... USING
 parquet PARTITIONED BY``). Each load conforms the lake rows to the
 serving types, deals them by ranges of partition column and sort key, sorts
 every task's rows by that key so file and row-group statistics allow
-data skipping, and writes them in a distributed job beside the live table,
-which is then switched to them.
+data skipping, and writes them in a distributed job.
+
+A refresh writes new tables, ``titles__<version>`` and so on, and the database
+property ``marquee.version`` names the version that counts. Setting it is one
+catalog operation and the commit point of all five tables: ``read_table`` and
+``validate_counts`` see every table of the old version or every table of the
+new one. For SQL there is a view of each dataset's name. Views are switched one
+by one before the commit and switched back when a step fails; after a process
+died between two of them, ``repair_views`` (also the first step of the next
+refresh) points them at the committed version. The version before the current
+one keeps its tables for readers already under way.
+
+All of this is Spark SQL and DataFrames: no file system is touched directly.
 """
 
 from __future__ import annotations
 
 import logging
-import uuid
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,8 +37,9 @@ from marquee.functions import lenient_cast
 from marquee.operators.sinks import layout_for_write
 from marquee.plans.etl import lake_path
 from marquee.session import warn_without_adaptive
-from marquee.sources.lake import read_lake
-from marquee.sources.tsv import delete_path, path_exists
+from marquee.sources.lake import read_lake, read_version
+from marquee.sources.manifest import new_version, read_state
+from marquee.sources.tsv import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -36,34 +48,115 @@ def _spec(spec: S.ServingSpec | str) -> S.ServingSpec:
     return S.SERVING[spec] if isinstance(spec, str) else spec
 
 
-def table_name(database: str, spec: S.ServingSpec | str) -> str:
-    return f"{database}.{_spec(spec).name}"
+def table_name(database: str, spec: S.ServingSpec | str, version: str | None = None) -> str:
+    """The dataset's table of a version; without one the dataset's view (or a
+    table created by hand under that name)."""
+    name = _spec(spec).name
+    return f"{database}.{name}__{version}" if version else f"{database}.{name}"
 
 
-def create_table_sql(database: str, spec: S.ServingSpec | str) -> str:
+def create_table_sql(database: str, spec: S.ServingSpec | str, version: str | None = None) -> str:
     spec = _spec(spec)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
     partitions = ", ".join(f"`{c}`" for c in spec.partition_by)
     return (
-        f"CREATE TABLE IF NOT EXISTS {table_name(database, spec)} ({columns}) "
+        f"CREATE TABLE IF NOT EXISTS {table_name(database, spec, version)} ({columns}) "
         f"USING parquet PARTITIONED BY ({partitions})"
     )
 
 
+def _run(spark: SparkSession, sql: str) -> DataFrame:
+    """Every catalog statement goes through here."""
+    return spark.sql(sql)
+
+
+VERSION_PROPERTY = "marquee.version"
+PREVIOUS_PROPERTY = "marquee.previous"
+
+
+def _properties(spark: SparkSession, database: str) -> dict[str, str]:
+    found = _run(spark, f"DESCRIBE DATABASE EXTENDED {database}").where("info_name = 'Properties'").collect()
+    text = found[0]["info_value"] if found else ""
+    return dict(re.findall(r"\((marquee\.\w+),(\w*)\)", text))
+
+
+def current_version(spark: SparkSession, database: str) -> str | None:
+    """The committed version of the database's serving tables."""
+    return _properties(spark, database).get(VERSION_PROPERTY) or None
+
+
+def _set_version(spark: SparkSession, database: str, version: str, previous: str | None) -> None:
+    """The commit: both properties in one statement."""
+    _run(spark, f"ALTER DATABASE {database} SET DBPROPERTIES "
+                f"('{VERSION_PROPERTY}' = '{version}', '{PREVIOUS_PROPERTY}' = '{previous or ''}')")
+
+
+def _tables_of(spark: SparkSession, database: str, version: str) -> list[str]:
+    return [n for n in S.SERVING if spark.catalog.tableExists(table_name(database, n, version))]
+
+
+def _show(spark: SparkSession, database: str, name: str, version: str) -> None:
+    columns = ", ".join(f"`{c}`" for c in _spec(name).columns)
+    _run(spark, f"CREATE OR REPLACE VIEW {table_name(database, name)} AS "
+                f"SELECT {columns} FROM {table_name(database, name, version)}")
+
+
+def repair_views(spark: SparkSession, database: str) -> None:
+    """Point every dataset's view at the committed version."""
+    version = current_version(spark, database)
+    for name in _tables_of(spark, database, version) if version else ():
+        _show(spark, database, name, version)
+
+
+def _drop_version(spark: SparkSession, database: str, version: str) -> None:
+    for name in S.SERVING:
+        _run(spark, f"DROP TABLE IF EXISTS {table_name(database, name, version)}")
+
+
+def _publish(spark: SparkSession, database: str, version: str) -> None:
+    """Views, then the commit. A failing step puts the views back."""
+    before = _properties(spark, database)
+    old, oldest = before.get(VERSION_PROPERTY) or None, before.get(PREVIOUS_PROPERTY) or None
+    try:
+        for name in _tables_of(spark, database, version):
+            _show(spark, database, name, version)
+        _set_version(spark, database, version, old)
+    except BaseException:
+        if old:
+            repair_views(spark, database)
+        else:
+            for name in S.SERVING:
+                _run(spark, f"DROP VIEW IF EXISTS {table_name(database, name)}")
+        raise
+    if oldest:
+        try:
+            _drop_version(spark, database, oldest)
+        except (AnalysisException, Py4JJavaError) as error:
+            log.warning("%s: tables of version %s were not dropped (%s)", database, oldest, str(error).splitlines()[0])
+
+
+def _create_database(spark: SparkSession, database: str, location: str | None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    _run(spark, f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+
+
 def create_serving_tables(
     spark: SparkSession,
     database: str = S.SERVING_DATABASE,
     location: str | None = None,
     specs: Sequence[S.ServingSpec] = tuple(S.SERVING.values()),
 ) -> list[str]:
-    """Create the database and every serving table that does not exist yet."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    names = []
+    """Create the database and, in its current version, every serving table
+    that does not exist yet; return the names under which they can be read."""
+    _create_database(spark, database, location)
+    current = current_version(spark, database)
+    version = current or new_version()
     for spec in specs:
-        spark.sql(create_table_sql(database, spec))
-        names.append(table_name(database, spec))
-    return names
+        _run(spark, create_table_sql(database, spec, version))
+        _show(spark, database, spec.name, version)
+    if current is None:
+        _set_version(spark, database, version, None)
+    return [table_name(database, spec) for spec in specs]
 
 
 OUT_OF_RANGE_PREFIX = "_out_of_range_"
@@ -128,55 +221,34 @@ def _laid_out(df: DataFrame, spec: S.ServingSpec, observation: Observation) -> D
 
 
 def load_table(
-    spark: SparkSession, df: DataFrame, database: str, spec: S.ServingSpec | str
+    spark: SparkSession, df: DataFrame, database: str, spec: S.ServingSpec | str, version: str | None = None
 ) -> dict[str, int]:
-    """Append conformed, sorted rows to a serving table.
+    """Append conformed, sorted rows to a serving table (of the current version).
 
     Returns ``{"rows": n, "<col>_out_of_range": k, ...}``, observed in the
     write stage of the same job.
     """
     spec = _spec(spec)
-    table = table_name(database, spec)
+    table = table_name(database, spec, version or current_version(spark, database))
     observation = Observation(f"load_{spec.name}")
     # insertInto is positional: Spark stores partition columns last.
     _laid_out(df, spec, observation).select(*spark.table(table).columns).write.insertInto(table)
     return {k: int(v or 0) for k, v in observation.get.items()}
 
 
-def _write_version(df: DataFrame, path: str, spec: S.ServingSpec) -> dict[str, int]:
-    """Write one table version to a folder of its own."""
-    observation = Observation(f"load_{spec.name}")
-    laid_out = _laid_out(df, spec, observation).select(*spec.columns)
-    laid_out.write.option("compression", "snappy").partitionBy(*spec.partition_by).parquet(path)
-    return {k: int(v or 0) for k, v in observation.get.items()}
-
-
-def _table_location(spark: SparkSession, table: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
-
-
-def _database_location(spark: SparkSession, database: str) -> str:
-    rows = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").collect()
-    return rows[0]["info_value"].rstrip("/")
-
-
-def _switch(
-    spark: SparkSession, database: str, spec: S.ServingSpec, version: str, loaded: bool
-) -> None:
-    """Point the table at a loaded version (metadata only), then drop the old
-    files. Dropping a table of an explicit location leaves its files. A table
-    whose dataset was not loaded has no partitions."""
-    table = table_name(database, spec)
-    old = _table_location(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"{create_table_sql(database, spec)} LOCATION '{version}'")
-    if loaded:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    if old:
-        delete_path(spark, old)
+def _lake_datasets(spark: SparkSession, lake_dir: str) -> dict[str, DataFrame]:
+    """The lake's datasets, all of one version (plain folders where the lake
+    has no manifest). Raises without the required ones."""
+    state, present = read_state(spark, lake_dir), {}
+    for name, spec in S.LAKE.items():
+        path = lake_path(lake_dir, name)
+        if state is not None and name in state.datasets:
+            present[name] = read_version(spark, lake_dir, state, name)
+        elif state is None and path_exists(spark, path):
+            present[name] = read_lake(spark, path, spec)  # raises without data files
+        elif name in S.REQUIRED_SERVING:
+            raise FileNotFoundError(f"serving refresh needs the {name} dataset; the lake has none at {path}")
+    return present
 
 
 def refresh_serving(
@@ -188,44 +260,35 @@ def refresh_serving(
 ) -> LoadCounts:
     """Full refresh of every serving table from the lake.
 
-    Every dataset present is checked first (a committed write with data
-    files). Each is then loaded beside the live table, into a folder of its
-    own, and only when all loads have ended are the tables switched to the new
-    versions and the old files dropped: a missing dataset or a failed load
-    leaves all five tables as they were. An absent optional dataset empties
-    its table (row count None). The loads run as concurrent Spark jobs.
+    All datasets are read from one version of the lake and loaded into new
+    tables, which become the database's at one commit point after the last load
+    (see the module's text): a missing dataset, a failed load or a failed
+    catalog statement leaves all five tables as they were. An absent optional
+    dataset empties its table (row count None). The loads run as concurrent
+    Spark jobs.
     """
-    present = {}
-    for name, spec in S.LAKE.items():
-        path = lake_path(lake_dir, name)
-        if path_exists(spark, path):
-            present[name] = read_lake(spark, path, spec)  # raises without data files
-        elif name in S.REQUIRED_SERVING:
-            raise FileNotFoundError(f"serving refresh needs the {name} dataset; the lake has none at {path}")
+    present = _lake_datasets(spark, lake_dir)
     warn_without_adaptive(spark, log)
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    base, version = _database_location(spark, database), uuid.uuid4().hex[:12]
-    paths = {name: f"{base}/{name}-{version}" for name in S.SERVING}
+    _create_database(spark, database, location)
+    repair_views(spark, database)
+    version = new_version()
 
     def load(name: str) -> dict[str, int] | None:
-        if name not in present:
-            return None
-        return _write_version(present[name], paths[name], S.SERVING[name])
+        return load_table(spark, present[name], database, name, version) if name in present else None
 
     try:
+        for spec in S.SERVING.values():
+            _run(spark, create_table_sql(database, spec, version))
         if concurrent:
-            with ThreadPoolExecutor(max_workers=len(paths), thread_name_prefix="serve") as pool:
-                futures = {name: pool.submit(load, name) for name in paths}
+            with ThreadPoolExecutor(max_workers=len(S.SERVING), thread_name_prefix="serve") as pool:
+                futures = {name: pool.submit(load, name) for name in S.SERVING}
                 stats = {name: f.result() for name, f in futures.items()}
         else:
-            stats = {name: load(name) for name in paths}
+            stats = {name: load(name) for name in S.SERVING}
+        _publish(spark, database, version)
     except BaseException:
-        for path in paths.values():
-            delete_path(spark, path)
+        _drop_version(spark, database, version)
         raise
-    for name, spec in S.SERVING.items():
-        _switch(spark, database, spec, paths[name], loaded=name in present)
     counts = LoadCounts(stats)
     for name, found in counts.out_of_range.items():
         for column, n in found.items():
@@ -244,32 +307,37 @@ def validate_counts(
     """``(dataset, rows, out_of_range)`` per serving table, in the given order.
 
     ``out_of_range`` counts the values outside the unsigned range of their
-    column. A table that is missing or cannot be read has nulls ("not
-    loaded"); the others are still reported.
+    column. The tables are counted in one job, each from its footers and the
+    ranged columns. A table that is missing or cannot be read has nulls ("not
+    loaded"); the others are then counted one by one and still reported.
     """
+    version = current_version(spark, database)
+    found = _count_tables(spark, database, version, names)
+    if found is None:
+        found = {}
+        for name in names:
+            found.update(_count_tables(spark, database, version, [name]) or {})
+    return spark.createDataFrame([(n, *found.get(n, (None, None))) for n in names], VALIDATION_SCHEMA)
+
+
+def _count_tables(
+    spark: SparkSession, database: str, version: str | None, names: Sequence[str]
+) -> dict[str, tuple[int, int]] | None:
     out = None
-    for name in names:
-        part = _table_counts(spark, database, name)
-        if part is None:
-            part = spark.createDataFrame([(name, None, None)], VALIDATION_SCHEMA)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _table_counts(spark: SparkSession, database: str, name: str) -> DataFrame | None:
-    spec, table = _spec(name), table_name(database, name)
     try:
-        rows = spark.table(table)
-        bad = [F.sum(_out_of_range(F.col(c), top).cast("long")) for c, top in spec.unsigned_max.items()]
-        total = sum((F.coalesce(b, F.lit(0)) for b in bad), F.lit(0)).cast("long")
-        found = rows.agg(F.count(F.lit(1)).alias("rows"), total.alias("out_of_range")).first()
+        for name in names:
+            bad = [F.sum(_out_of_range(F.col(c), top).cast("long")) for c, top in _spec(name).unsigned_max.items()]
+            total = sum((F.coalesce(b, F.lit(0)) for b in bad), F.lit(0)).cast("long")
+            part = spark.table(table_name(database, name, version)).agg(
+                F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), total.alias("out_of_range"))
+            out = part if out is None else out.unionByName(part)
+        return {} if out is None else {r["dataset"]: (r["rows"], r["out_of_range"]) for r in out.collect()}
     except (AnalysisException, SparkRuntimeException, Py4JJavaError) as error:
-        log.warning("%s: not loaded (%s)", table, str(error).splitlines()[0])
+        log.warning("%s: %s not loaded (%s)", database, ", ".join(names), str(error).splitlines()[0])
         return None
-    return spark.createDataFrame([(name, found["rows"], found["out_of_range"])], VALIDATION_SCHEMA)
 
 
 def read_table(spark: SparkSession, database: str, spec: S.ServingSpec | str) -> DataFrame:
-    """A serving table in its declared column order."""
+    """A serving table of the committed version, in its declared column order."""
     spec = _spec(spec)
-    return spark.table(table_name(database, spec)).select(*spec.columns)
+    return spark.table(table_name(database, spec, current_version(spark, database))).select(*spec.columns)

@@ -82,6 +82,9 @@ class LakeSpec:
     name: str
     schema: T.StructType
     partition_by: tuple[str, ...]
+    # Columns that identify a row across versions: a row that comes again with
+    # another partition value replaces the old one.
+    key: tuple[str, ...]
 
     @property
     def columns(self) -> list[str]:
@@ -96,6 +99,7 @@ TITLES = LakeSpec(
         _s("primary_genre"), _f("average_rating"), _l("num_votes"),
     ]),
     ("start_year", "title_type"),
+    ("tconst",),
 )
 
 EPISODES = LakeSpec(
@@ -107,6 +111,7 @@ EPISODES = LakeSpec(
         _l("num_votes"), _i("runtime_minutes"),
     ]),
     ("start_year", "primary_genre"),
+    ("episode_tconst",),
 )
 
 NAMES = LakeSpec(
@@ -116,6 +121,7 @@ NAMES = LakeSpec(
         _s("primary_profession"), _s("primary_role"), _s("known_for_titles"),
     ]),
     ("primary_role",),
+    ("nconst",),
 )
 
 AKAS = LakeSpec(
@@ -125,6 +131,7 @@ AKAS = LakeSpec(
         _s("types"), _i("is_original_title"),
     ]),
     ("region",),
+    ("title_id", "ordering"),
 )
 
 PRINCIPALS = LakeSpec(
@@ -136,6 +143,7 @@ PRINCIPALS = LakeSpec(
         _s("primary_role"),
     ]),
     ("category",),
+    ("tconst", "ordering"),
 )
 
 LAKE: dict[str, LakeSpec] = {s.name: s for s in (TITLES, EPISODES, NAMES, AKAS, PRINCIPALS)}

@@ -44,32 +44,20 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).getFileStatus(hpath).isFile())
 
 
+def can_delete(spark: SparkSession) -> bool:
+    """True when files can be removed from here: Spark offers no DataFrame
+    source that deletes, so this takes the JVM (not Spark Connect)."""
+    return getattr(spark, "_jvm", None) is not None and getattr(spark, "_jsc", None) is not None
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove ``path`` and all below it, if it exists (needs the JVM)."""
+    """Remove ``path`` and all below it, if it exists (see ``can_delete``)."""
+    if not can_delete(spark):
+        raise RuntimeError(f"cannot delete {path}: the session has no JVM gateway")
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def holds_data(spark: SparkSession, path: str) -> bool:
-    """True when a committed write left at least one Parquet file in ``path``.
-
-    A write under way or interrupted is told by its ``_temporary`` folder and
-    the lack of ``_SUCCESS`` (which a dynamic overwrite never writes).
-    """
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    child = jvm.org.apache.hadoop.fs.Path
-    if not fs.exists(child(root, "_SUCCESS")) and fs.exists(child(root, "_temporary")):
-        return False
-    files = fs.listFiles(root, True)
-    while files.hasNext():
-        file = files.next().getPath().toString()
-        if file.endswith(".parquet") and "/_temporary/" not in file and "/.spark-staging" not in file:
-            return True
-    return False
-
-
 def resolve_raw_path(spark: SparkSession, raw_dir: str, base_name: str) -> str | None:
     """``<raw_dir>/<base_name>.tsv`` or ``.tsv.gz``; the first that exists wins."""
     for suffix in RAW_SUFFIXES:

@@ -20,7 +20,7 @@ from marquee.operators import (
 from marquee.plans import run_etl_from_dir
 from marquee.plans.etl import lake_path
 from marquee.session import scratch_path
-from marquee.sources import lake_project, read_lake
+from marquee.sources import lake_project, read_lake, read_state
 
 
 def local(path: str) -> str:
@@ -46,10 +46,16 @@ def parquet_files(path: str) -> list[str]:
 @pytest.fixture(scope="module")
 def lake(spark, raw_dir):
     path = scratch_path(spark, "test-lake")
-    counts = run_etl_from_dir(spark, str(raw_dir), path)
+    counts = run_etl_from_dir(spark, str(raw_dir), path, pool_rows=0)  # a directory per partition value
     return path, counts
 
 
+def folder(spark, path: str, name: str) -> str:
+    """The directories of a dataset's only segment."""
+    [segment] = read_state(spark, path).datasets[name]
+    return os.path.join(local(path), segment.path, "pooled=false")
+
+
 def test_etl_counts(lake):
     _, counts = lake
     assert counts == {"titles": 6, "episodes": 3, "names": 2, "akas": 3, "principals": 4}
@@ -69,13 +75,13 @@ def test_partition_text_survives(spark, lake):
     path, _ = lake
     regions = {r.region for r in read_lake(spark, lake_path(path, "akas"), "akas").collect()}
     assert regions == {"US", "Unknown", "01"}  # '01' is not re-read as the integer 1
-    dirs = sorted(os.listdir(local(lake_path(path, "akas"))))
+    dirs = sorted(os.listdir(folder(spark, path, "akas")))
     assert "region=01" in dirs
 
 
-def test_partition_directories(lake):
+def test_partition_directories(spark, lake):
     path, _ = lake
-    titles = local(lake_path(path, "titles"))
+    titles = folder(spark, path, "titles")
     assert "start_year=1994" in os.listdir(titles)
     assert os.listdir(os.path.join(titles, "start_year=1994")) == ["title_type=movie"]
     # One file per partition directory for a small dataset (no small-file blow-up).

@@ -39,7 +39,8 @@ def test_entry_smoke(spark):
 # Reports whose limit is the feature (top-k); no other query may cap rows.
 TOP_K_KEYS = {
     "top_rated_by_decade", "top_parents_by_child_count", "recent_popularity",
-    "runtime_by_group", "runtime_by_group_percentile", "top_people_in_categories",
+    "runtime_by_group", "runtime_by_group_percentile", "runtime_by_group_bounded",
+    "runtime_by_group_approx", "top_people_in_categories",
     "top_regions", "top_people_typed", "scan_lake",
     "serving_top_parents_by_child_count", "serving_top_people_typed", "serving_runtime_by_group",
     "serving_top_rated_by_decade", "serving_recent_popularity", "serving_top_people_in_categories",

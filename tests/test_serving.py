@@ -16,6 +16,7 @@ from marquee.operators import top_people_typed, top_series_by_episode_count
 from marquee.plans import (
     conform,
     create_serving_tables,
+    current_version,
     load_table,
     read_table,
     refresh_serving,
@@ -74,7 +75,7 @@ def test_reports_on_serving_tables(spark, serving):
 
 def test_serving_files_sorted_by_key(spark, serving):
     _, location, _ = serving
-    [version] = glob.glob(os.path.join(local(location), "principals-*"))
+    [version] = glob.glob(os.path.join(local(location), "principals__*"))
     files = parquet_files(version)
     assert files
     for f in files:
@@ -150,7 +151,7 @@ def test_validate_counts_missing_table_is_null(spark):
 
 def test_location_is_used(spark, serving):
     _, location, _ = serving
-    assert len(glob.glob(os.path.join(local(location), "titles-*"))) == 1  # old versions are dropped
+    assert len(glob.glob(os.path.join(local(location), "titles__*"))) == 1
 
 
 def test_empty_lake_directory_keeps_the_old_rows(spark, tmp_path, raw_dir):
@@ -169,26 +170,88 @@ def test_empty_lake_directory_keeps_the_old_rows(spark, tmp_path, raw_dir):
     assert {r.dataset: r.rows for r in validate_counts(spark, db).collect()} == before
 
 
-def test_failed_load_keeps_all_tables(spark, raw_dir, monkeypatch):
+class Injected(Exception):
+    pass
+
+
+def _content(spark, db):
+    """All five tables, through the reader and through the views."""
+    return {
+        n: [sorted(map(str, df.collect())) for df in (read_table(spark, db, n), spark.table(f"{db}.{n}"))]
+        for n in S.SERVING
+    }
+
+
+def test_failure_at_any_step_keeps_all_five_tables(spark, raw_dir, tmp_path, monkeypatch):
+    """Every catalog statement and every load of a refresh fails in turn."""
     from marquee.plans import serving as module
 
     db, location = f"fail_{uuid.uuid4().hex[:8]}", scratch_path(spark, "fail-db")
-    lake = scratch_path(spark, "fail-lake")
+    lake, other = scratch_path(spark, "fail-lake"), scratch_path(spark, "fail-other")
     run_etl_from_dir(spark, str(raw_dir), lake)
+    run_etl_from_dir(spark, str(make_raw_dir(tmp_path / "basics", {"title.basics"})), other)
     refresh_serving(spark, lake, db, location)
-    before = {n: sorted(map(str, read_table(spark, db, n).collect())) for n in S.SERVING}
-    original = module._write_version
-
-    def failing(df, path, spec):
-        if spec.name == "principals":
-            raise OSError("disk full")
-        return original(df, path, spec)
-
-    monkeypatch.setattr(module, "_write_version", failing)
-    with pytest.raises(OSError, match="disk full"):
+    before, version = _content(spark, db), current_version(spark, db)
+    run, load = module._run, module.load_table
+    steps = {"loads": 0, "statements": 0}
+
+    def fails(kind, position):
+        def failing(*args, **kwargs):
+            sql = args[1] if kind == "statements" else ""
+            if not sql.startswith(("DESCRIBE", "DROP")):
+                steps[kind] += 1
+                if steps[kind] == position:
+                    raise Injected(sql or "load")
+            return (run if kind == "statements" else load)(*args, **kwargs)
+        return failing
+
+    names = {"statements": "_run", "loads": "load_table"}
+    for kind in names:
+        position = 0
+        while True:
+            position, steps[kind] = position + 1, 0
+            monkeypatch.setattr(module, names[kind], fails(kind, position))
+            try:
+                refresh_serving(spark, other, db, location, concurrent=False)
+            except Injected:
+                monkeypatch.setattr(module, names[kind], run if kind == "statements" else load)
+                assert _content(spark, db) == before and current_version(spark, db) == version, (kind, position)
+                assert len(glob.glob(os.path.join(local(location), "akas__*"))) == 1   # nothing left behind
+                continue
+            break
+        # one database, five views to repair, five tables, five views, the commit / two loads
+        assert position - 1 == {"statements": 17, "loads": 2}[kind]
+        monkeypatch.setattr(module, names[kind], run if kind == "statements" else load)
         refresh_serving(spark, lake, db, location)
-    assert {n: sorted(map(str, read_table(spark, db, n).collect())) for n in S.SERVING} == before
-    assert len(glob.glob(os.path.join(local(location), "titles-*"))) == 1
+        assert _content(spark, db) == before
+        version = current_version(spark, db)
+        # the version before stays for its readers, older ones are dropped
+        assert len(glob.glob(os.path.join(local(location), "akas__*"))) == 2
+        for v in glob.glob(os.path.join(local(location), "akas__*")):
+            if not v.endswith(version):
+                module._drop_version(spark, db, v.rpartition("__")[2])
+        module._set_version(spark, db, version, None)
+
+
+def test_views_left_between_versions_are_repaired(spark, raw_dir, tmp_path):
+    """A process that died while it switched views: readers see the committed
+    version, and repair_views brings the views back to it."""
+    from marquee.plans import repair_views
+    from marquee.plans import serving as module
+
+    db = f"died_{uuid.uuid4().hex[:8]}"
+    lake = scratch_path(spark, "died-lake")
+    run_etl_from_dir(spark, str(raw_dir), lake)
+    refresh_serving(spark, lake, db, scratch_path(spark, "died-db"))
+    before = _content(spark, db)
+    for spec in S.SERVING.values():
+        spark.sql(create_table_sql(db, spec, "halfway"))
+    for name in ("titles", "akas"):
+        module._show(spark, db, name, "halfway")
+    assert spark.table(f"{db}.akas").count() == 0
+    assert {n: v[0] for n, v in _content(spark, db).items()} == {n: v[0] for n, v in before.items()}
+    repair_views(spark, db)
+    assert _content(spark, db) == before
 
 
 def test_refresh_reports_values_out_of_range(spark):
@@ -221,9 +284,10 @@ def test_validate_counts_survives_a_broken_table(spark, serving, tmp_path):
     bad = tmp_path / "bad"
     (bad / "region=x").mkdir(parents=True)
     (bad / "region=x" / "part-0.parquet").write_text("this is no parquet file")
-    spark.sql(f"DROP TABLE {db}.akas")
-    spark.sql(f"{create_table_sql(db, 'akas')} LOCATION '{bad}'")
-    spark.sql(f"MSCK REPAIR TABLE {db}.akas")
+    version = current_version(spark, db)
+    spark.sql(f"DROP TABLE {db}.akas__{version}")
+    spark.sql(f"{create_table_sql(db, 'akas', version)} LOCATION '{bad}'")
+    spark.sql(f"MSCK REPAIR TABLE {db}.akas__{version}")
     rows = [(r.dataset, r.rows) for r in validate_counts(spark, db).collect()]
     assert rows == [("titles", 0), ("episodes", 0), ("names", 0), ("akas", None), ("principals", 0)]
 
@@ -242,7 +306,8 @@ def test_files_of_a_hot_value_hold_disjoint_ranges(spark):
         load_table(spark, akas, db, "akas")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
-    files = parquet_files(os.path.join(local(location), "akas", "region=US"))
+    [table] = glob.glob(os.path.join(local(location), "akas__*"))
+    files = parquet_files(os.path.join(table, "region=US"))
     assert len(files) > 1
     spans = sorted((min(v), max(v)) for v in (pq.read_table(f, columns=["title_id"])["title_id"].to_pylist() for f in files))
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
