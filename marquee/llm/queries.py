@@ -7,11 +7,14 @@ from marquee.llm.decontamination import find_passages
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.jaccard_join import near_duplicates
 from marquee.llm.kd_sharding import shard_report
+from marquee.llm.license_scan import license_report
 from marquee.llm.lm_scoring import lm_report
 from marquee.llm.mixing import mix_report
+from marquee.llm.spelling_variants import variant_report
 from marquee.llm.substring_dedup import window_report
 from marquee.llm.suffix_dedup import suffix_report
 from marquee.llm.toxicity import toxicity_report
+from marquee.llm.vector_codes import vector_code_report
 from marquee.llm.warc import warc_report
 
 
@@ -55,6 +58,18 @@ def op10_kd_sharding(spark, sf_dir):
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark, sf_dir):
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark, sf_dir):
+    return vector_code_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return variant_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -66,9 +81,82 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_kd_sharding": op10_kd_sharding,
+    "op11_license_scan": op11_license_scan,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """The rounds one after the other, every part compared with every entry."""
+    steps = [r"""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, range(4) t(p)
+), c0 AS MATERIALIZED (
+  SELECT * FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts) WHERE e < 256
+)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, label, p, any_value(x) AS x, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d
+  FROM (SELECT vec_id, label, a.p, x, e,
+               list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM parts a JOIN c{k} USING (p))
+  GROUP BY vec_id, label, p
+)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (
+  SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c
+  FROM (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{k})
+        GROUP BY p, e, i) GROUP BY p, e
+), c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.e = c.e)""")
+    return "WITH " + ",\n".join(steps) + f"""
+, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c{rounds}) AS codebooks_sha256
+FROM coded"""
+
+
 ORACLE_SQL = {
+    "op12_vector_codes": _vector_codes_sql(),
+    # the templates as patterns over the words, joined and framed by spaces
+    "op11_license_scan": r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), placed AS (
+  SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS t,
+    list_filter(range(0, len(words) - 1), lambda i: words[i+1] = 'mit' AND words[i+2] = 'license') AS mit,
+    list_filter(range(0, len(words) - 1), lambda i: words[i+1] = 'apache' AND words[i+2] = 'license') AS apache,
+    list_filter(range(0, len(words) - 2), lambda i: words[i+1] = 'general' AND words[i+2] = 'public' AND words[i+3] = 'license') AS gpl
+  FROM w
+), f AS (
+  SELECT doc_id, len(words) AS n, list_concat(mit, apache, gpl) AS places,
+    list_filter([CASE WHEN len(mit) > 0 THEN 'mit' END, CASE WHEN len(apache) > 0 THEN 'apache' END,
+                 CASE WHEN len(gpl) > 0 THEN 'gpl' END], lambda x: x IS NOT NULL) AS base,
+    list_filter([
+      CASE WHEN regexp_matches(t, ' (released|licensed|distributed|available|provided) under the (terms of the )?mit license ') THEN 'mit-notice' END,
+      CASE WHEN regexp_matches(t, ' permission is hereby granted free of charge to any person obtaining a copy of this ([^ ]+ ){1,3}and associated documentation ') THEN 'mit-text' END,
+      CASE WHEN regexp_matches(t, ' licensed under the apache license (version )?2 0 ') THEN 'apache-2.0' END,
+      CASE WHEN regexp_matches(t, ' licensed under the apache license version 2 0 the license you may not use this ([^ ]+ ){1,3}except in compliance with the license ') THEN 'apache-2.0-header' END,
+      CASE WHEN regexp_matches(t, ' licensed under the (terms of the )?(gnu )?general public license (version )?3 ') THEN 'gpl-3.0' END,
+      CASE WHEN regexp_matches(t, ' general public license as published by the ([^ ]+ ){1,4}either version ([0-9]+ ){1,2}of the license or at your option any later version ') THEN 'gpl-or-later' END,
+      CASE WHEN regexp_matches(t, ' licensed under (creative commons )?cc by nc 4 0 ') THEN 'cc-by-nc-4.0' END,
+      CASE WHEN regexp_matches(t, ' copyright (c )?([0-9]{4} ){1,2}([^ ]+ ){1,6}all rights reserved ') THEN 'all-rights-reserved' END
+    ], lambda x: x IS NOT NULL) AS found
+  FROM placed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) AS BIGINT) AS first_word,
+       CAST(list_max(places) AS BIGINT) AS last_word, array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_concat(base, found)), ',') AS labels,
+       CAST(CASE WHEN len(found) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score
+FROM f""",
     "op4_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

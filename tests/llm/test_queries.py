@@ -19,7 +19,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE_SQL) <= set(QUERIES)
     assert E.queries()["pipeline"] is corpus_pipeline.run

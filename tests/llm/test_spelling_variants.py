@@ -1,0 +1,137 @@
+"""Spelling variants against a comparison of all words, and odd texts."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from marquee.llm import spelling_variants as P
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def brute_words(rows, drop_every):
+    counts = Counter()
+    for d, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", lowered(text)):
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % drop_every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    return counts
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute(rows, min_length=7, drop_every=31):
+    words = {w: n for w, n in brute_words(rows, drop_every).items() if len(w) >= min_length and n >= 2}
+    by_length = {}
+    for w in words:
+        by_length.setdefault(len(w), []).append(w)
+    out = {}
+    for w, n in words.items():
+        near = [v for k in (-1, 0, 1) for v in by_length.get(len(w) + k, ()) if v != w and one_edit(w, v)]
+        best = min(near, key=lambda v: (-words[v], v), default=None)
+        form = best if best and words[best] >= 10 * n else None
+        out[w] = (form, n, len(near), words[form] if form else None)
+    rows = []
+    for w, (form, n, near, form_n) in out.items():
+        root = w
+        while out[root][0]:
+            root = out[root][0]
+        rows.append((w, form, root, n, near, form_n))
+    return sorted(rows, key=str)
+
+
+def texts():
+    """Few letters, so that neighbours, runs of equal letters and ties abound."""
+    rng = random.Random(11)
+    stems = ["".join(rng.choice("abÀÿ") for _ in range(rng.randrange(6, 9))) for _ in range(25)]
+    stems += ["aaaaaaa", "aaaaaaaa", "aaaaaaab", "baaaaaaa", "a" * 3000, "a" * 3001, "a" * 2999 + "b"]
+    out = []
+    for i in range(120):
+        line = []
+        for _ in range(rng.randrange(0, 60)):
+            w = list(stems[min(int(rng.expovariate(0.15)), len(stems) - 1)])
+            if rng.random() < 0.2:
+                k = rng.randrange(len(w))
+                w[k:k + 1] = rng.choice([[], ["b"], [w[k], w[k]]])
+            line.append("".join(w) if rng.random() < 0.8 else "".join(w).upper())
+        out.append(rng.choice([" ", "1", "-", "\n"]).join(line))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, word string, n int").repartition(3)
+
+
+def result(df, **options):
+    return sorted((tuple(r) for r in P.variant_report(df, **options).collect()), key=str)
+
+
+def test_report_against_brute_force(workers):
+    rows = list(enumerate(texts()))
+    rows += [(3, rows[3][1]), (None, rows[5][1]), (None, None), (900, ""), (901, None)]
+    want = brute(rows)
+    assert result(frame(workers, rows)) == want
+    assert sum(r[1] is not None for r in want) > 10
+
+
+def test_chains_and_short_words(workers):
+    base = "seldomly"
+    ladder = [base, "seldomla", "seldomba", "seldooba"]   # each one edit from the next
+    text = [(i, " ".join([w] * 10 ** (k + 1) if k < 3 else [w] * 10 ** 4)) for i, (k, w) in enumerate(enumerate(ladder))]
+    text[0] = (0, base + " " + base)
+    got = {r[0]: r for r in result(frame(workers, text), drop_every=10 ** 9)}
+    assert {w: got[w][2] for w in ladder} == dict.fromkeys(ladder, ladder[-1])
+    assert got == {r[0]: r for r in brute(text, drop_every=10 ** 9)}
+    assert result(frame(workers, text), min_length=4, drop_every=2) == brute(text, min_length=4, drop_every=2)
+
+
+def test_empty(workers, empty):
+    assert result(empty) == []
+    assert result(frame(workers, [(1, None), (2, "short"), (3, "onlyonce")])) == []
+
+
+def test_whole_corpus(documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    assert result(documents.drop("n_chars")) == brute(rows)
+
+
+def test_shared_node_numbers_raise(workers, monkeypatch):
+    words = workers.createDataFrame([("abcdefg",), ("hijklmn",)], "word string")
+    P.check_nodes(words)
+    clash = "side long, depth long, node long, parent long, char long"
+    rows = workers.createDataFrame([(0, 1, 5, 0, 97), (0, 1, 5, 0, 98)], clash)
+    monkeypatch.setattr(type(words), "mapInArrow", lambda self, *a, **k: rows)
+    with pytest.raises(ValueError, match="share a number"):
+        P.check_nodes(words)
+
+
+def test_op13_over_whole_table(workers):
+    from marquee.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in workers.read.parquet(f"{sf}/documents.parquet").collect()]
+    words = {w: n for w, n in brute_words(rows, 31).items() if len(w) >= 7 and n >= 2}
+    # the neighbours of every word by all its edits, looked up among the words
+    alphabet = sorted({c for w in words for c in w})
+    got = {r.word: r for r in QUERIES["op13_spelling_variants"](workers, sf).collect()}
+    assert {w: r.n for w, r in got.items()} == words
+    for w in random.Random(1).sample(sorted(words), 800):
+        edits = {w[:i] + w[i + 1:] for i in range(len(w))}
+        edits |= {w[:i] + c + w[i + 1:] for i in range(len(w)) for c in alphabet}
+        edits |= {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in alphabet}
+        near = sorted(((-words[v], v) for v in edits - {w} if v in words))
+        form = near[0][1] if near and words[near[0][1]] >= 10 * words[w] else None
+        assert (got[w].n_near, got[w].form, got[w].form_n) == (len(near), form, words.get(form))
