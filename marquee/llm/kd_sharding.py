@@ -14,16 +14,20 @@ a shard is itself cut, by a hash of ``doc_id``, because the law of the
 sharding is equal bytes.
 
 Shapes of input: a null text weighs one byte and counts as empty for its CRC;
-a null ``doc_id`` is hashed as zero; repeated rows are rows like any other; an
-empty table gives an empty result; other columns are ignored.
+a null ``doc_id`` is hashed as zero; repeated rows, whether or not they share an
+id, are told apart by a row key and get a slot each (ties in the order of slots
+are rows alike); an empty table gives an empty result; other columns are ignored
+unless ``carry`` names them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm._frames import chunk_count, staged, with_offset
+from marquee.llm._frames import chunk_count, staged, with_offset, with_row_key
 
 N_SHARDS = 16
 TOLERANCE = 0.02       # largest group of equal texts kept whole, in shards
@@ -49,12 +53,16 @@ def text_dimensions() -> dict[str, Column]:
     }
 
 
+_KEY = "__kd_row"
+
+
 def measured(documents: DataFrame, dimensions: dict[str, Column] | None = None) -> DataFrame:
-    """doc_id, size, text_crc32 and the raw dimensions of every row, staged."""
+    """Row key, doc_id, size, text_crc32 and the raw dimensions of every row of
+    a frame keyed by ``with_row_key``, staged."""
     dims = dimensions or text_dimensions()
     text = F.coalesce(F.col("text"), F.lit(""))
     return staged(documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col(_KEY).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
         *[c.cast("double").alias(f"d{i}") for i, c in enumerate(dims.values())],
@@ -72,7 +80,7 @@ def _scaled(rows: DataFrame, n: int) -> DataFrame:
         scaled = F.floor((F.col(f"d{i}") - F.lit(low)) * F.lit(top / width)) if width else F.lit(0)
         out = out.withColumn(f"q{i}", F.coalesce(scaled, F.lit(0)).cast("long"))
     tie = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(1 << 36))
-    return out.select("doc_id", "size", "text_crc32", *[f"q{i}" for i in range(n)], tie.alias("tie"))
+    return out.select("row_key", "doc_id", "size", "text_crc32", *[f"q{i}" for i in range(n)], tie.alias("tie"))
 
 
 def _by_node(values: dict[int, int | None], node: Column) -> Column:
@@ -154,21 +162,31 @@ def kd_assign(rows: DataFrame, n_dims: int, n_shards: int = N_SHARDS, tolerance:
 
 
 def kd_shards(documents: DataFrame, n_shards: int = N_SHARDS, dimensions: dict[str, Column] | None = None,
-              target_bytes: int | None = None, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot of every row.
+              target_bytes: int | None = None, tolerance: float = TOLERANCE, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot of every row, and the ``carry``
+    columns of its document (its text, so that shards can be written from it).
 
     ``target_bytes`` sets the number of shards from the data instead.
     """
     dims = dimensions or text_dimensions()
-    rows = measured(documents, dims)
+    keyed = with_row_key(documents, _KEY, "kd-input")
+    rows = measured(keyed, dims)
     if target_bytes:
         total = rows.agg(F.sum("size")).first()[0] or 0
         n_shards = max(1, -(-total // target_bytes))
     leaf = kd_assign(rows, len(dims), n_shards, tolerance).withColumnRenamed("node", "shard")
+    number = F.col("row_key.row")
     chunked = leaf.withColumn("one", F.lit(1)).withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(chunk_count(rows.count()))))
-    numbered = with_offset(chunked, ["shard"], "one", "chunk", [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")
-    return numbered.select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "slot")
+        "chunk", F.pmod(F.xxhash64("doc_id", "text_crc32", number), F.lit(chunk_count(rows.count()))))
+    order = [F.col("doc_id"), F.col("text_crc32"), F.col("size"), number, F.col("row_key.file")]
+    numbered = with_offset(chunked, ["shard"], "one", "chunk", order, "slot")
+    placed = numbered.select("row_key", "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "slot")
+    if not carry:
+        return placed.drop("row_key")
+    # named apart, since the document's own columns may be called the same
+    texts = keyed.select(F.col(_KEY).alias("row_key"), F.struct(*carry).alias(_KEY))
+    return placed.join(texts, "row_key").select(
+        "doc_id", "size", "text_crc32", "shard", "slot", *[F.col(f"{_KEY}.`{c}`").alias(c) for c in carry])
 
 
 def shard_report(documents: DataFrame, **options) -> DataFrame:

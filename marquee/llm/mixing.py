@@ -1,30 +1,36 @@
 """Mixing sources to target weights, in fixed-length token blocks.
 
-Native: DataFrame functions only, plain integer arithmetic (no hash), so
-reruns agree and SQL can restate it.
+Native: DataFrame functions only.
 
 - *Targets.* Sources, in code-point order with null last, weigh 1, 2, 3,
   repeating, and share the corpus size. A source's target stops at
   ``max_repeat`` times its size; the excess is reshared by weight among the
-  others until none is above. The source table has one row per source.
-- *Blocks.* The words of a source, in document order, are packed into blocks
-  of ``block_words``; the last block of a source is shorter. Block i of a
-  source holds its words [i * block_words, (i + 1) * block_words).
+  others until none is above. The source table has one row per source; it is
+  worked out in the driver, so sources are categories, not one per document.
+- *Blocks.* The words of a source, in a hashed order of its documents, are
+  packed into blocks of ``block_words``; the last block of a source is shorter.
+  Block i of a source holds its words [i * block_words, (i + 1) * block_words).
 - *Slots.* A source fills whole passes over its blocks and then part of one
   more pass, cut inside its last block, so that exactly round(target) words
   are taken and no word more than ``max_repeat`` times.
-- *Shards.* A slot's place in the output is an index permutation of all slots;
-  an output shard is ``shard_slots`` consecutive places. The counts of each
-  source in a shard are thus multinomial draws, conditioned on every source
-  reaching its total.
+- *Shards.* Every slot draws its output shard by a seeded hash, each shard alike
+  likely. The slots of a source are thereby a multinomial draw over the shards,
+  and the sources of a shard one over the sources, while every source reaches
+  its total exactly; a shard has ``shard_slots`` slots on average.
 - *Permutations.* Slot r of a pass maps to block (a * r + b) mod n, with a
   prime that does not divide n, different for each source and pass. Slots
   join blocks by that index.
 
+Documents are told apart by a row key, never by ``doc_id``. The order that packs
+them is (doc_id, text hash, row number), in chunks by the hash of all three, so
+that neither a repeated id nor a repeated row gathers in one task and reruns
+over the same files agree.
+
 Shapes of input: a null text has no words and is never taken; a null source
-is a source of its own; repeated rows count once each; an empty table gives an
-empty result; clashing extra columns are ignored. Rows that repeat a ``doc_id`` are
-packed one after the other; ``mix_documents`` gives each the passes of all.
+is a source of its own; rows that repeat an id or are wholly alike count, and
+are taken, each for itself, as are rows without an id; ties in the order are
+rows alike; an empty table gives an empty result; extra columns, whatever their
+names, are ignored by the report and kept by ``mix_documents``.
 """
 
 from __future__ import annotations
@@ -32,11 +38,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
-from marquee.llm._frames import WORD_SPLIT, chunk_count, spread_chunk, staged, with_offset, word_count
+from marquee.llm._frames import WORD_SPLIT, chunk_count, staged, with_offset, with_row_key, word_count
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 1_024
+RUN_SLOTS = 4_096   # slots listed by one row
+TASK_SLOTS = 1 << 18   # slots listed by one task
+SEED = 20_011
+# Helper columns beside those of the documents.
+_KEY, _PASS = "__mix_row", "__mix_pass"
 MAX_REPEAT = 3
 WEIGHTS = (1, 2, 3)
 # Primes used as steps of the index permutations.
@@ -73,11 +85,12 @@ def _permuted(slot: Column, blocks: Column, rank: Column, turn: Column) -> Colum
     return F.pmod(slot * step + rank * 7919 + turn * 104729, blocks)
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source and size (words) of every document."""
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
+def sized(keyed: DataFrame, key: str) -> DataFrame:
+    """Row key, doc_id, source, size (words) and text hash of every document."""
+    return keyed.select(
+        F.col(key).alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("mark"),
     )
 
 
@@ -93,17 +106,19 @@ def plan_sources(spark, sizes: DataFrame, **options) -> DataFrame:
     return spark.createDataFrame([(s, i, n, t, int(t + 0.5)) for i, (s, n, t) in enumerate(planned)], schema)
 
 
-def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per output slot: rank, turn, block, words taken, place."""
+def slots(sources: DataFrame, partitions: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per possible slot: rank, turn, slot, block and its length, in
+    ``partitions`` tasks."""
     live = sources.where("source_size > 0").withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
     live = live.withColumn("full_turns", F.expr("words div source_size"))
     live = live.withColumn("rest", F.col("words") - F.col("full_turns") * F.col("source_size"))
     # Slots are listed in runs so that no single row explodes without bound.
     turns = live.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full_turns"))))
     turns = turns.withColumn("budget", F.when(F.col("turn") < F.col("full_turns"), F.col("source_size")).otherwise(F.col("rest")))
-    runs = turns.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(blocks - 1) div 4096"))))
-    runs = runs.repartition("rank", "turn", "run")
-    each = runs.withColumn("slot", F.explode(F.expr("sequence(run * 4096, least(blocks, run * 4096 + 4096) - 1)")))
+    runs = turns.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(blocks - 1) div {RUN_SLOTS}"))))
+    # a stated number of partitions: small rows that grow would be merged otherwise
+    runs = runs.repartition(partitions, "rank", "turn", "run")
+    each = runs.withColumn("slot", F.explode(F.expr(f"sequence(run * {RUN_SLOTS}, least(blocks, run * {RUN_SLOTS} + {RUN_SLOTS}) - 1)")))
     each = each.withColumn("block", _permuted(F.col("slot"), F.col("blocks"), F.col("rank"), F.col("turn")))
     # Words before a slot: full blocks, less what the short last block lacks
     # when the permutation has already passed it.
@@ -114,97 +129,97 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return each
 
 
-def mix_slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix as slots: rank, turn, slot, block, words, shard, place.
+def mix_slots(sources: DataFrame, words: int, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix as slots: rank, turn, slot, block, words taken, shard, position.
 
     The slot lists are staged: Spark plans their joins by the size of the
     files, not by the size of the source table they were exploded from.
     """
     spark = sources.sparkSession
-    listed = staged(slots(sources, block_words), "mix-slots")
+    expected = words // block_words + 1
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // TASK_SLOTS))
+    listed = staged(slots(sources, partitions, block_words), "mix-slots")
     # a row per source and pass: the slot that holds the short last block
-    short = listed.where("block = blocks - 1").select("rank", "turn", "slot").collect()
-    ends = spark.createDataFrame([tuple(r) for r in short], "rank long, turn long, short_slot long")
-    planned = listed.join(F.broadcast(ends), ["rank", "turn"])
+    ends = listed.where("block = blocks - 1").select("rank", "turn", F.col("slot").alias("short_slot"))
+    planned = listed.join(ends, ["rank", "turn"])
     lacking = F.when(F.col("slot") > F.col("short_slot"), block_words - F.col("_last")).otherwise(0)
     before = F.col("slot") * block_words - lacking
     taken = F.greatest(F.lit(0), F.least(F.col("length"), F.col("budget") - before))
     kept = planned.withColumn("words_taken", taken).where("words_taken > 0")
-    # Global slot number: sources in order, passes in order, slots in order.
-    per_turn = kept.groupBy("rank", "turn").agg(F.count(F.lit(1)).alias("n"))
-    counts = sorted((r["rank"], r["turn"], r["n"]) for r in per_turn.collect())  # a row per source and pass
-    total, bases = 0, []
-    for rank, turn, n in counts:
-        bases.append((rank, turn, total))
-        total += n
-    base = spark.createDataFrame(bases, "rank long, turn long, base long")
-    number = F.col("base") + F.col("slot")
-    place = _permuted(number, F.lit(max(total, 1)).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"))
-    return staged(kept.join(F.broadcast(base), ["rank", "turn"]).withColumn("place", place).select(
-        "rank", "turn", "slot", "block", "words_taken",
-        F.expr(f"place div {shard_slots}").alias("shard"), F.pmod("place", F.lit(shard_slots)).alias("position"),
-    ), "mix-places")
+    # the draw: one of the shards, and a place in it by the hash's other bits
+    draw = F.xxhash64(F.lit(SEED), "rank", "turn", "slot")
+    shards = max(1, expected // shard_slots)
+    drawn = kept.withColumn("draw", draw).withColumn("shard", F.pmod("draw", F.lit(shards).cast("long")))
+    in_shard = W.partitionBy("shard").orderBy("draw", "rank", "turn", "slot")
+    return staged(drawn.withColumn("position", F.row_number().over(in_shard) - 1).select(
+        "rank", "turn", "slot", "block", "words_taken", "shard", "position"), "mix-places")
 
 
 def pack(sizes: DataFrame, sources: DataFrame, rows: int, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Each document's place in its source: doc_id, rank, size, start."""
+    """Each row's place in its source: key, doc_id, rank, size, start."""
     named = sources.select(F.col("source").alias("_source"), "rank", "source_size", "target")
     ranked = sizes.join(named, sizes["source"].eqNullSafe(named["_source"])).drop("_source")
-    chunked = ranked.withColumn("chunk", spread_chunk(F.col("doc_id"), chunk_count(rows)))
-    return with_offset(chunked, ["rank"], "size", "chunk", [F.col("doc_id").asc_nulls_last(), F.col("size")], "start")
-
-
-def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, **options):
-    """(placed documents, segments): the mix itself.
-
-    A segment is the part of a document that one slot takes: doc_id, shard,
-    position, turn, first_word (within the document), words.
-    """
-    spark = documents.sparkSession
-    sizes = staged(sized(documents), "mix-sizes")
-    sources = plan_sources(spark, sizes, **options)
-    placed = pack(sizes, sources, sizes.count(), block_words)
-    chosen = mix_slots(sources, block_words, shard_slots)
+    number = F.col("key.row")
+    chunked = ranked.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark", number), F.lit(chunk_count(rows)).cast("long")))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("mark"), number, F.col("key.file")]
+    return with_offset(chunked, ["rank"], "size", "chunk", order, "start")
+
+
+def _mix(keyed: DataFrame, key: str, block_words: int, shard_slots: int, **options):
+    sizes = staged(sized(keyed, key), "mix-sizes")
+    sources = plan_sources(keyed.sparkSession, sizes, **options)
+    totals = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("words")).first()
+    placed = pack(sizes, sources, totals["rows"], block_words)
+    chosen = mix_slots(sources, totals["words"] or 0, block_words, shard_slots)
     parts = placed.where("size > 0").withColumn(
         "block", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})"))
-    ).select("doc_id", "rank", "block", "start", "size")
+    ).select("key", "doc_id", "rank", "block", "start", "size")
     joined = parts.join(chosen, ["rank", "block"])
     low = F.greatest("start", F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words_taken"))
     segments = joined.withColumn("words", high - low).where("words > 0").select(
-        "doc_id", "start", "shard", "position", "turn", (low - F.col("start")).alias("first_word"), "words", "size",
+        "key", "doc_id", "shard", "position", "turn", (low - F.col("start")).alias("first_word"), "words", "size",
     )
     return placed, segments
 
 
+def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, **options):
+    """(placed documents, segments): the mix itself.
+
+    A segment is the part of a document that one slot takes: key, doc_id,
+    shard, position, turn, first_word (within the document), words.
+    """
+    return _mix(with_row_key(documents, _KEY, "mix-rows"), _KEY, block_words, shard_slots, **options)
+
+
 def mix_report(documents: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    placed, segments = mix(documents, **options)
-    taken = segments.groupBy(F.col("doc_id").alias("_id"), F.col("start").alias("_start"), F.col("size").alias("_size")).agg(
-        F.sum("words").alias("taken"))
-    joined = placed.join(
-        taken, placed["doc_id"].eqNullSafe(taken["_id"]) & (placed["start"] == taken["_start"]) & (placed["size"] == taken["_size"]), "left")
-    return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    placed, segments = mix(documents.select("doc_id", "source", "text"), **options)
+    taken = segments.groupBy("key").agg(F.sum("words").alias("taken"))
+    return placed.join(taken, "key", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mix_documents(documents: DataFrame, **options) -> DataFrame:
+def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, **options) -> DataFrame:
     """The mix as documents: a row per document and pass that takes it.
 
     Text is the words the pass takes, joined by one space when only a part is
     taken; a document taken whole keeps its text unchanged. ``n_chars`` is
-    recounted. Blocks of a pass that touch are joined in document order.
+    recounted. Blocks of a pass that touch are joined in document order. Spans
+    go back to their own row by its key.
     """
     columns = documents.columns
-    _, segments = mix(documents, **options)
-    passes = segments.groupBy("doc_id", "turn").agg(
-        F.sum("words").alias("_taken"), F.max("size").alias("_size"),
-        F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("_spans"),
-    ).withColumnRenamed("doc_id", "_id")
-    joined = documents.join(passes, documents["doc_id"].eqNullSafe(passes["_id"]))
+    keyed = with_row_key(documents, _KEY, "mix-rows")
+    _, segments = _mix(keyed, _KEY, block_words, shard_slots, **options)
+    passes = segments.groupBy("key", "turn").agg(
+        F.struct(F.sum("words").alias("taken"), F.max("size").alias("size"),
+                 F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("spans")).alias(_PASS),
+    ).select(F.col("key").alias(_KEY), _PASS)
+    joined = keyed.join(passes, _KEY)
     words = F.filter(F.split("text", WORD_SPLIT), lambda w: w != "")
     cut = F.array_join(F.flatten(F.transform(
-        "_spans", lambda s: F.slice(words, (s["first_word"] + 1).cast("int"), s["words"].cast("int")))), " ")
-    text = F.when(F.col("_taken") >= F.col("_size"), F.col("text")).otherwise(cut)
+        f"{_PASS}.spans", lambda s: F.slice(words, (s["first_word"] + 1).cast("int"), s["words"].cast("int")))), " ")
+    text = F.when(F.col(f"{_PASS}.taken") >= F.col(f"{_PASS}.size"), F.col("text")).otherwise(cut)
     out = joined.withColumn("text", text)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))

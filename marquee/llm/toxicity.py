@@ -11,8 +11,9 @@ segment, a clean one by its worst and some random segments, chosen anew each
 epoch; the first choice is by the grams' log odds, which one dimension of the
 embeddings starts from.
 
-Learning uses a bounded sample of labelled rows (``sample_positive`` and
-``sample_negative`` rows, chosen by a hash of the id); scoring reads every row
+Learning uses a bounded sample of labelled rows (``positive`` and ``negative``
+rows, one per id, of at most ``sample_bytes`` of text for each class, chosen by
+a hash of the id) and the same passes over it at every size; scoring reads every row
 and whole text, in bounded slices, as a narrow pass without any shuffle. The
 average before the softmax is linear, so each gram's row is folded into one
 number before scoring; the folded table has ``2**BITS`` entries at any size.
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from marquee.llm.textbytes import LOWER, mix64, range_hashes, row_slices, text_buffers, word_bounds
 
@@ -42,10 +44,13 @@ GRAMS = (3, 4, 5)
 THRESHOLD = 0.3
 SAMPLE_POSITIVE = 2_000
 SAMPLE_NEGATIVE = 4_000
-EPOCHS = 6
+SAMPLE_BYTES = 12 << 20   # of text, for each class
+EPOCHS = 8
 PACE = 0.1
 START = 6.0
 MIN_TEXTS = 3
+SAMPLE_SLICE = 1 << 18   # bytes of the sample spelled at once
+CHUNK = 1 << 15          # segments or words of the sample worked on at once
 HELD_OUT = 2
 
 
@@ -191,21 +196,32 @@ def score_documents(documents: DataFrame, model: Model, prefix: str = "") -> Dat
 # ------------------------------------------------------------------ training
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, positive: int, negative: int):
-    """(texts, classes) of at most ``positive`` + ``negative`` labelled rows.
+def training_sample(documents: DataFrame, labels: DataFrame, positive: int, negative: int,
+                    sample_bytes: int = SAMPLE_BYTES):
+    """(texts, classes) of at most ``positive`` + ``negative`` labelled rows and
+    about ``sample_bytes`` of text for each class.
 
     The ids are chosen first, from the labels alone (which fixes the size), and
-    sent to the documents, whose texts are not shuffled.
+    sent to the documents, whose texts are not shuffled. An id stands for one
+    row, that of the smallest text hash, however many rows share it, and a class
+    takes its rows in the order of a hash until its bytes are spent.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
     marked = marked.where("_id is not null and _toxic in (0, 1)").where(~held_out(F.col("_id")))
     marked = marked.groupBy("_id").agg(F.max("_toxic").alias("_toxic")).withColumn("_h", F.xxhash64("_id"))
     chosen = marked.where("_toxic = 1").orderBy("_h", "_id").limit(positive).union(
-        marked.where("_toxic = 0").orderBy("_h", "_id").limit(negative)).select("_id", "_toxic")
-    # bounded by positive + negative rows of two numbers
-    rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")).join(
-        F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("_id")).select("_id", "_text", "_toxic")
-    got = rows.toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
+        marked.where("_toxic = 0").orderBy("_h", "_id").limit(negative))
+    # bounded by positive + negative rows of three numbers
+    found = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")).join(
+        F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("_id"))
+    sized = found.select("_id", "_toxic", "_h", F.octet_length("_text").alias("_bytes"), F.xxhash64("_text").alias("_mark"))
+    # one small row per id: which of its texts, and how many bytes come before it
+    one = sized.groupBy("_id", "_toxic", "_h").agg(F.min(F.struct("_mark", "_bytes")).alias("_one"))
+    spent = F.sum("_one._bytes").over(W.partitionBy("_toxic").orderBy("_h", "_id").rowsBetween(W.unboundedPreceding, 0))
+    taken = one.withColumn("_spent", spent).where(F.col("_spent") <= sample_bytes).select("_id", F.col("_one._mark").alias("_mark"))
+    texts = found.withColumn("_mark", F.xxhash64("_text")).join(F.broadcast(taken), ["_id", "_mark"])
+    got = texts.groupBy("_id").agg(F.first("_text").alias("_text"), F.first("_toxic").alias("_toxic")).toArrow()
+    got = got.sort_by([("_id", "ascending")])
     return got["_text"].combine_chunks(), got["_toxic"].to_numpy().astype(np.int64)
 
 
@@ -214,49 +230,65 @@ class _Sample:
 
     def __init__(self, texts: pa.Array, classes: np.ndarray):
         data, offsets = text_buffers(texts)
-        hashes, grams, first, words = [], {}, [np.zeros(1, dtype=np.int64)], 0
+        hashes, known_words, first, words = [], set(), [np.zeros(1, dtype=np.int64)], 0
         spelled: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for i, j in row_slices(offsets):
+        for i, j in row_slices(offsets, SAMPLE_SLICE):
             piece = LOWER[data[offsets[i] : offsets[j]]]
             starts, ends, head = word_bounds(piece, offsets[i : j + 1] - offsets[i])
             h = range_hashes(piece, starts, ends)
             new, where = np.unique(h, return_index=True)
-            fresh = np.fromiter((x not in grams for x in new.tolist()), bool, len(new))
-            grams.update(dict.fromkeys(new[fresh].tolist()))
+            fresh = np.fromiter((x not in known_words for x in new.tolist()), bool, len(new))
+            known_words.update(new[fresh].tolist())
             ids, word = _gram_ids(piece, starts[where[fresh]], ends[where[fresh]], new[fresh])
             order = np.argsort(word, kind="stable")
-            spelled.append((new[fresh], ids[order].astype(np.int32), np.bincount(word, minlength=int(fresh.sum()))))
+            spelled.append((new[fresh], ids[order].astype(np.int32), np.bincount(word, minlength=int(fresh.sum())).astype(np.int32)))
             hashes.append(h)
             first.append(head[1:] + words)
             words += len(starts)
-        self._count = np.concatenate([x[2] for x in spelled]) if spelled else np.zeros(0, np.int64)
+        del known_words
+        self._count = np.concatenate([x[2] for x in spelled]) if spelled else np.zeros(0, np.int32)
         every = np.concatenate([x[0] for x in spelled]) if spelled else np.zeros(0, np.uint64)
-        gram_ids = np.concatenate([x[1] for x in spelled]) if spelled else np.zeros(0, np.int32)
         order = np.argsort(every)
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        self.word = order[np.searchsorted(every[order], flat)].astype(np.int32) if len(every) else np.zeros(0, np.int32)
+        ranked = every[order]
+        self.word = np.concatenate([order[np.searchsorted(ranked, h)].astype(np.int32) for h in hashes]) if len(every) else np.zeros(0, np.int32)
+        del hashes, ranked, order
         self.first = np.concatenate(first)
+        # in how many texts, and in how many toxic ones, a distinct word stands
+        texts_of, toxic_of = np.zeros(len(every), dtype=np.int64), np.zeros(len(every), dtype=np.int64)
+        for row in range(len(classes)):
+            own = np.unique(self.word[self.first[row] : self.first[row + 1]])
+            texts_of[own] += 1
+            toxic_of[own] += classes[row]
         # grams of fewer than MIN_TEXTS texts teach nothing general: left out
-        text = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-        pairs = np.unique(text * max(len(every), 1) + self.word)
-        texts_of = np.bincount(pairs % max(len(every), 1), minlength=len(every))
-        owner = np.repeat(np.arange(len(every)), self._count)
-        spread = np.bincount(gram_ids, texts_of[owner], 1 << BITS)
-        toxic_of = np.bincount(pairs % max(len(every), 1), classes[pairs // max(len(every), 1)], len(every))
-        toxic = np.bincount(gram_ids, toxic_of[owner], 1 << BITS)
+        spread, toxic = np.zeros(1 << BITS), np.zeros(1 << BITS)
+        at = 0
+        for _, ids, count in spelled:
+            spread += np.bincount(ids, np.repeat(texts_of[at : at + len(count)], count), 1 << BITS)
+            toxic += np.bincount(ids, np.repeat(toxic_of[at : at + len(count)], count), 1 << BITS)
+            at += len(count)
         ratio = max(toxic_of.sum(), 1.0) / max((texts_of - toxic_of).sum(), 1.0)
         # log odds of each gram by the texts that hold it
         self.odds = np.log((toxic + 1.0) / (ratio * (spread - toxic) + 1.0))
-        known = spread[gram_ids] >= MIN_TEXTS
-        self.gram_ids = gram_ids[known]
-        self.gram_count = np.bincount(owner[known], minlength=len(every))
-        self.gram_first = np.concatenate(([0], np.cumsum(self.gram_count)))
-        self.previous = _previous(self.word)
+        kept, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for _, ids, count in spelled:
+            known = spread[ids] >= MIN_TEXTS
+            kept.append(ids[known])
+            counts.append(np.bincount(np.repeat(np.arange(len(count)), count)[known], minlength=len(count)))
+        del spelled
+        self.gram_ids = np.concatenate(kept)
+        self.gram_count = np.concatenate(counts).astype(np.int32)
+        self.gram_first = np.concatenate(([0], np.cumsum(self.gram_count, dtype=np.int64)))
+        self.previous = _previous(self.word).astype(np.int32)
 
     def word_values(self, per_gram: np.ndarray) -> np.ndarray:
         """Average of a per-gram number over each distinct word's grams."""
-        run = np.concatenate(([0.0], np.cumsum(per_gram[self.gram_ids])))
-        return (run[self.gram_first[1:]] - run[self.gram_first[:-1]]) / np.maximum(self._count, 1)
+        out = np.zeros(len(self._count))
+        for i in range(0, len(out), CHUNK):
+            low, high = self.gram_first[i], self.gram_first[min(i + CHUNK, len(out))]
+            run = np.concatenate(([0.0], np.cumsum(per_gram[self.gram_ids[low:high]])))
+            edge = self.gram_first[i : i + CHUNK + 1] - low
+            out[i : i + CHUNK] = run[edge[1:]] - run[edge[:-1]]
+        return out / np.maximum(self._count, 1)
 
     def bag(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(segment, gram, weight) of the grams of the given word ranges."""
@@ -281,8 +313,6 @@ def train(texts: pa.Array, classes: np.ndarray, seed: int = 7, epochs: int = EPO
     if classes.min() == classes.max():
         return Model(np.zeros(size), prior)
     rng = np.random.default_rng(seed)
-    # few examples are shown more often, for about as many steps
-    epochs *= int(np.clip(SAMPLE_POSITIVE // max(int(classes.sum()), 1), 1, 3))
     sample = _Sample(texts, classes)
     start, end, row = _segments(sample.first)
     toxic = classes[row]
@@ -318,7 +348,11 @@ def train(texts: pa.Array, classes: np.ndarray, seed: int = 7, epochs: int = EPO
 
     def values() -> np.ndarray:
         per_word = sample.word_values(embed @ (soft[:, 1] - soft[:, 0]))
-        return _segment_values(per_word[sample.word], sample.previous, start, end) + bias[1] - bias[0]
+        logits = per_word[sample.word]
+        out = np.empty(len(start))
+        for i in range(0, len(out), CHUNK):
+            out[i : i + CHUNK] = _segment_values(logits, sample.previous, start[i : i + CHUNK], end[i : i + CHUNK])
+        return out + bias[1] - bias[0]
 
     for epoch in range(epochs + 1 if len(row) else 0):
         value = values()

@@ -126,3 +126,32 @@ def test_rows_are_dropped_by_row_not_by_id(workers, tmp_path, made):
         assert got[3, e] == 1 and got[None, None] == 1 and got[None, ""] == 1
         clean = Counter((r.doc_id, r.text) for r in P.drop_contaminated(workers, frame, sf_dir).collect())
         assert clean == Counter((i, t) for i, t in texts if items[0][1] not in (t or ""))
+
+
+def test_clashing_columns_on_every_stage(workers, made):
+    """Columns named like a stage's own do not change its result and come back."""
+    from pyspark.sql import functions as F
+
+    sf_dir = made[0]
+    frame = workers.read.parquet(f"{sf_dir}/documents.parquet")
+    names = ("score", "predicted", "_row", "_id", "_taken", "_size", "_spans", "row", "key", "label", "kept", "n", "size", "slot")
+    for name, stage in P.STAGES:
+        odd = frame
+        for n in names:
+            odd = odd.withColumn(n, F.lit(42.0))
+        out, want = stage(workers, odd, sf_dir), stage(workers, frame, sf_dir)
+        shared = [c for c in want.columns if c in ("doc_id", "text", "source", "shard")]
+        rows = lambda df: sorted(map(str, df.select(*shared).collect()))
+        assert rows(out) == rows(want), name
+        if name != P.STAGES[-1][0]:
+            assert out.columns == odd.columns
+            assert out.where("score = 42.0 and predicted = 42.0 and _size = 42.0").count() == out.count()
+
+
+def test_last_stage_has_the_texts(workers, made):
+    import zlib
+
+    docs = workers.createDataFrame([(1, "a b", "en", "s", 3), (1, "a b", "en", "s", 3), (None, None, None, None, 0)], DOCUMENTS)
+    got = P.shard(workers, docs, made[0]).collect()
+    assert len(got) == 3
+    assert all(zlib.crc32((r.text or "").encode()) == r.text_crc32 for r in got)

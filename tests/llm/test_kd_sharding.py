@@ -52,3 +52,15 @@ def test_shapes(empty, clashing, with_nulls):
     got = shard_report(with_nulls).toPandas()
     assert len(got) == with_nulls.count()
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+
+
+def test_hot_identical_rows_and_carried_texts(workers):
+    """Rows alike get slots of their own, and every row comes with its text."""
+    alike = workers.range(3_000).selectExpr("cast(7 as long) as doc_id", "'the same row' as text", "'s' as source")
+    rest = workers.range(3_000).selectExpr("if(id % 2 = 0, null, id) as doc_id", "concat('text ', id) as text", "'t' as source")
+    docs = alike.union(rest)
+    got = kd_shards(docs, n_shards=4, carry=("text", "source")).toPandas()
+    assert len(got) == 6_000
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    assert [zlib.crc32(t.encode()) for t in got.text] == list(got.text_crc32)
+    assert (got[got.source == "s"].doc_id == 7).all() and got[got.source == "t"].text.nunique() == 3_000
