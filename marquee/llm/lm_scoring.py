@@ -13,14 +13,17 @@ take the last 0.1. Probabilities of a position add up to one.
 *Training.* Noise-contrastive estimation against the unigram distribution of
 classes, with the noise words of a minibatch shared, so every step is a few
 matrix products in numpy. Training is ``EPOCHS`` epochs over all training
-texts, as many at every size of corpus: in an epoch every task trains a copy of
-the model on its texts, each once, and the copies with their AdaGrad sums are
+texts, in steps of ``BATCH`` tokens, at every size of corpus. The texts are
+written once as class numbers; in an epoch every task trains a copy of
+the model on its share of them, each text once, and the copies with their AdaGrad sums are
 averaged in Spark, weighted by tokens, before the next epoch. Only the average,
 of fixed size, reaches the driver.
 
 *Counts.* Words are counted over all training texts: a row per task and
 distinct word, added up by word. To score, documents are dealt into blocks of
-about ``BLOCK_BYTES``; a block's distinct words are joined with the counts and
+about ``BLOCK_BYTES``: runs of rows for texts of up to ``LONG`` times the average
+size, and shorter runs, by size, for longer ones, so that no run of long texts
+makes a block of more than ``LONG`` times that (but for one text alone); a block's distinct words are joined with the counts and
 meet the block's texts again, so no task and no broadcast holds the vocabulary.
 
 Words are identified by a 64-bit hash of their lower-cased bytes.
@@ -52,12 +55,13 @@ END = TOP_WORDS
 CONTEXT = 2
 DIMENSIONS = 16
 NOISE = 48
-BATCH = 4_096
+BATCH = 512             # tokens of a step, at every size of corpus
 EPOCHS = 3
 PACE = 0.1
 PIECE_TOKENS = 1 << 20
 SCORE_BYTES = 4 << 20
 BLOCK_BYTES = 12 << 20
+LONG = 4
 HELD_OUT_OF = 10
 END_WORD = np.uint64(0x9D8F3A6B1C2E4F57)  # the end token among the word hashes
 
@@ -252,11 +256,10 @@ def train_slice(model: Model, squares: list[np.ndarray], context: np.ndarray, ta
                 noise: np.ndarray, rng: np.random.Generator, pace: float = PACE) -> None:
     """NCE over the given tokens, in shuffled minibatches; updates in place."""
     order = rng.permutation(len(target))
-    size = int(np.clip(len(target) // 32, 64, BATCH))
     log_k_noise = np.log(NOISE * noise).astype(np.float32)
     cumulative = np.cumsum(noise)
-    for at in range(0, len(order), size):
-        pick = order[at : at + size]
+    for at in range(0, len(order), BATCH):
+        pick = order[at : at + BATCH]
         c, w = context[pick], target[pick]
         m = len(pick)
         drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), CLASSES - 1)
@@ -293,17 +296,39 @@ def _state(flat: np.ndarray) -> tuple[Model, list[np.ndarray]]:
     return model, [sums.context, sums.place, sums.output, sums.bias[:, None]]
 
 
-def _train_batches(shared, seed: int):
+def _class_batches(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, vocab = shared.value
-        model, squares = _state(state)
-        noise, rng, seen = _noise(vocab), np.random.default_rng(seed), 0
+        vocab = shared.value
         for batch in batches:
+            classes, lengths = [], []
             for _, _, piece, places in _slices(batch["text"]):
                 word, tail, head = tokens(piece, places)
-                classes = vocab.classify(word, tail)
-                train_slice(model, squares, contexts(classes, head), classes, noise, rng)
-                seen += len(classes)
+                classes.append(vocab.classify(word, tail).astype(np.int16).tobytes())
+                lengths.append(np.diff(head).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(lengths, pa.binary())], ["classes", "lengths"])
+
+    return run
+
+
+def class_rows(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(classes, lengths): the texts as class numbers of two bytes a token and
+    token counts of four a text, a row per slice of texts, staged. Words are
+    split and looked up once, however many epochs follow."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocab)
+    return staged(rows.select("text").mapInArrow(_class_batches(shared), "classes binary, lengths binary"), "lm-classes")
+
+
+def _train_batches(shared, seed: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, noise = shared.value
+        model, squares = _state(state)
+        rng, seen = np.random.default_rng(seed), 0
+        for batch in batches:
+            for classes, lengths in zip(batch["classes"], batch["lengths"]):
+                target = np.frombuffer(classes.as_buffer(), dtype=np.int16).astype(np.int64)
+                head = np.concatenate(([0], np.cumsum(np.frombuffer(lengths.as_buffer(), dtype=np.int32), dtype=np.int64)))
+                train_slice(model, squares, contexts(target, head), target, noise, rng)
+                seen += len(target)
         if seen:
             yield _parameters(_flat_state(model, squares).astype(np.float64) * seen, seen, seed)
 
@@ -344,11 +369,12 @@ def _add_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, vocab: Vocabulary, epochs: int = EPOCHS) -> Model:
     """Train on all ``rows`` in every epoch; copies are averaged after each."""
     sc = rows.sparkSession.sparkContext
+    coded = class_rows(rows, vocab)
     model = initial_model(vocab)
     state = _flat_state(model, initial_squares(model))
     for epoch in range(epochs):
-        shared = sc.broadcast((state, vocab))        # fixed size
-        copies = rows.select("text").mapInArrow(_train_batches(shared, epoch), PARAMETER_SCHEMA)
+        shared = sc.broadcast((state, _noise(vocab)))        # fixed size
+        copies = coded.mapInArrow(_train_batches(shared, epoch), PARAMETER_SCHEMA)
         for keys in (("part", "salt"), ("part",)):
             copies = copies.repartition(PARAMETER_PARTS, *keys).mapInArrow(_add_batches, PARAMETER_SCHEMA)
         got = sorted(copies.collect(), key=lambda x: x["part"])   # PARAMETER_PARTS rows
@@ -466,8 +492,12 @@ def score_documents(documents: DataFrame, model: Model, vocab: Vocabulary, count
     except AnalysisException:
         rows = staged(documents.select(*chosen), "lm-texts").select("doc_id", "text", *place)
     n, total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
-    run = max(1, int(block_bytes * n // max(total or 0, 1)))
-    dealt = rows.select("doc_id", "text", F.xxhash64("file", F.expr(f"row div {run}")).alias("block"))
+    average = max((total or 0) / max(n, 1), 1.0)
+    size = F.octet_length("text")
+    doubling = F.when(size <= LONG * average, 0).otherwise(F.ceil(F.log2(size))).cast("int")
+    run = F.when(doubling == 0, max(1, int(block_bytes / average))).otherwise(
+        F.greatest(F.lit(1), F.floor(block_bytes / F.pow(F.lit(2.0), doubling)))).cast("long")
+    dealt = rows.select("doc_id", "text", F.xxhash64("file", doubling, F.floor(F.col("row") / run)).alias("block"))
     words = dealt.mapInArrow(_block_words, "block long, word long")
     found = words.distinct().join(counts.select("word", "count"), "word").select("block", "word", "count")
     shared = spark.sparkContext.broadcast((model.flat(), vocab))

@@ -127,7 +127,7 @@ def test_a_text_is_trained_on_once_an_epoch_at_any_size(monkeypatch):
 
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array(["a b c a", "b c"] * 50)], ["text"])
+    texts = pa.RecordBatch.from_arrays([pa.array(["a b c a", "b c"] * 50)], ["text"])
     calls, real = [], L.train_slice
     monkeypatch.setattr(L, "train_slice", lambda *a, **b: (calls.append(len(a[3])), real(*a, **b)))
     got = []
@@ -135,8 +135,34 @@ def test_a_text_is_trained_on_once_an_epoch_at_any_size(monkeypatch):
         count = np.full(L.CLASSES, 5)
         vocab = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), count, np.ones(L.CLASSES, np.int64), total, L.CLASSES)
         model = L.initial_model(vocab)
-        shared = SimpleNamespace(value=(L._flat_state(model, L.initial_squares(model)), vocab))
+        batch, = L._class_batches(SimpleNamespace(value=vocab))([texts])
+        shared = SimpleNamespace(value=(L._flat_state(model, L.initial_squares(model)), L._noise(vocab)))
         out, = L._train_batches(shared, 0)([batch])
         got.append(np.concatenate([x.values.to_numpy() for x in out["numbers"]]))
     assert calls == [8 * 50, 8 * 50]
     assert (got[0] == got[1]).all()
+
+
+def test_long_texts_do_not_gather_in_a_block(workers, monkeypatch):
+    """A run of long texts in one file is cut by bytes."""
+    from marquee.llm import lm_scoring as L
+
+    seen = []
+
+    def catching(self, other):
+        seen.append((self, other))
+        return original(self, other)
+
+    from pyspark.sql.group import GroupedData
+
+    original = GroupedData.cogroup
+    rows = [(i, "w " * (20 if i % 50 else 3_000)) for i in range(1_000)] + [(2_000 + i, "v " * 30_000) for i in range(40)]
+    docs = workers.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    counts = L.count_words(docs)
+    vocab = L.vocabulary(counts)
+    monkeypatch.setattr(GroupedData, "cogroup", catching)
+    out = L.score_documents(docs, L.initial_model(vocab), vocab, counts, block_bytes=100_000)
+    assert out.count() == len(rows)
+    dealt = seen[0][0]._df
+    sizes = [r["b"] for r in dealt.selectExpr("block", "length(text) as b").groupBy("block").sum("b").withColumnRenamed("sum(b)", "b").collect()]
+    assert max(sizes) <= L.LONG * 100_000 and sum(sizes) == sum(len(t) for _, t in rows)
