@@ -89,11 +89,11 @@ def _report(spark: SparkSession, args) -> int:
         if args.database:
             df = read_table(spark, args.database, dataset)
         else:
-            path = lake_path(args.lake, dataset)
-            if not path_exists(spark, path):
+            try:
+                df = read_lake(spark, lake_path(args.lake, dataset), S.LAKE[dataset])
+            except FileNotFoundError:
                 print(f"{name}: dataset {dataset} not in the lake, skipped")
                 continue
-            df = read_lake(spark, path, S.LAKE[dataset])
         print(f"== {name}")
         report = fn(df, median=args.median) if fn is runtime_by_genre else fn(df)
         report.show(truncate=False)
