@@ -2,18 +2,22 @@
 
 A node that must hold k leaves is split at the weighted median (by bytes) of
 its widest dimension, in proportion floor(k/2) : ceil(k/2), until every leaf
-is one shard of the target bytes. The dimensions are numbers derived from the
-text, scaled to 20 bits over the whole table.
+is one shard of the target bytes. The dimensions are the documents' metadata:
+script, layout and word length of the text, and its language and source, where
+the table has these columns, by their place in lexical order; each is scaled to
+20 bits over the whole table. Equal texts count with the first language and
+source of their group, so that they have the same place in the tree.
 
 The median is exact and distributed: a radix select. Each pass adds up the
 bytes per digit of the split key below the prefix already fixed, in Spark,
 and only the digit histograms of the open nodes (at most 4,096 rows a node)
-reach the driver. The split key is (scaled dimension, text CRC), so equal
-texts stay on one side; a group of equal texts heavier than ``tolerance`` of
+reach the driver. The split key is (scaled dimension, text CRC): the CRC only
+breaks ties inside one value of the dimension, and equal texts stay on one side; a group of equal texts heavier than ``tolerance`` of
 a shard is itself cut, by a hash of ``doc_id``, because the law of the
 sharding is equal bytes.
 
 Shapes of input: a null text weighs one byte and counts as empty for its CRC;
+a null language or source comes first in its dimension;
 a null ``doc_id`` is hashed as zero; repeated rows, whether or not they share an
 id, are told apart by a row key and get a slot each (ties in the order of slots
 are rows alike); an empty table gives an empty result; other columns are ignored
@@ -37,36 +41,55 @@ KEY_BITS = SCALE_BITS + 32           # scaled dimension, then the CRC
 
 
 def text_dimensions() -> dict[str, Column]:
-    """Metadata dimensions: bytes per character (the script), lines per
-    character (the layout) and the text's CRC.
+    """Dimensions of a text: bytes per character (the script), lines per
+    character (the layout) and blanks per character (the length of words).
 
     Length is no dimension: it would gather the longest texts in one leaf,
     where a single row is a large part of a shard.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     size, chars = F.octet_length(text), F.char_length(text)
-    lines = size - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+
+    def per_char(mark: str, without: float) -> Column:
+        marks = size - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+        return F.when(chars > 0, marks / chars).otherwise(F.lit(without))
+
     return {
         "bytes_per_char": F.when(chars > 0, size / chars).otherwise(F.lit(1.0)),
-        "lines_per_char": F.when(chars > 0, lines / chars).otherwise(F.lit(0.0)),
-        "crc": F.crc32(text.cast("binary")).cast("double"),
+        "lines_per_char": per_char("\n", 0.0),
+        "blanks_per_char": per_char(" ", 0.0),
     }
 
 
+def category_dimensions(documents: DataFrame, names: Sequence[str] = ("lang", "source")) -> dict[str, Column]:
+    """Place of each category in lexical order: its first six bytes as a number."""
+    def place(name: str) -> Column:
+        head = F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+    return {n: place(n) for n in names if n in documents.columns}
+
+
 _KEY = "__kd_row"
 
 
-def measured(documents: DataFrame, dimensions: dict[str, Column] | None = None) -> DataFrame:
+def measured(documents: DataFrame, dimensions: dict[str, Column], categories: dict[str, Column]) -> DataFrame:
     """Row key, doc_id, size, text_crc32 and the raw dimensions of every row of
     a frame keyed by ``with_row_key``, staged."""
-    dims = dimensions or text_dimensions()
     text = F.coalesce(F.col("text"), F.lit(""))
-    return staged(documents.select(
+    both = [*dimensions.values(), *categories.values()]
+    rows = staged(documents.select(
         F.col(_KEY).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-        *[c.cast("double").alias(f"d{i}") for i, c in enumerate(dims.values())],
+        *[c.cast("double").alias(f"d{i}") for i, c in enumerate(both)],
     ), "kd-rows")
+    own = [f"d{i}" for i in range(len(dimensions), len(both))]
+    if not own:
+        return rows
+    # rows of one text may differ in these: the smallest value counts for all
+    groups = rows.groupBy("text_crc32", "size").agg(*[F.min(d).alias(d) for d in own])
+    return staged(rows.drop(*own).join(groups, ["text_crc32", "size"]), "kd-grouped")
 
 
 def _scaled(rows: DataFrame, n: int) -> DataFrame:
@@ -167,14 +190,16 @@ def kd_shards(documents: DataFrame, n_shards: int = N_SHARDS, dimensions: dict[s
     columns of its document (its text, so that shards can be written from it).
 
     ``target_bytes`` sets the number of shards from the data instead.
+    ``dimensions`` replace all of the table's own.
     """
     dims = dimensions or text_dimensions()
+    categories = {} if dimensions else category_dimensions(documents)
     keyed = with_row_key(documents, _KEY, "kd-input")
-    rows = measured(keyed, dims)
+    rows = measured(keyed, dims, categories)
     if target_bytes:
         total = rows.agg(F.sum("size")).first()[0] or 0
         n_shards = max(1, -(-total // target_bytes))
-    leaf = kd_assign(rows, len(dims), n_shards, tolerance).withColumnRenamed("node", "shard")
+    leaf = kd_assign(rows, len(dims) + len(categories), n_shards, tolerance).withColumnRenamed("node", "shard")
     number = F.col("row_key.row")
     chunked = leaf.withColumn("one", F.lit(1)).withColumn(
         "chunk", F.pmod(F.xxhash64("doc_id", "text_crc32", number), F.lit(chunk_count(rows.count()))))

@@ -64,3 +64,62 @@ def test_hot_identical_rows_and_carried_texts(workers):
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
     assert [zlib.crc32(t.encode()) for t in got.text] == list(got.text_crc32)
     assert (got[got.source == "s"].doc_id == 7).all() and got[got.source == "t"].text.nunique() == 3_000
+
+
+def brute_leaves(points, k):
+    """The tree on (scaled dimensions, crc, size) rows, in plain Python: shard of every row."""
+    def grow(rows, k, first):
+        if k == 1 or not rows:
+            return {r: first for r in rows}
+        n = len(points[rows[0]][0])
+        widest = max(range(n), key=lambda i: (max(points[r][0][i] for r in rows) - min(points[r][0][i] for r in rows), -i))
+        groups = {}
+        for r in rows:
+            groups.setdefault((points[r][0][widest], points[r][1]), []).append(r)
+        total = sum(points[r][2] for r in rows)
+        aim, run, left = total * (k // 2) / k, 0, []
+        for key in sorted(groups):
+            weight = sum(points[r][2] for r in groups[key])
+            if run + weight > aim or key == max(groups):
+                if run + weight - aim <= aim - run:
+                    left += groups[key]
+                break
+            run += weight
+            left += groups[key]
+        right = [r for r in rows if r not in set(left)]
+        return grow(left, k // 2, first) | grow(right, k - k // 2, first + k // 2)
+
+    return grow(sorted(points), k, 0)
+
+
+def test_leaves_match_brute_force(workers):
+    """Own texts of metadata that differ: every row in the leaf that a plain tree gives it."""
+    rows = [(i, ("wort " * (i % 7 + 1) + "é" * (i % 5) + "\n" * (i % 3) + f"t{i}") * (i % 4 + 1), ["de", "en", "fr", None][i % 4],
+             f"s{i * 7 % 11}") for i in range(900)]
+    docs = workers.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+
+    def place(name):
+        return float(int((name or "").encode()[:6].hex().ljust(12, "0"), 16)) if name else None
+
+    raw = {}
+    for d, t, lang, source in rows:
+        raw[d] = [len(t.encode()) / len(t), t.count("\n") / len(t), t.count(" ") / len(t), place(lang), place(source)]
+    low = [min(r[i] for r in raw.values() if r[i] is not None) for i in range(5)]
+    high = [max(r[i] for r in raw.values() if r[i] is not None) for i in range(5)]
+    top = (1 << 20) - 1
+    points = {}
+    for d, t, _, _ in rows:
+        q = [0 if raw[d][i] is None else int((raw[d][i] - low[i]) * (top / (high[i] - low[i]))) for i in range(5)]
+        points[d] = (q, zlib.crc32(t.encode()), len(t.encode()) + 1)
+    got = {r.doc_id: r.shard for r in kd_shards(docs, n_shards=8, tolerance=1.0).collect()}
+    assert got == brute_leaves(points, 8)
+
+
+def test_equal_texts_of_many_sources_share_a_shard(workers):
+    docs = workers.range(6_000).selectExpr(
+        "id as doc_id", "concat('text ', id div 3) as text", "array('de', 'en', null)[id % 3] as lang", "concat('s', id % 13) as source")
+    got = kd_shards(docs).toPandas()
+    got["text"] = got.doc_id // 3
+    assert (got.groupby("text").shard.nunique() == 1).all()
+    weight = got.groupby("shard")["size"].sum()
+    assert weight.max() <= 1.03 * weight.mean() and weight.min() >= 0.97 * weight.mean()
