@@ -177,6 +177,34 @@ linked AS (
 )
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op5_suffix_dedup": r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents
+), chunks AS (
+  -- a text in pieces of 1024 starts, so that a start is cut from a short string
+  SELECT doc_id, c * 1024 AS base, substr(hex(b), 2048 * c + 1, 2248) AS h, least(1024, n - 99 - 1024 * c) AS m
+  FROM (SELECT *, unnest(range(0, (n - 100) // 1024 + 1)) AS c FROM d WHERE n >= 100)
+), win AS (
+  SELECT doc_id, base + j AS i, md5_number(substr(h, 2 * j + 1, 200)) AS k
+  FROM (SELECT doc_id, base, h, unnest(range(0, m)) AS j FROM chunks)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM win) WHERE r > 1
+), marked AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM hit
+), spans AS (
+  SELECT doc_id, min(i) AS s, max(i) + 100 AS e
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), ends AS (
+  SELECT doc_id, s, e FROM spans UNION ALL SELECT doc_id, n, n FROM d
+), pieces AS (
+  SELECT doc_id, s, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s, e), 0) AS a, e FROM ends
+), kept AS (
+  SELECT doc_id, n, sum(e - s) AS removed, count(*) - 1 AS spans, string_agg(substr(hex(b), 2 * a + 1, 2 * (s - a)), '' ORDER BY s, e) AS h
+  FROM pieces JOIN d USING (doc_id) GROUP BY doc_id, n
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_removed, CAST(spans AS BIGINT) AS n_spans,
+       sha256(unhex(h)) AS kept_sha256
+FROM kept""",
     "op8_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
