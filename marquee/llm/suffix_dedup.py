@@ -13,8 +13,9 @@ earlier: in a document of a smaller id, or earlier in the same document.
   previous and next smaller positions in suffix order give each suffix's
   longest earlier match, and a string whose longest previous factor reaches
   ``length`` is a later copy. The first copy stays.
-- *Hot seeds.* Up to ``HOT_DOCUMENTS`` documents, the blocks of a seed are about
-  3 MB and stay together. A seed of more documents is split: its
+- *Hot seeds.* Up to ``HOT_BLOCKS`` blocks, counted over all documents and every
+  place in them, a seed's text is about 3 MB and stays together (a block is at
+  most ``2 * length`` bytes). A seed of more blocks is split: its
   strings are dealt by their offset from the seed gram in steps of ``PIECE``,
   and keyed by the ``length - PIECE + 1`` bytes that all strings of a piece
   share. Equal pieces are combined in the map tasks; the first stays in the
@@ -52,7 +53,7 @@ from marquee.llm.textbytes import (
 
 LENGTH = 100
 GRAM = 24
-HOT_DOCUMENTS = 16_384     # a seed's group is at most so many blocks a text, about 3 MB
+HOT_BLOCKS = 16_384        # a seed's group is at most so many blocks, about 3 MB
 PIECE = 8
 EMIT_BLOCKS = 4_096
 GROUP_BYTES = 1 << 20      # text of the groups worked on at once
@@ -124,20 +125,20 @@ def _seed_batches(length: int):
                 row, seed = row[order], seed[order]
                 head = np.concatenate(([True], (row[1:] != row[:-1]) | (seed[1:] != seed[:-1])))
                 at = np.flatnonzero(head)
-                often = np.diff(np.append(at, len(row))) > 1
+                blocks = np.diff(np.append(at, len(row)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed[at].view(np.int64)), pa.array(ids[first + row[at]]), pa.array(often)],
-                    ["seed", "doc_id", "often"])
+                    [pa.array(seed[at].view(np.int64)), pa.array(ids[first + row[at]]), pa.array(blocks)],
+                    ["seed", "doc_id", "blocks"])
 
     return run
 
 
-def shared_seeds(rows: DataFrame, length: int, hot_documents: int) -> DataFrame:
+def shared_seeds(rows: DataFrame, length: int, hot_blocks: int) -> DataFrame:
     """(doc_id, seeds, hot): the seeds of a document that occur elsewhere too."""
-    listed = staged(rows.mapInArrow(_seed_batches(length), "seed long, doc_id long, often boolean"), "byte-seeds")
+    listed = staged(rows.mapInArrow(_seed_batches(length), "seed long, doc_id long, blocks long"), "byte-seeds")
     facts = listed.groupBy("seed").agg(
-        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max("often").alias("often"), F.count(F.lit(1)).alias("n"))
-    shared = facts.where("a < b or often or n > 1").select("seed", (F.col("n") > hot_documents).alias("is_hot"))
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.sum("blocks").alias("n"))
+    shared = facts.where("a < b or n > 1").select("seed", (F.col("n") > hot_blocks).alias("is_hot"))
     found = listed.select("seed", "doc_id").join(shared, "seed").groupBy("doc_id").agg(
         F.collect_set(F.when(~F.col("is_hot"), F.col("seed"))).alias("seeds"),
         F.collect_set(F.when(F.col("is_hot"), F.col("seed"))).alias("hot"))
@@ -418,10 +419,10 @@ def _results(rows: list[tuple]) -> pa.RecordBatch:
                                       [x.split()[0] for x in RESULT.split(", ")])
 
 
-def later_spans(rows: DataFrame, length: int = LENGTH, hot_documents: int = HOT_DOCUMENTS) -> DataFrame:
+def later_spans(rows: DataFrame, length: int = LENGTH, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """(doc_id, spans) of every document that holds later copies."""
     known = rows.where("doc_id is not null")
-    shared = shared_seeds(known, length, hot_documents)
+    shared = shared_seeds(known, length, hot_blocks)
     joined = known.join(shared, "doc_id")
     blocks = staged(joined.mapInArrow(_block_batches(length), BLOCK_SCHEMA), "byte-blocks")
     full = F.struct(F.col("at").alias("span_start"), (F.col("at") + F.col("n") + length - 1).alias("span_end"))
@@ -438,10 +439,10 @@ def later_spans(rows: DataFrame, length: int = LENGTH, hot_documents: int = HOT_
     return staged(found, "byte-spans")
 
 
-def suffix_dedup(documents: DataFrame, length: int = LENGTH, hot_documents: int = HOT_DOCUMENTS) -> DataFrame:
+def suffix_dedup(documents: DataFrame, length: int = LENGTH, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """One row per document: n_bytes, n_removed, n_spans, kept, kept_sha256."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = later_spans(rows, length, hot_documents)
+    spans = later_spans(rows, length, hot_blocks)
     joined = rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_apply_batches, RESULT)
 

@@ -26,13 +26,35 @@ def answer(df):
     return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()}
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_documents": 1}, {"hot_documents": 4}, {"length": 40}, {"length": 65, "hot_documents": 2}])
+@pytest.mark.parametrize("options", [{}, {"hot_blocks": 1}, {"hot_blocks": 4}, {"length": 40}, {"length": 65, "hot_blocks": 2}])
 def test_matches_brute_force(documents, rows, options):
     want = brute(rows, options.get("length", 100))
     assert answer(suffix_report(documents, **options)) == want
     assert sum(v[1] for v in want.values()) > 5_000
 
 
+def test_a_seed_repeated_within_few_documents_is_split(workers, monkeypatch):
+    """Rows of one template inside few texts: the group is bounded in blocks."""
+    from marquee.llm import suffix_dedup as S
+
+    line = "the same wording in every row of this table 0123456789 ends here"
+    texts = [" | ".join(f"{t * 1000 + i:06d} {line} {i * 7:06d} {line[::-1]}" for i in range(400)) for t in range(3)]
+    rows = list(enumerate(texts))
+    frame = workers.createDataFrame(rows, "doc_id long, text string")
+    want, groups, real = brute(rows), [], S._factors
+    assert answer(suffix_report(frame)) == want
+
+    def watched(blocks, length):
+        groups.append(blocks.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return real(blocks, length)
+
+    monkeypatch.setattr(S, "_factors", watched)
+    assert answer(suffix_report(frame, hot_blocks=100)) == want
+    cold, hot = groups
+    assert cold <= 100 and hot > 0
+    assert workers.createDataFrame([(0, texts[0])], "doc_id long, text string").transform(S.suffix_report).count() == 1
+
+
 def test_long_text_in_pieces(workers):
     rng = np.random.default_rng(3)
     body = "".join(chr(97 + x) for x in rng.integers(0, 26, 1_200_000))
