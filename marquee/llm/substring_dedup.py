@@ -10,9 +10,13 @@ covers it whose words also start in a document of a smaller id.
   document, found with map-side combining.
 - *Extension.* Around its shared seeds a document's windows are followed both
   ways, and each is matched with the first document that holds the same window
-  (same seed and window hash, more than 64 bits together). This is the
+  (two independent 64-bit hashes of its words, 128 bits together; words are
+  known by one of 64 bits). This is the
   extension against all partners at once: one row per window, keyed by its
-  hash, whether two or a million documents share it.
+  hashes, whether two or a million documents share it.
+- *Hot windows.* At most ``HOT_WINDOWS`` windows can each hold more than a
+  ``HOT_WINDOWS``-th of all rows; their first documents are broadcast (so many
+  rows at most), all other windows are joined by shuffle.
 - *Maximal repeats.* Runs of matched windows become the maximal word ranges;
   a run is never shorter than ``window`` words.
 
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from marquee.llm._frames import staged
 from marquee.llm.textbytes import (
     gram_hashes,
+    mix64,
     range_hashes,
     row_slices,
     runs_covered,
@@ -49,6 +54,11 @@ from marquee.llm.textbytes import (
 
 WINDOW = 50
 GRAM = 16
+HOT_WINDOWS = 1_024     # rows of the broadcast, at most
+HOT_ROWS = 4_096        # no window of fewer rows is hot
+
+
+_SECOND = np.uint64(0xD6E8FEB86659FD93)  # words are mixed anew for the second hash
 
 
 def _row_words(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -108,28 +118,42 @@ def _extend_batches(window: int, gram: int):
             data, offsets = text_buffers(batch["text"])
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
             shared = batch["seeds"]
-            windows, owners, at, held = [], [], [], 0
+            windows, checks, owners, at, held = [], [], [], [], 0
             for row, words in _row_words(data, offsets):
                 seeds = window_seeds(words, window, gram)
                 known = shared[row].values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 hit = np.flatnonzero(np.isin(seeds, known))
                 if not len(hit):
                     continue
-                # seed and window together: two windows match only if both do
-                value = gram_hashes(words, window)[hit] ^ (seeds[hit] * np.uint64(0xD6E8FEB86659FD93))
-                windows.append(value)
+                windows.append(gram_hashes(words, window)[hit])
+                checks.append(gram_hashes(mix64(words + _SECOND), window)[hit])
                 owners.append(np.full(len(hit), ids[row], dtype=np.int64))
                 at.append(hit.astype(np.int32))
                 held += len(hit)
                 if held >= 1 << 18:
-                    yield _numbers(["window", "doc_id", "at"], windows, owners, at)
-                    windows, owners, at, held = [], [], [], 0
+                    yield _numbers(["window", "check", "doc_id", "at"], windows, checks, owners, at)
+                    windows, checks, owners, at, held = [], [], [], [], 0
             if held:
-                yield _numbers(["window", "doc_id", "at"], windows, owners, at)
+                yield _numbers(["window", "check", "doc_id", "at"], windows, checks, owners, at)
 
     return run
 
 
+def later_windows(windows: DataFrame, hot_windows: int = HOT_WINDOWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(doc_id, at) of the rows whose window a smaller doc_id holds too."""
+    key = ["window", "check"]
+    facts = windows.groupBy(*key).agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = staged(facts.where("first < last").select(*key, "first", "n"), "window-firsts")
+    bound = max(hot_rows, windows.count() // hot_windows)    # fewer than hot_windows windows have more rows
+    hot = shared.where(F.col("n") > bound).select(*key, F.col("first").alias("hot_first"))
+    told = windows.join(F.broadcast(hot), key, "left")
+    of_hot = told.where("doc_id > hot_first").select("doc_id", "at")
+    rest = told.where("hot_first is null").drop("hot_first").join(
+        shared.where(F.col("n") <= bound).select(*key, "first"), key).where("doc_id > first").select("doc_id", "at")
+    return of_hot.unionByName(rest)
+
+
 def _apply_batches(window: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,10 +194,8 @@ def dedup_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM)
     kept_text (kept words joined by one space) and its SHA-256."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = shared_seeds(rows, window, gram)
-    parts = rows.join(shared, "doc_id").mapInArrow(_extend_batches(window, gram), "window long, doc_id long, at int")
-    windows = staged(parts, "windows")
-    first = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = windows.join(first, "window").where("doc_id > first")
+    parts = rows.join(shared, "doc_id").mapInArrow(_extend_batches(window, gram), "window long, check long, doc_id long, at int")
+    later = later_windows(staged(parts, "windows"))
     hits = staged(later.groupBy("doc_id").agg(F.collect_set("at").alias("hits")), "window-hits")
     joined = rows.join(hits, "doc_id", "left").select("doc_id", "text", "hits")
     return joined.mapInArrow(_apply_batches(window), RESULT)

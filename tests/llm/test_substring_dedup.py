@@ -35,6 +35,18 @@ def test_matches_brute_force(documents, rows, window, gram):
     assert sum(n for _, n, _ in want.values()) > 500
 
 
+def test_hot_windows_are_not_joined_by_shuffle(workers):
+    """Windows above the bound go through the small side, with equal rows."""
+    from marquee.llm.substring_dedup import later_windows
+
+    rows = [(w, w * 7, d, d % 5) for w, n in ((1, 300), (2, 40), (3, 1), (4, 2)) for d in range(n)]
+    rows += [(1, 8, 900 + d, 0) for d in range(3)]                      # one hash alike, the other not
+    frame = workers.createDataFrame(rows, "window long, check long, doc_id long, at int")
+    want = sorted([(d, d % 5) for n in (300, 40, 2) for d in range(1, n)] + [(901, 0), (902, 0)])
+    for hot_windows, hot_rows in ((1_024, 4_096), (10, 20), (1 << 40, 0), (4, 0)):
+        assert sorted(map(tuple, later_windows(frame, hot_windows, hot_rows).collect())) == want
+
+
 def test_spans_and_text(documents, rows):
     text = dict(rows)
     for r in dedup_windows(documents).collect():
