@@ -3,7 +3,9 @@
 - ``write_archives`` writes one record per page. A record is a row of text;
   the blank line that ends a record is the writer's line separator, so Spark's
   own committed, retried and compressed file output writes the archives to any
-  store, and no payload passes through Python.
+  store, and no payload passes through Python. Records are written by size
+  into folders ``per_file=<n>``, whose files hold at most n of them: an archive
+  file is 64 MB of payload at most, or a single larger record.
 - ``read_archives`` reads archive files back, each by one task in bounded
   pieces, and parses the records by their Content-Length.
 - ``resolve_revisits`` shuffles record headers (no payloads) by payload
@@ -35,10 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm._frames import staged
 from marquee.session import scratch_path
 
 MIN_BYTES = 1_000
-FILE_RECORDS = 4_096          # records of an archive file at most
+# (payload bytes from, below, records of an archive file at most)
+FILES = ((0, 1 << 14, 4_096), (1 << 14, 1 << 20, 64), (1 << 20, None, 1))
 PIECE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 DATE = "1970-01-01T00:00:00Z"  # archives repeat exactly
@@ -50,10 +54,10 @@ RECORD_SCHEMA = (
 )
 
 
-def _write(records: DataFrame, path: str) -> str:
-    (records.write.option("lineSep", END).option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
-    return path
+def _write(records: DataFrame, path: str, per_file: int) -> None:
+    """Add archives of at most ``per_file`` records; none for no records."""
+    (records.withColumn("per_file", F.lit(per_file)).write.mode("append").partitionBy("per_file")
+     .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path))
 
 
 def write_archives(pages: DataFrame, path: str) -> str:
@@ -70,13 +74,17 @@ def write_archives(pages: DataFrame, path: str) -> str:
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(payload).cast("string"),
         F.lit(END), payload,
     )
-    return _write(pages.select(record.alias("value")), path)
+    size = F.octet_length(payload)
+    for low, below, per_file in FILES:
+        kept = size >= low if below is None else (size >= low) & (size < below)
+        _write(pages.where(kept).select(record.alias("value")), path, per_file)
+    return path
 
 
 class _Stream:
     """Sequential reader over a gzip file held as bytes, in bounded pieces."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes | pa.Buffer):
         self.content, self.at = memoryview(content), 0
         self.inflate = zlib.decompressobj(31)
         self.buffer, self.pos = bytearray(), 0
@@ -134,7 +142,7 @@ def _page(value: str | None) -> int | None:
     return int(found[1]) if found and found[1] != "null" else None
 
 
-def parse_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
+def parse_records(content: bytes | pa.Buffer) -> Iterator[tuple[dict, bytes]]:
     """(header fields, body) of every record of a gzip archive."""
     stream = _Stream(content)
     mark = END.encode()
@@ -153,7 +161,7 @@ def _header_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"].to_pylist(), batch["content"]):
             rows: list[tuple] = []
-            for offset, (fields, body) in enumerate(parse_records(content.as_buffer().to_pybytes())):
+            for offset, (fields, body) in enumerate(parse_records(content.as_buffer())):
                 revisit = fields["WARC-Type"] == "revisit"
                 digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 size = int(fields["X-Payload-Length"]) if revisit else len(body)
@@ -176,19 +184,20 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """The archive files as (path, content); one file is a bounded value."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    return found.drop("modificationTime", "length")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Header rows (RECORD_SCHEMA) of every record, digests verified."""
-    return _files(spark, path).mapInArrow(_header_rows, RECORD_SCHEMA)
+    return _files(spark, path).select("path", "content").mapInArrow(_header_rows, RECORD_SCHEMA)
 
 
 def resolve_revisits(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(path, offset, refers_to) of the records to rewrite as revisits."""
     big = headers.where(F.col("payload_bytes") >= min_bytes).select(
-        "path", "offset", "page_id", "payload_digest", "payload_bytes")
-    place = F.struct(F.col("page_id"), F.col("path"), F.col("offset"))
+        "path", "offset", "page_id", "url", "payload_digest", "payload_bytes")
+    place = F.struct("page_id", "url", "path", "offset")
     originals = big.groupBy("payload_digest", "payload_bytes").agg(
         F.max(place).alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1")
     joined = big.join(originals, ["payload_digest", "payload_bytes"])
@@ -202,7 +211,7 @@ def _rewritten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             refers = {d["offset"]: d["refers_to"] for d in decided or ()}
             out: list[str] = []
             held = 0
-            for offset, (fields, body) in enumerate(parse_records(content.as_buffer().to_pybytes())):
+            for offset, (fields, body) in enumerate(parse_records(content.as_buffer())):
                 if offset in refers:
                     fields |= {
                         "WARC-Type": "revisit",
@@ -225,10 +234,14 @@ def _rewritten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_archives(spark: SparkSession, source: str, target: str, min_bytes: int = MIN_BYTES) -> str:
     """Rewrite the archives under ``source`` with revisit records."""
     decisions = resolve_revisits(read_archives(spark, source), min_bytes)
-    per_file = decisions.groupBy("path").agg(
-        F.collect_list(F.struct("offset", "refers_to")).alias("decided"))  # at most FILE_RECORDS
-    files = _files(spark, source).join(per_file, "path", "left")
-    return _write(files.select("content", "decided").mapInArrow(_rewritten, "value string"), target)
+    per_archive = staged(decisions.groupBy("path").agg(
+        F.collect_list(F.struct("offset", "refers_to")).alias("decided")), "warc-decided")  # as many as a file's records
+    files = _files(spark, source).join(per_archive, "path", "left")
+    for _, _, per_file in FILES:
+        # archives from elsewhere have no such folders
+        own = F.col("per_file") == per_file if "per_file" in files.columns else F.lit(per_file == FILES[0][2])
+        _write(files.where(own).select("content", "decided").mapInArrow(_rewritten, "value string"), target, per_file)
+    return target
 
 
 def warc_report(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:

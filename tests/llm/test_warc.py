@@ -55,6 +55,25 @@ def test_archives_round_trip(workers):
     assert read_archives(workers, path).count() == len(pages())
 
 
+def test_archive_files_are_bounded_in_bytes(workers):
+    rows = [(i, "u", "x" * 20_000 + str(i)) for i in range(150)] + [(200 + i, "u", "y" * (1 << 20)) for i in range(3)]
+    path = write_archives(workers.createDataFrame(rows, PAGES).coalesce(1), scratch_path(workers, "warc-big"))
+    files = workers.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()
+    sizes = [[len(b) for _, b in parse_records(bytes(f.content))] for f in files]
+    assert sorted(n for x in sizes for n in x) == sorted(len(h) for _, _, h in rows)
+    assert all(len(x) <= 1 or sum(x) <= 64 << 20 for x in sizes)
+    assert max(len(x) for x in sizes if sum(x) >= 64 * 20_000) <= 64
+    assert all(len(x) == 1 for x in sizes if max(x, default=0) >= 1 << 20)
+
+
+def test_ties_are_settled_by_url(workers):
+    rows = [(7, u, "t" * 2_000) for u in ("http://a", "http://c", "http://b", None)] + [(3, "http://z", "t" * 2_000)]
+    for parts in (1, 4):
+        got = warc_report(workers.createDataFrame(rows, PAGES).repartition(parts)).collect()
+        assert [(r.page_id, r.url) for r in got if r.record_type == "response"] == [(7, "http://c")]
+        assert all(r.refers_to == 7 for r in got if r.record_type == "revisit") and len(got) == 5
+
+
 def test_members_and_damage():
     record = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     two = gzip.compress(record) + gzip.compress(record)
