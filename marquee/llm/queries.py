@@ -157,6 +157,47 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_ba
        array_to_string(list_sort(list_concat(base, found)), ',') AS labels,
        CAST(CASE WHEN len(found) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score
 FROM f""",
+    # crc32 a byte of every run at a time; words one edit apart meet in a spelling with a character left out
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) t(b)
+), runs AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k, any_value(run) AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), crc(k, h, pos, c) AS (
+  SELECT k, hex(encode(k)), 0, CAST(4294967295 AS BIGINT) FROM runs
+  UNION ALL
+  SELECT k, h, pos + 1, xor(c >> 8, v)
+  FROM crc JOIN crc_table ON b = xor(c & 255, CAST('0x' || substr(h, 2 * pos + 1, 2) AS BIGINT))
+  WHERE 2 * pos < length(h)
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM runs JOIN (SELECT k, xor(c, 4294967295) AS h FROM crc WHERE 2 * pos = length(crc.h)) USING (k))
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), shorter AS (
+  SELECT DISTINCT cut.word AS long, cut.n AS long_n, words.word AS short, words.n AS short_n FROM cut JOIN words ON rest = words.word
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM shorter
+  UNION ALL SELECT short, long, long_n FROM shorter
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM near GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), follow(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT follow.word, formed.word, formed.form FROM follow JOIN formed ON follow.form = formed.word
+)
+SELECT word, formed.form, root, n, n_near, form_n FROM formed JOIN follow USING (word) WHERE follow.form IS NULL""",
     "op4_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
