@@ -8,16 +8,21 @@ document, item and diagonal band; bands are 2k + 2 wide and overlap by half, so
 every such group of diagonals lies whole in one band. Regions that meet the
 bound are verified by a banded alignment whose text ends are free.
 
-The benchmark is a stated query set: its q-gram index is built in blocks of at
-most ``BLOCK_BYTES`` of item text, and every block is run over all texts in one
-narrow pass, without a shuffle. The documents' texts never leave their task.
+The benchmark is a stated query set, read by the driver in blocks of
+``BLOCK_BYTES`` of item text. Every block is run over all texts in one narrow
+pass, without a shuffle; its hits are written before the next block is read, so
+that the driver and the tasks hold one block at a time. Inside a block, indexes
+of ``INDEX_BYTES`` of item text are searched one after the other, so that a gram
+which most items share meets few of them at once. The documents' texts never
+leave their task.
 
 Parameters: q-grams of ``Q`` bytes; edit budget ``EDIT_SHARE`` of the item's
 bytes, lowered where the bound would not stay positive.
 
 Shapes of input: null, empty and short texts and items below ``Q`` bytes match
 nothing; items may repeat (each is reported); a null doc_id or item_id is
-reported as null; long texts are worked on in overlapping pieces; empty tables
+reported as null; texts of more than ``PIECE_BYTES`` are worked on in pieces that
+overlap by the longest item and its budget; empty tables
 give an empty result; other columns are ignored.
 """
 
@@ -31,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm._frames import ROW_KEY
-from marquee.llm.textbytes import LOWER, _SEPARATOR, mix64, row_slices, text_buffers
+from marquee.llm._frames import ROW_KEY, staged
+from marquee.llm.textbytes import LOWER, SLICE_BYTES, _SEPARATOR, row_slices, text_buffers
 
 Q = 8
 EDIT_SHARE = 0.1
 BLOCK_BYTES = 8 << 20
+INDEX_BYTES = 1 << 19
+PIECE_BYTES = SLICE_BYTES
 VERIFY_BATCH = 256
 _FILTER_BITS = 22
 HIT_SCHEMA = "doc_id long, item_id long, distance int, start_byte long, end_byte long"
@@ -245,6 +252,35 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
         yield r, i, distance, start, end
 
 
+def text_windows(text: np.ndarray, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(normalised bytes, original place of each) of one long text, in pieces
+    that begin with the last ``overlap`` normalised bytes before them."""
+    low, original, at = np.zeros(0, np.uint8), np.zeros(0, np.int64), 0
+    while at < len(text):
+        end = min(at + max(PIECE_BYTES, overlap), len(text))
+        while end < len(text) and end > at + 1 and (text[end] & 0xC0) == 0x80:
+            end -= 1                                     # not inside a character
+        fresh, _, place = normalise(text[at:end], np.array([0, end - at]))
+        again = int(len(low) > 0 and len(fresh) > 0 and low[-1] == 32 and fresh[0] == 32)
+        kept = max(len(low) - overlap, 0)
+        low, original = np.concatenate((low[kept:], fresh[again:])), np.concatenate((original[kept:], place[again:] + at))
+        yield low, original
+        at = end
+
+
+def _search_long(blocks: list[Index], text: np.ndarray) -> Iterator[tuple]:
+    """(item_id, distance, start, end) of one long text, places in its bytes."""
+    overlap = max((int((x.length + x.budget).max()) for x in blocks if len(x.length)), default=0) + Q
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for low, original in text_windows(text, overlap):
+        for b, index in enumerate(blocks):
+            for _, k, distance, start, end in search(index, low, np.array([0, len(low)])):
+                found = (distance, int(original[start]), int(original[max(end - 1, start)]) + 1)
+                best[b, k] = min(found, best.get((b, k), found))
+    for (b, k), found in sorted(best.items()):
+        yield blocks[b].ids[k], *found
+
+
 def _search_batches(blocks: list[Index]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +288,11 @@ def _search_batches(blocks: list[Index]):
             ids = batch["doc_id"].to_pylist()
             hits = []
             for i, j in row_slices(offsets):
-                low, places, original = normalise(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                piece = data[offsets[i] : offsets[j]]
+                if j - i == 1 and len(piece) > PIECE_BYTES:
+                    hits += [(ids[i], *found) for found in _search_long(blocks, piece)]
+                    continue
+                low, places, original = normalise(piece, offsets[i : j + 1] - offsets[i])
                 for index in blocks:
                     for r, k, distance, start, end in search(index, low, places):
                         base = places[r]
@@ -269,15 +309,20 @@ def _search_batches(blocks: list[Index]):
 def _blocks(benchmark: DataFrame, share: float, block_bytes: int) -> Iterator[list[Index]]:
     """Indexes of the benchmark, one block at a time (rows are streamed)."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    held, size = [], 0
+    block, size, held, small = [], 0, [], 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
         held.append((r["item_id"], r["text"]))
-        size += len(r["text"] or "")
-        if size >= block_bytes:
-            yield [build_index(held, share)]
-            held, size = [], 0
+        small += len(r["text"] or "")
+        if small >= min(INDEX_BYTES, block_bytes):
+            block.append(build_index(held, share))
+            size, held, small = size + small, [], 0
+            if size >= block_bytes:
+                yield block
+                block, size = [], 0
     if held:
-        yield [build_index(held, share)]
+        block.append(build_index(held, share))
+    if block:
+        yield block
 
 
 def find_passages(documents: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
@@ -295,11 +340,18 @@ def _passages(documents: DataFrame, key: Column, kind: str, benchmark: DataFrame
     """``find_passages`` with ``key``, of type ``kind``, as the doc_id."""
     schema = HIT_SCHEMA.replace("doc_id long", f"doc_id {kind}")
     rows = documents.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = None
-    for blocks in _blocks(benchmark, share, block_bytes):
-        part = rows.mapInArrow(_search_batches(blocks), schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else documents.sparkSession.createDataFrame([], schema)
+    search_all = lambda block: rows.mapInArrow(_search_batches(block), schema)
+    found, block = [], None
+    for following in _blocks(benchmark, share, block_bytes):
+        if block is not None:
+            found.append(staged(search_all(block), "leak-hits"))
+        block = following
+    if block is None:
+        return documents.sparkSession.createDataFrame([], schema)
+    out = search_all(block)
+    for part in found:
+        out = out.unionByName(part)
+    return out
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

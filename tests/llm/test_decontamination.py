@@ -93,3 +93,58 @@ def test_shapes(workers, empty, clashing, with_nulls, rows):
     got = find_passages(with_nulls, bench).collect()
     assert {r.item_id for r in got} == {1, None}
     assert find_passages(clashing, bench).count() >= 3
+
+
+def test_long_texts_in_overlapping_pieces(monkeypatch):
+    """Pieces find what the whole text gives, wherever a piece ends."""
+    import pyarrow as pa
+
+    from marquee.llm import decontamination as D
+
+    docs, items = planted(5)
+    goals = [(i, t) for i, t in items if t and len(t) > 8]
+    blocks = [D.build_index(goals[:3]), D.build_index(goals[3:])]
+    rng = random.Random(1)
+    texts = ["  É é \n".join(t or "" for _, t in rng.sample(docs, 30)) + " " * k for k in range(3)]
+    texts += [" " * 5_000 + docs[10][1].replace(" ", " " * 90), "É" * 3_000]
+    hits = lambda t: [r for b in D._search_batches(blocks)(
+        [pa.RecordBatch.from_arrays([pa.array([5]), pa.array([t])], ["doc_id", "text"])]) for r in b.to_pylist()]
+    for text in texts:
+        monkeypatch.setattr(D, "PIECE_BYTES", 1 << 20)
+        want = hits(text)
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        whole = normal_bytes(data)
+        for piece in (300, 701, 4_000):
+            monkeypatch.setattr(D, "PIECE_BYTES", piece)
+            got = hits(text)
+            assert [(r["item_id"], r["distance"]) for r in got] == [(r["item_id"], r["distance"]) for r in want]
+            goal = {i: t for i, t in goals}
+            for r in got:  # the place named holds the item
+                there = " ".join(text.encode()[r["start_byte"] : r["end_byte"]].decode().lower().split()).encode()
+                assert edits(there, goal[r["item_id"]].lower().encode()) <= edit_budget(len(goal[r["item_id"]]))
+            # pieces overlap by what is asked and add up to the whole
+            parts = list(D.text_windows(data, 50))
+            joined = parts[0][0].tobytes() + b"".join(p.tobytes()[min(50, len(q)):] for (q, _), (p, _) in zip(parts, parts[1:]))
+            assert joined == whole
+    assert len(want) == 0 and len(hits(texts[0])) > 3
+
+
+def normal_bytes(data):
+    from marquee.llm.decontamination import normalise
+
+    return normalise(data, np.array([0, len(data)]))[0].tobytes()
+
+
+def test_one_block_at_a_time(workers, monkeypatch):
+    """A larger benchmark is read in blocks, of several small indexes each."""
+    from marquee.llm import decontamination as D
+
+    docs, items = planted(3)
+    frame = workers.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    bench = workers.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, find_passages(frame, bench).collect()), key=str)
+    monkeypatch.setattr(D, "INDEX_BYTES", 150)
+    blocks = list(D._blocks(bench, 0.1, 400))
+    assert len(blocks) > 1 and max(len(b) for b in blocks) > 1
+    assert sorted(i for b in blocks for x in b for i in x.ids) == sorted(i for i, t in items if t and len(t) >= 8)
+    assert sorted(map(tuple, find_passages(frame, bench, block_bytes=400).collect()), key=str) == want
