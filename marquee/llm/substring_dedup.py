@@ -148,10 +148,14 @@ def later_windows(windows: DataFrame, hot_windows: int = HOT_WINDOWS, hot_rows:
     bound = max(hot_rows, windows.count() // hot_windows)    # fewer than hot_windows windows have more rows
     hot = shared.where(F.col("n") > bound).select(*key, F.col("first").alias("hot_first"))
     told = windows.join(F.broadcast(hot), key, "left")
-    of_hot = told.where("doc_id > hot_first").select("doc_id", "at")
-    rest = told.where("hot_first is null").drop("hot_first").join(
-        shared.where(F.col("n") <= bound).select(*key, "first"), key).where("doc_id > first").select("doc_id", "at")
-    return of_hot.unionByName(rest)
+    # Every row meets one first document at most. Rows of hot windows have met
+    # theirs: they pass the second join spread by their own place, without a match.
+    cold = F.col("hot_first").isNull()
+    spread = told.select(
+        F.when(cold, F.col("window")).otherwise(F.xxhash64("doc_id", "at")).alias("window"),
+        F.when(cold, F.col("check")).alias("check"), "doc_id", "at", "hot_first")
+    met = spread.join(shared.where(F.col("n") <= bound).select(*key, "first"), key, "left")
+    return met.where(F.col("doc_id") > F.coalesce("hot_first", "first")).select("doc_id", "at")
 
 
 def _apply_batches(window: int):
