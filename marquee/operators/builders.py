@@ -83,8 +83,20 @@ def build_titles(basics: DataFrame, ratings_raw: DataFrame | None = None) -> Dat
     )
 
 
+def series_of(titles: DataFrame, series_type: str = S.SERIES_TYPE) -> DataFrame:
+    """The lookup of a series' title and genre by its key."""
+    return titles.filter(F.col("title_type") == F.lit(series_type)).select(
+        F.col("tconst").alias("parent_tconst"),
+        F.col("primary_title").alias("series_title"),
+        "primary_genre",
+    )
+
+
 def build_episodes(
-    episode_raw: DataFrame, titles: DataFrame, series_type: str = S.SERIES_TYPE
+    episode_raw: DataFrame,
+    titles: DataFrame,
+    series_type: str = S.SERIES_TYPE,
+    small_series: bool = False,
 ) -> DataFrame:
     """Episode hierarchy with the episode's own and its series' attributes.
 
@@ -92,7 +104,8 @@ def build_episodes(
     runtime and rating of the episode; ``LEFT JOIN (titles of type
     series_type) ON parent = tconst`` gives the series title and genre.
     Parents of any other type (a mini series) do not match. A missing year
-    becomes 0 and a missing genre ``Unknown``.
+    becomes 0 and a missing genre ``Unknown``. ``small_series``: the caller
+    found that the series may be broadcast.
     """
     episodes = episode_raw.select(
         F.col("tconst").alias("episode_tconst"),
@@ -110,11 +123,9 @@ def build_episodes(
     )
     # Filter before the join: on the right side of a left join it must stay
     # below the join to keep unmatched parents (it is also pushed to the scan).
-    series = titles.filter(F.col("title_type") == F.lit(series_type)).select(
-        F.col("tconst").alias("parent_tconst"),
-        F.col("primary_title").alias("series_title"),
-        "primary_genre",
-    )
+    series = series_of(titles, series_type)
+    if small_series:
+        series = F.broadcast(series)
     joined = left_lookup(left_lookup(episodes, episode_attrs, "episode_tconst"), series, "parent_tconst")
     return joined.select(
         "episode_tconst",
@@ -190,6 +201,17 @@ def read_credits(principals_raw: DataFrame) -> DataFrame:
     )
 
 
+def people_of(names: DataFrame) -> DataFrame:
+    """The person attributes that the bridge carries, by key."""
+    return names.select("nconst", "primary_name", "birth_year", "primary_role")
+
+
+def credit_titles(credits: DataFrame, titles: DataFrame) -> DataFrame:
+    """Credits with the title attributes that the bridge carries."""
+    title_attrs = titles.select("tconst", "title_type", "primary_title", "primary_genre")
+    return left_lookup(credits, title_attrs, "tconst")
+
+
 def build_principals(
     principals_raw: DataFrame, names: DataFrame, titles: DataFrame
 ) -> DataFrame:
@@ -199,8 +221,5 @@ def build_principals(
     (tconst)``; only the attributes the bridge carries are projected from
     each dimension before its join. A missing category becomes ``Unknown``.
     """
-    credits = read_credits(principals_raw)
-    people = names.select("nconst", "primary_name", "birth_year", "primary_role")
-    title_attrs = titles.select("tconst", "title_type", "primary_title", "primary_genre")
-    joined = left_lookup(left_lookup(credits, people, "nconst"), title_attrs, "tconst")
-    return joined.select(*S.PRINCIPALS.columns)
+    named = left_lookup(read_credits(principals_raw), people_of(names), "nconst")
+    return credit_titles(named, titles).select(*S.PRINCIPALS.columns)

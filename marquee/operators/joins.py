@@ -10,6 +10,9 @@ row. The physical strategy is left to Spark on purpose:
   (``spark.sql.adaptive.autoBroadcastJoinThreshold``). Beyond that size the
   join stays a shuffled sort-merge join; nothing here forces a broadcast of
   a side that grows with the data.
+* Where the caller measured a dimension (``fits_broadcast``) it may be hinted:
+  up to ``LOOKUP_BYTES``, a fixed bound at any size of input, the left side is
+  not shuffled for it.
 * A hot key on the left side (a series with a huge number of episodes, a
   prolific person, or rows with a null key) lands in one shuffle partition.
   With ``spark.sql.adaptive.skewJoin.enabled`` AQE splits such a partition
@@ -25,9 +28,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+LOOKUP_BYTES = 64 << 20
 
 
 def left_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; unmatched right columns are null."""
     keys = [key] if isinstance(key, str) else list(key)
     return left.join(right, on=keys, how="left")
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether all rows of ``df`` take at most ``limit`` bytes (LOOKUP_BYTES) in a hash table."""
+    row = F.lit(32 + 16 * len(df.columns))
+    for c in df.columns:
+        row = row + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    size = df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return size <= (LOOKUP_BYTES if limit is None else limit)

@@ -11,7 +11,7 @@ task writing it alone.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -126,6 +126,7 @@ def write_routed(
     spec: LakeSpec,
     large: Collection[str] | None = None,
     observation: Observation | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write a new lake segment, in one job.
 
@@ -135,6 +136,9 @@ def write_routed(
     columns, so that row-group statistics take the place of directories. Files
     of small values are thereby as large as the tasks that write them, and
     their number follows the bytes written instead of the number of values.
+
+    ``finish`` adds the columns that ``df`` still lacks by a broadcast lookup,
+    in the tasks that write: they are neither shuffled nor sorted.
     """
     pooled = F.lit(False) if large is None else ~partition_key(spec).isin(list(large))
     keys = [POOL_PREFIX + c for c in spec.partition_by]
@@ -147,9 +151,9 @@ def write_routed(
         routed = routed.withColumn(c, F.when(~F.col(POOLED), F.col(c)))
     # values of both kinds are dealt by value; a hot one is split (see layout_for_write)
     dealt = routed.hint("rebalance", POOLED, *spec.partition_by, *keys)
+    ordered = dealt.sortWithinPartitions(POOLED, *spec.partition_by, *keys)
+    if finish is not None:
+        ordered = finish(ordered).select(*spec.columns, POOLED, *keys)
     if observation is not None:
-        dealt = dealt.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (
-        dealt.sortWithinPartitions(POOLED, *spec.partition_by, *keys)
-        .write.option("compression", "snappy").partitionBy(POOLED, *spec.partition_by).parquet(path)
-    )
+        ordered = ordered.observe(observation, F.count(F.lit(1)).alias("rows"))
+    ordered.write.option("compression", "snappy").partitionBy(POOLED, *spec.partition_by).parquet(path)

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schemas as S
@@ -31,8 +32,12 @@ from marquee.operators.builders import (
     build_principals,
     build_titles,
     clean_basics,
+    credit_titles,
+    people_of,
     read_credits,
+    series_of,
 )
+from marquee.operators.joins import fits_broadcast, left_lookup
 from marquee.operators.sinks import OVERWRITE_MODES
 from marquee.plans.versions import (
     KEEP_VERSIONS,
@@ -52,6 +57,16 @@ log = logging.getLogger(__name__)
 OPTIONAL_RAW = (S.RAW_RATINGS, S.RAW_EPISODE, S.RAW_PRINCIPALS, S.RAW_AKAS, S.RAW_NAMES)
 
 
+@dataclass
+class Near:
+    """The same dataset where ``lookup`` is small enough to be broadcast: the
+    rows to deal out, and what adds the remaining columns in the write stage."""
+
+    lookup: DataFrame
+    frame: DataFrame
+    finish: Callable[[DataFrame], DataFrame] | None = None
+
+
 @dataclass
 class Dataset:
     """A built dataset and a narrow frame that is empty exactly when it is.
@@ -63,6 +78,7 @@ class Dataset:
     frame: DataFrame
     probe: DataFrame
     layout: DataFrame | None = None
+    near: Near | None = None
 
 
 def lake_path(lake_dir: str, name: str) -> str:
@@ -82,7 +98,8 @@ def build_episodes_dataset(
 ) -> Dataset:
     episode_raw = inputs.get(S.RAW_EPISODE)
     if episode_raw is not None:
-        return Dataset(build_episodes(episode_raw, titles, series_type=series_type), episode_raw)
+        near = Near(series_of(titles, series_type), build_episodes(episode_raw, titles, series_type, small_series=True))
+        return Dataset(build_episodes(episode_raw, titles, series_type=series_type), episode_raw, near=near)
     fallback = build_episodes_from_basics(titles, episode_type=episode_type)
     return Dataset(fallback, fallback)
 
@@ -106,7 +123,9 @@ def build_principals_dataset(
     if names is None:
         log.warning("principals not built: it needs %s, which is absent", S.RAW_NAMES)
         return None
-    return Dataset(build_principals(principals_raw, names, titles), principals_raw, read_credits(principals_raw))
+    people, credits = people_of(names), read_credits(principals_raw)
+    near = Near(people, credit_titles(credits, titles), lambda df: left_lookup(df, F.broadcast(people), "nconst"))
+    return Dataset(build_principals(principals_raw, names, titles), principals_raw, credits, near)
 
 
 def build_datasets(
@@ -176,6 +195,10 @@ def run_etl(
     Partition values with fewer than ``pool_rows`` rows share files (0: each
     has a directory). The datasets are independent and run as concurrent Spark
     jobs, so the tail of one overlaps the others.
+
+    Names and series of at most ``LOOKUP_BYTES`` are broadcast, so the credits
+    and episodes, the largest datasets, are shuffled for their titles and for
+    their layout only, the credits without the persons' columns.
     """
     if mode not in OVERWRITE_MODES:
         raise ValueError(f"mode must be one of {OVERWRITE_MODES}, got {mode!r}")
@@ -199,8 +222,12 @@ def run_etl(
             counts[name] = 0
             return
         old = state.get(name, ()) if mode == "dynamic" else ()
-        large = large_values(ds.frame if ds.layout is None else ds.layout, spec, pool_rows)
-        state[name], counts[name] = update_dataset(spark, lake_dir, version, ds.frame, spec, old, large, pool_rows)
+        frame, finish = ds.frame, None
+        if ds.near is not None and fits_broadcast(ds.near.lookup):
+            frame, finish = ds.near.frame, ds.near.finish
+        large = large_values(frame if ds.layout is None else ds.layout, spec, pool_rows)
+        state[name], counts[name] = update_dataset(
+            spark, lake_dir, version, frame, spec, old, large, pool_rows, finish)
 
     try:
         write("titles")

@@ -9,7 +9,7 @@ was.
 from __future__ import annotations
 
 import logging
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,11 +57,12 @@ def large_values(df: DataFrame, spec: S.LakeSpec, pool_rows: int) -> set[str] |
 
 
 def write_segment(
-    spark: SparkSession, lake_dir: str, path: str, df: DataFrame, spec: S.LakeSpec, large: Collection[str] | None
+    spark: SparkSession, lake_dir: str, path: str, df: DataFrame, spec: S.LakeSpec, large: Collection[str] | None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[Segment, int]:
     """Write ``df`` as a segment; return it with the rows observed in the write."""
     observation = Observation(f"segment_{spec.name}")
-    write_routed(df, f"{lake_dir.rstrip('/')}/{path}", spec, large, observation)
+    write_routed(df, f"{lake_dir.rstrip('/')}/{path}", spec, large, observation, finish)
     rows = int(observation.get["rows"])
     segment = measure(spark, lake_dir, path, spec)
     if sum(segment.rows.values()) != rows:
@@ -72,6 +73,7 @@ def write_segment(
 def update_dataset(
     spark: SparkSession, lake_dir: str, version: str, df: DataFrame, spec: S.LakeSpec,
     old: tuple[Segment, ...] = (), large: Collection[str] | None = None, pool_rows: int = POOL_ROWS,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[tuple[Segment, ...], int]:
     """The dataset ``old`` with the partitions present in ``df`` replaced by it
     (a rebuild where there is no ``old``); its segments and the rows written.
@@ -79,10 +81,11 @@ def update_dataset(
     Rows that moved are found by key: an old row of another partition whose key
     comes again in ``df`` is stale. The partitions that hold such rows are
     written anew without them, all others stay where they are. One join of keys
-    with the old rows (key and partition columns only) finds them.
+    with the old rows (key and partition columns only) finds them. ``finish``:
+    see ``write_routed``.
     """
     root = lake_dir.rstrip("/")
-    new, rows = write_segment(spark, root, version_path(version, spec.name), df, spec, large)
+    new, rows = write_segment(spark, root, version_path(version, spec.name), df, spec, large, finish)
     if not new.rows:
         return old, 0
     replaced = set(new.rows)

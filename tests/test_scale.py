@@ -168,3 +168,33 @@ def test_serving_load_splits_hot_partition_value(spark, skew_conf):
         keys = [(r["tconst"], r["ordering"], r["nconst"])
                 for r in pq.read_table(f, columns=["tconst", "ordering", "nconst"]).to_pylist()]
         assert keys == sorted(keys)
+
+
+def test_small_lookups_shuffle_no_facts(spark, raw, monkeypatch):
+    # names and series are measured and broadcast: credits and episodes meet
+    # them where they are, and beyond the bound by shuffled joins, alike.
+    from marquee.operators import joins
+    from marquee.plans import etl, run_etl
+    from marquee.sources import read_lake
+
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    old, real, lakes = spark.conf.get(threshold), etl.update_dataset, []
+    spark.conf.set(threshold, "-1")
+    try:
+        for limit in (joins.LOOKUP_BYTES, 0):
+            plans = {}
+
+            def seen(spark, lake, version, df, spec, *args):
+                plans[spec.name] = df._jdf.queryExecution().executedPlan().toString()
+                return real(spark, lake, version, df, spec, *args)
+
+            monkeypatch.setattr(joins, "LOOKUP_BYTES", limit)
+            monkeypatch.setattr(etl, "update_dataset", seen)
+            lake = scratch_path(spark, "lookups")
+            run_etl(spark, raw, lake, concurrent=False)
+            assert ("hashpartitioning(nconst" in plans["principals"]) == (limit == 0)
+            assert ("hashpartitioning(parent_tconst" in plans["episodes"]) == (limit == 0)
+            lakes.append({n: sorted(read_lake(spark, f"{lake}/{n}", n).collect(), key=str) for n in plans})
+    finally:
+        spark.conf.set(threshold, old)
+    assert lakes[0] == lakes[1] and len(lakes[0]["principals"]) == 4
