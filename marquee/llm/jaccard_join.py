@@ -329,7 +329,7 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     tokens = staged(texts.mapInArrow(_token_batches(words), "set_id long, tokens array<long>"), "jaccard-tokens")
     with_a = pairs.select("a", "b").join(tokens.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta")), "a")
     both = with_a.join(tokens.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb")), "b")
-    return staged(both.mapInArrow(_verify_batches(percent), "a long, b long"), "jaccard-links")
+    return staged(both.mapInArrow(_verify_batches(percent), "a long, b long"), "jaccard-links", wide=True)
 
 
 def placed_rows(keyed: DataFrame, key: str, words: int = WORDS, percent: int = PERCENT, nameless: bool = True) -> DataFrame:

@@ -105,3 +105,30 @@ def test_texts_that_share_an_id_are_verified_with_their_own(workers):
     frame = workers.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {(r.doc_id, r.component_id) for r in near_duplicates(frame).collect()}
     assert got == {(k + i, i) for i in range(20) for k in (0, 100, 200)}
+
+
+def test_verification_takes_token_lists_in_small_batches(spark, workers, monkeypatch):
+    # 700 near copies of one text meet it: their sets come a few hundred at a time
+    from marquee.llm import jaccard_join as J
+
+    real, rng = J._verify_batches, random.Random(5)
+
+    def strict(percent):
+        inner = real(percent)
+
+        def run(batches):
+            def bounded():
+                for batch in batches:
+                    assert batch.num_rows <= 256, batch.num_rows
+                    yield batch
+
+            yield from inner(bounded())
+
+        return run
+
+    monkeypatch.setattr(J, "_verify_batches", strict)
+    first = sentence(rng, 120).split()
+    rows = [(0, " ".join(first))] + [(i, " ".join([*first, f"own{i}"])) for i in range(1, 701)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs.repartition(2)).collect()
+    assert len(got) == 701 and {r["component_id"] for r in got} == {0}
