@@ -499,7 +499,8 @@ def score_documents(documents: DataFrame, model: Model, vocab: Vocabulary, count
         F.greatest(F.lit(1), F.floor(block_bytes / F.pow(F.lit(2.0), doubling)))).cast("long")
     dealt = rows.select("doc_id", "text", F.xxhash64("file", doubling, F.floor(F.col("row") / run)).alias("block"))
     words = dealt.mapInArrow(_block_words, "block long, word long")
-    found = words.distinct().join(counts.select("word", "count"), "word").select("block", "word", "count")
+    # dealt by word once, for the distinct pairs and for the join alike
+    found = words.repartition("word").distinct().join(counts.select("word", "count"), "word").select("block", "word", "count")
     shared = spark.sparkContext.broadcast((model.flat(), vocab))
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_group(shared), schema)

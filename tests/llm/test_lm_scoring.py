@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -166,3 +167,20 @@ def test_long_texts_do_not_gather_in_a_block(workers, monkeypatch):
     dealt = seen[0][0]._df
     sizes = [r["b"] for r in dealt.selectExpr("block", "length(text) as b").groupBy("block").sum("b").withColumnRenamed("sum(b)", "b").collect()]
     assert max(sizes) <= L.LONG * 100_000 and sum(sizes) == sum(len(t) for _, t in rows)
+
+
+def test_words_of_blocks_are_dealt_once_for_distinct_and_join(spark, workers):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(3)
+        docs = spark.createDataFrame([(i, sentence(rng, 20)) for i in range(50)], "doc_id long, text string")
+        counts = L.count_words(docs)
+        vocab = L.vocabulary(counts)
+        scored = L.score_documents(docs, L.initial_model(vocab), vocab, counts)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(word#\d+L", plan)
+        assert not re.search(r"hashpartitioning\(block#\d+L, word#\d+L", plan)
+        assert scored.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
