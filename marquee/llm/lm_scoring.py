@@ -26,6 +26,10 @@ size, and shorter runs, by size, for longer ones, so that no run of long texts
 makes a block of more than ``LONG`` times that (but for one text alone); a block's distinct words are joined with the counts and
 meet the block's texts again, so no task and no broadcast holds the vocabulary.
 
+*Scoring.* What a class at each place adds to every logit, and the normaliser of
+every context, are tables of the model, of fixed size: they are computed once
+and looked up by every token.
+
 Words are identified by a 64-bit hash of their lower-cased bytes.
 
 Shapes of input: null, empty and blank texts are one end token; texts of any
@@ -41,6 +45,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +69,8 @@ BLOCK_BYTES = 12 << 20
 LONG = 4
 HELD_OUT_OF = 10
 END_WORD = np.uint64(0x9D8F3A6B1C2E4F57)  # the end token among the word hashes
+# the tail class by a word's last two bytes
+TAIL_CLASS = (mix64(np.arange(1 << 16, dtype=np.uint64)) >> np.uint64(58)).astype(np.int64) % TAIL_CLASSES
 
 
 def held_out(doc_id: Column) -> Column:
@@ -86,8 +93,8 @@ class Vocabulary:
     def classify(self, words: np.ndarray, tails: np.ndarray) -> np.ndarray:
         out = TOP_WORDS + 1 + tails
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-            top = self.hashes[at] == words
+            at = pc.fill_null(pc.index_in(pa.array(words.view(np.int64)), value_set=pa.array(self.hashes.view(np.int64))), -1).to_numpy()
+            top = at >= 0
             out[top] = self.classes[at[top]]
         out[words == END_WORD] = END
         return out
@@ -95,7 +102,7 @@ class Vocabulary:
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word hash, tail class, first token of each row) with one end per row."""
-    low = LOWER[data]
+    low = LOWER.take(data)
     starts, ends, first = word_bounds(low, offsets)
     rows = len(offsets) - 1
     hashes = np.empty(len(starts) + rows, dtype=np.uint64)
@@ -106,9 +113,9 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     inner[stop] = False
     hashes[inner] = range_hashes(low, starts, ends)
     if len(starts):
-        last = low[ends - 1].astype(np.uint64)
-        before = np.where(ends - starts > 1, low[np.maximum(ends - 2, 0)], 0).astype(np.uint64)
-        tails[inner] = (mix64(last * np.uint64(256) + before) >> np.uint64(58)).astype(np.int64) % TAIL_CLASSES
+        last = low.take(ends - 1).astype(np.int64)
+        before = np.where(ends - starts > 1, low.take(np.maximum(ends - 2, 0)), 0)
+        tails[inner] = TAIL_CLASS.take(last * 256 + before)
     hashes[stop] = END_WORD
     return hashes, tails, head
 
@@ -122,10 +129,22 @@ def _slices(column: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int,
 # ------------------------------------------------------------------- counting
 
 
+def _numbered(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words, the number among them of every word), by hashing."""
+    coded = pa.array(words.view(np.int64)).dictionary_encode()
+    return coded.dictionary.to_numpy().view(np.uint64), coded.indices.to_numpy()
+
+
+def _distinct(words: np.ndarray, tails: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, tail, count) of the distinct words; a word has one tail."""
+    value, at = _numbered(words)
+    tail = np.empty(len(value), dtype=np.int64)
+    tail[at] = tails
+    return value, tail, np.bincount(at, counts, len(value)).astype(np.int64)
+
+
 def _merge(words: list, tails: list, counts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    word, tail, count = np.concatenate(words), np.concatenate(tails), np.concatenate(counts)
-    value, first, inverse = np.unique(word, return_index=True, return_inverse=True)
-    return value, tail[first], np.bincount(inverse, count, len(value)).astype(np.int64)
+    return _distinct(np.concatenate(words), np.concatenate(tails), np.concatenate(counts))
 
 
 def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +159,9 @@ def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for _, _, piece, places in _slices(batch["text"]):
             word, tail, _ = tokens(piece, places)
-            value, first, count = np.unique(word, return_index=True, return_counts=True)
+            value, tail, count = _distinct(word, tail)
             words.append(value)
-            tails.append(tail[first])
+            tails.append(tail)
             counts.append(count)
             held += len(value)
             if held >= 1 << 20:
@@ -242,47 +261,111 @@ def contexts(classes: np.ndarray, head: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scatter(target: np.ndarray, square: np.ndarray, index: np.ndarray, grad: np.ndarray, pace: float) -> None:
-    """AdaGrad step on rows of ``target``; gradients of a row add up."""
-    rows = len(target)
-    width = grad.shape[1]
-    flat = (index[:, None] * width + np.arange(width)).ravel()
-    g = np.bincount(flat, grad.ravel(), rows * width).reshape(rows, width).astype(np.float32)
-    square += g * g
-    target -= pace * g / np.sqrt(square)
+# Rows of the flat tables of a step: the output vectors carry their bias, less
+# the log of the noise, and fill up to an even width.
+OUT_WIDTH = (DIMENSIONS + 2) // 2 * 2
+FIRST_OUT = (CLASSES + 1) * DIMENSIONS
+FIRST_PLACE = FIRST_OUT + CLASSES * OUT_WIDTH
+
+
+def _packed(context: np.ndarray, place: np.ndarray, output: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    out = np.ones((CLASSES, OUT_WIDTH), dtype=np.float32)
+    out[:, :DIMENSIONS], out[:, DIMENSIONS] = output, bias.ravel()
+    return np.concatenate((context.ravel(), out.ravel(), place.ravel()))
+
+
+def _unpacked(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Views: context vectors, output vectors with bias, place weights."""
+    return (flat[:FIRST_OUT].reshape(-1, DIMENSIONS), flat[FIRST_OUT:FIRST_PLACE].reshape(-1, OUT_WIDTH),
+            flat[FIRST_PLACE:].reshape(CONTEXT, DIMENSIONS, 1))
+
+
+class _Step:
+    """Arrays of a step over ``m`` tokens, used again by the next. Columns are
+    tokens, so that every product by token or place runs along memory."""
+
+    def __init__(self, m: int):
+        self.vectors = np.empty((CONTEXT, DIMENSIONS, m), dtype=np.float32)
+        self.product = np.empty_like(self.vectors)
+        self.predicted = np.zeros((OUT_WIDTH, m), dtype=np.float32)
+        self.predicted[DIMENSIONS] = 1  # meets the bias
+        self.own, self.both = np.empty_like(self.predicted), np.empty_like(self.predicted)
+        self.fake = np.empty((NOISE, m), dtype=np.float32)
+        self.back = np.empty((DIMENSIONS, m), dtype=np.float32)
+        # gradients by row, and the places of their pairs in the flat tables
+        cut = np.cumsum((CONTEXT * m * DIMENSIONS, m * OUT_WIDTH))
+        self.values = np.empty(cut[1] + NOISE * OUT_WIDTH)
+        context, output, noise = np.split(self.values, cut)
+        self.g_context, self.g_output = context.reshape(CONTEXT, m, DIMENSIONS), output.reshape(m, OUT_WIDTH)
+        self.g_noise = noise.reshape(NOISE, OUT_WIDTH)
+        self.index = np.empty(len(self.values) // 2, dtype=np.int64)
+        context, output, noise = np.split(self.index, cut // 2)
+        self.at_context, self.at_output = context.reshape(CONTEXT, m, -1), output.reshape(m, -1)
+        self.at_noise = noise.reshape(NOISE, -1)
 
 
 def train_slice(model: Model, squares: list[np.ndarray], context: np.ndarray, target: np.ndarray,
                 noise: np.ndarray, rng: np.random.Generator, pace: float = PACE) -> None:
-    """NCE over the given tokens, in shuffled minibatches; updates in place."""
-    order = rng.permutation(len(target))
+    """NCE over the given tokens, in shuffled minibatches; updates in place.
+
+    Gradients of a row add up, in double precision; two neighbouring numbers
+    are added as one complex number, which halves the additions.
+    """
     log_k_noise = np.log(NOISE * noise).astype(np.float32)
-    cumulative = np.cumsum(noise)
-    for at in range(0, len(order), BATCH):
-        pick = order[at : at + BATCH]
-        c, w = context[pick], target[pick]
-        m = len(pick)
-        drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), CLASSES - 1)
-        vectors = model.context[c]                                   # m x CONTEXT x D
-        predicted = np.einsum("mcd,cd->md", vectors, model.place)
-        out_w = model.output[w]
-        true = np.einsum("md,md->m", predicted, out_w) + model.bias[w] - log_k_noise[w]
-        fake = predicted @ model.output[drawn].T + model.bias[drawn] - log_k_noise[drawn]
-        g_true = -1.0 / (1.0 + np.exp(np.clip(true, -30, 30)))        # d loss / d logit
-        g_fake = 1.0 / (1.0 + np.exp(-np.clip(fake, -30, 30)))
-        back = g_true[:, None] * out_w + g_fake @ model.output[drawn]
-        scale = 1.0 / m
-        g_place = np.einsum("mcd,md->cd", vectors, back) * scale
-        g_context = (back[:, None, :] * model.place[None, :, :]).reshape(-1, DIMENSIONS) * scale
-        g_out = np.concatenate((g_true[:, None] * predicted, g_fake.T @ predicted)) * scale
-        g_bias = np.concatenate((g_true, g_fake.sum(0)))[:, None] * scale
-        rows = np.concatenate((w, drawn))
-        _scatter(model.context, squares[0], c.ravel(), g_context, pace)
-        squares[1] += g_place * g_place
-        model.place -= pace * g_place / np.sqrt(squares[1])
-        _scatter(model.output, squares[2], rows, g_out, pace)
-        bias = model.bias[:, None]
-        _scatter(bias, squares[3], rows, g_bias, pace)
+    numbers = _packed(model.context, model.place, model.output, model.bias - log_k_noise)
+    sums = _packed(*squares)
+    vectors, output, place = _unpacked(numbers)
+    pairs = np.arange(FIRST_PLACE // 2)
+    context_pairs, output_pairs = pairs[: FIRST_OUT // 2].reshape(CLASSES + 1, -1), pairs[FIRST_OUT // 2 :].reshape(CLASSES, -1)
+    order = rng.permutation(len(target))
+    before = np.stack([context[:, k].take(order) for k in range(CONTEXT)])
+    words = target.take(order)
+    starts = range(0, len(order), BATCH)
+    noises = np.minimum(np.searchsorted(np.cumsum(noise), rng.random((len(starts), NOISE))), CLASSES - 1)
+    gradient, work = np.empty(len(numbers)), np.empty_like(numbers)
+    m = 0
+    with np.errstate(over="ignore"):  # exp of a large logit: a gradient of 0
+        for at, drawn in zip(starts, noises):
+            c, w = before[:, at : at + BATCH], words[at : at + BATCH]
+            if len(w) != m:
+                m = len(w)
+                s, scale = _Step(m), np.float32(1.0 / m)
+            s.vectors[:] = vectors.take(c, axis=0).transpose(0, 2, 1)
+            predicted = np.multiply(s.vectors[0], place[0], out=s.predicted[:DIMENSIONS])
+            for k in range(1, CONTEXT):
+                predicted += np.multiply(s.vectors[k], place[k], out=s.product[k])
+            s.own[:] = output.take(w, axis=0).T
+            drawn_out = output.take(drawn, axis=0)
+            g_true = np.add.reduce(np.multiply(s.predicted, s.own, out=s.both), axis=0)
+            np.exp(g_true, out=g_true)
+            g_true += 1
+            np.divide(-scale, g_true, out=g_true)                    # d loss / d logit
+            np.matmul(-drawn_out, s.predicted, out=s.fake)
+            np.exp(s.fake, out=s.fake)
+            s.fake += 1
+            g_fake = np.divide(scale, s.fake, out=s.fake)
+            np.matmul(drawn_out[:, :DIMENSIONS].T, g_fake, out=s.back)
+            s.own *= g_true
+            s.back += s.own[:DIMENSIONS]
+            s.g_context[:] = np.multiply(s.back, place, out=s.product).transpose(0, 2, 1)
+            s.g_output[:] = np.multiply(g_true, s.predicted, out=s.both).T
+            s.g_noise[:] = g_fake @ s.predicted.T
+            context_pairs.take(c, axis=0, out=s.at_context, mode="clip")
+            output_pairs.take(w, axis=0, out=s.at_output, mode="clip")
+            output_pairs.take(drawn, axis=0, out=s.at_noise, mode="clip")
+            gradient[:FIRST_PLACE] = 0
+            np.add.at(gradient[:FIRST_PLACE].view(np.complex128), s.index, s.values.view(np.complex128))
+            gradient[FIRST_PLACE:] = np.vecdot(s.vectors, s.back).ravel()
+            step = gradient.astype(np.float32)
+            sums += np.multiply(step, step, out=work)                # AdaGrad
+            step /= np.sqrt(sums, out=work)
+            step *= pace
+            numbers -= step
+    model.context[:], model.place[:] = vectors, place[:, :, 0]
+    model.output[:], model.bias[:] = output[:, :DIMENSIONS], output[:, DIMENSIONS] + log_k_noise
+    vectors, output, place = _unpacked(sums)
+    for square, now in zip(squares, (vectors, place[:, :, 0], output[:, :DIMENSIONS], output[:, DIMENSIONS, None])):
+        square[:] = now
 
 
 def _flat_state(model: Model, squares: list[np.ndarray]) -> np.ndarray:
@@ -386,35 +469,49 @@ def train(rows: DataFrame, vocab: Vocabulary, epochs: int = EPOCHS) -> Model:
 # --------------------------------------------------------------------- scoring
 
 
-def class_log_probabilities(model: Model, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Normalised log10 probability of each target class.
-
-    The normaliser depends on the context alone: each distinct context of the
-    piece is multiplied with all output vectors once.
-    """
-    key = context[:, 0]
-    for k in range(1, CONTEXT):
-        key = key * (CLASSES + 1) + context[:, k]
-    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-    predicted = np.zeros((len(first), DIMENSIONS), dtype=np.float32)
-    for k in range(CONTEXT):
-        predicted += model.context[context[first, k]] * model.place[k]
-    norm = np.empty(len(first))
-    step = 1 << 12
-    for at in range(0, len(first), step):
-        logits = predicted[at : at + step] @ model.output.T
-        logits += model.bias
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        norm[at : at + step] = top + np.log(logits.sum(axis=1, dtype=np.float64))
-    own = np.einsum("md,md->m", predicted[inverse], model.output[target]) + model.bias[target]
-    return (own - norm[inverse]) / np.log(10)
+def logit_tables(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, normalisers): what the class at each place adds to the logits
+    of all classes, the last place with the bias, and the log-sum-exp of the
+    logits for every context. Their size depends on the classes alone."""
+    logits = (model.context * model.place[:, None, :]) @ model.output.T    # CONTEXT x (CLASSES + 1) x CLASSES
+    logits[-1] += model.bias
+    norm = np.empty((CLASSES + 1,) * CONTEXT)
+    for before in np.ndindex(norm.shape[:-1]):
+        given = logits[-1] + sum(logits[k, c] for k, c in enumerate(before))
+        top = given.max(axis=1)
+        given -= top[:, None]
+        np.exp(given, out=given)
+        norm[before] = top + np.log(given.sum(axis=1, dtype=np.float64))
+    return logits, norm
+
+
+def class_log_probabilities(model: Model, context: np.ndarray, target: np.ndarray,
+                            tables: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Normalised log10 probability of each target class; ``tables`` are the
+    model's ``logit_tables``, where they are at hand."""
+    logits, norm = tables or logit_tables(model)
+    before = tuple(context[:, k] for k in range(CONTEXT))
+    own = sum(logits[k][c, target] for k, c in enumerate(before))
+    return (own - norm[before]) / np.log(10)
+
+
+def _counts_of(words: np.ndarray, known: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The count of every word, 0 if not among the sorted ``known``; distinct
+    words are looked up in ascending order."""
+    if not len(known):
+        return np.zeros(len(words), dtype=np.int64)
+    value, number = _numbered(words)
+    order = np.argsort(value)
+    value = value[order]
+    at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+    found = np.empty(len(value), dtype=np.int64)
+    found[order] = np.where(known[at] == value, count[at], 0)
+    return found[number]
 
 
 def _score_group(shared):
     def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        flat, vocab = shared.value
+        flat, tables, vocab = shared.value
         model = _shaped(flat)
         known = counts["word"].to_numpy().view(np.uint64)
         order = np.argsort(known)
@@ -425,18 +522,14 @@ def _score_group(shared):
             ids = chunk["doc_id"].to_pylist()
             for i, j, piece, places in _slices(chunk["text"], SCORE_BYTES):
                 word, tail, head = tokens(piece, places)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, word), len(known) - 1)
-                    c = np.where(known[at] == word, count[at], 0)
-                else:
-                    c = np.zeros(len(word), dtype=np.int64)
+                c = _counts_of(word, known, count)
                 base = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
                 classes = vocab.classify(word, tail)
                 score = np.empty(len(word))
                 context = contexts(classes, head)
                 for a in range(0, len(word), PIECE_TOKENS):
                     score[a : a + PIECE_TOKENS] = class_log_probabilities(
-                        model, context[a : a + PIECE_TOKENS], classes[a : a + PIECE_TOKENS])
+                        model, context[a : a + PIECE_TOKENS], classes[a : a + PIECE_TOKENS], tables)
                 rare = classes > END
                 k = classes[rare]
                 score[rare] += np.log10((c[rare] + 0.1) / (vocab.class_count[k] + 0.1 * (vocab.class_words[k] + 1)))
@@ -457,24 +550,31 @@ def _block_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def out() -> pa.RecordBatch:
-        words = {b: np.unique(np.concatenate(x)) for b, x in held.items()}
         return pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(np.array(list(words), np.int64), [len(x) for x in words.values()])),
-            pa.array(np.concatenate(list(words.values())).view(np.int64))], ["block", "word"])
+            pa.array(np.repeat(np.array(list(held), np.int64), [len(x) for x, in held.values()])),
+            pa.array(np.concatenate([x for x, in held.values()]).view(np.int64))], ["block", "word"])
+
+    def merged() -> dict[int, list]:
+        return {b: x if len(x) == 1 else [_numbered(np.concatenate(x))[0]] for b, x in held.items()}
 
     for batch in batches:
         blocks = batch["block"].to_numpy()
         for i, j, piece, places in _slices(batch["text"]):
             word, _, head = tokens(piece, places)
-            owner = np.repeat(blocks[i:j], np.diff(head))
-            for b in np.unique(blocks[i:j]).tolist():
-                value = np.unique(word[owner == b])
+            present = np.unique(blocks[i:j]).tolist()
+            owner = np.repeat(blocks[i:j], np.diff(head)) if len(present) > 1 else None
+            for b in present:
+                value, _ = _numbered(word if owner is None else word[owner == b])
                 held.setdefault(b, []).append(value)
                 size += len(value)
             if size >= 1 << 20:
-                yield out()
-                held, size = {}, 0
+                held = merged()
+                size = sum(len(x) for x, in held.values())
+                if size >= 3 << 18:
+                    yield out()
+                    held, size = {}, 0
     if size:
+        held = merged()
         yield out()
 
 
@@ -499,9 +599,9 @@ def score_documents(documents: DataFrame, model: Model, vocab: Vocabulary, count
         F.greatest(F.lit(1), F.floor(block_bytes / F.pow(F.lit(2.0), doubling)))).cast("long")
     dealt = rows.select("doc_id", "text", F.xxhash64("file", doubling, F.floor(F.col("row") / run)).alias("block"))
     words = dealt.mapInArrow(_block_words, "block long, word long")
-    # dealt by word once, for the distinct pairs and for the join alike
-    found = words.repartition("word").distinct().join(counts.select("word", "count"), "word").select("block", "word", "count")
-    shared = spark.sparkContext.broadcast((model.flat(), vocab))
+    # a pair that two tasks found is looked up twice and serves as well
+    found = words.join(counts.select("word", "count"), "word").select("block", "word", "count")
+    shared = spark.sparkContext.broadcast((model.flat(), logit_tables(model), vocab))  # fixed size
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score_group(shared), schema)
 

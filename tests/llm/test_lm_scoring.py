@@ -184,3 +184,65 @@ def test_words_of_blocks_are_dealt_once_for_distinct_and_join(spark, workers):
         assert scored.count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def plain_step(model, squares, c, w, drawn, noise):
+    """A step of noise-contrastive estimation as its formulas stand."""
+    m, k_noise = len(w), np.log(L.NOISE * noise)
+    vectors = model.context[c]
+    predicted = (vectors * model.place).sum(1)
+    g_true = -1 / (1 + np.exp((predicted * model.output[w]).sum(1) + model.bias[w] - k_noise[w])) / m
+    g_fake = 1 / (1 + np.exp(-(predicted @ model.output[drawn].T + model.bias[drawn] - k_noise[drawn]))) / m
+    back = g_true[:, None] * model.output[w] + g_fake @ model.output[drawn]
+    grads = [np.zeros(x.shape) for x in squares]
+    np.add.at(grads[0], c, back[:, None, :] * model.place)
+    grads[1] += (vectors * back[:, None, :]).sum(0)
+    np.add.at(grads[2], w, g_true[:, None] * predicted)
+    np.add.at(grads[2], drawn, g_fake.T @ predicted)
+    np.add.at(grads[3], w, g_true[:, None])
+    np.add.at(grads[3], drawn, g_fake.sum(0)[:, None])
+    for x, square, g in zip((model.context, model.place, model.output, model.bias[:, None]), squares, grads):
+        square += g * g
+        x -= L.PACE * g / np.sqrt(square)
+
+
+def test_steps_follow_the_formulas():
+    """Also the last step, which is shorter, and logits of any size."""
+    rng = np.random.default_rng(4)
+    count = rng.integers(1, 99, L.CLASSES)
+    vocab = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), count, np.ones(L.CLASSES, np.int64), int(count.sum()), L.CLASSES)
+    noise, n = L._noise(vocab), 3 * L.BATCH + 77
+    target, context = rng.integers(0, L.CLASSES, n), rng.integers(0, L.CLASSES + 1, (n, L.CONTEXT))
+    start = L.initial_model(vocab).flat()
+    start[L.CLASSES * L.DIMENSIONS] = 2000
+    got, want = L._shaped(start), L._shaped(start)
+    squares, plain = L.initial_squares(got), L.initial_squares(want)
+    L.train_slice(got, squares, context, target, noise, np.random.default_rng(6))
+    again = np.random.default_rng(6)
+    order = again.permutation(n)
+    for at in range(0, n, L.BATCH):
+        drawn = np.minimum(np.searchsorted(np.cumsum(noise), again.random(L.NOISE)), L.CLASSES - 1)
+        with np.errstate(over="ignore"):
+            plain_step(want, plain, context[order[at : at + L.BATCH]], target[order[at : at + L.BATCH]], drawn, noise)
+    assert np.abs(got.flat() - want.flat()).max() < 1e-4 < np.abs(got.flat() - start).max()
+    assert all(a.shape == b.shape and np.allclose(a, b, rtol=1e-3, atol=1e-7) for a, b in zip(squares, plain))
+
+
+def test_normalisers_are_taken_from_the_model_once():
+    """Scoring looks logits and normalisers up; no text computes them again."""
+    rng = np.random.default_rng(2)
+    vocab = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), rng.integers(1, 9, L.CLASSES), np.ones(L.CLASSES, np.int64), 9, 9)
+    model = L._shaped(L.initial_model(vocab).flat() + rng.normal(0, 0.5, len(L.initial_model(vocab).flat())))
+    context, target = rng.integers(0, L.CLASSES + 1, (300, L.CONTEXT)), rng.integers(0, L.CLASSES, 300)
+    tables = L.logit_tables(model)
+    logits = (model.context[context].astype(float) * model.place).sum(1) @ model.output.T + model.bias
+    want = (logits[np.arange(300), target] - np.log(np.exp(logits).sum(1))) / np.log(10)
+    model.context[:] = model.output[:] = 0
+    assert np.allclose(L.class_log_probabilities(model, context, target, tables), want, atol=1e-4)
+
+
+def test_counts_of_words_in_any_order():
+    known = np.array([3, 5, 2**63 + 1], dtype=np.uint64)
+    words = np.array([2**63 + 1, 4, 3, 3, 2**64 - 1, 0], dtype=np.uint64)
+    assert L._counts_of(words, known, np.array([7, 8, 9])).tolist() == [9, 0, 7, 7, 0, 0]
+    assert L._counts_of(words, known[:0], np.zeros(0, np.int64)).tolist() == [0] * 6
