@@ -159,8 +159,10 @@ def check_nodes(words: DataFrame) -> None:
 def near_words(words: DataFrame) -> DataFrame:
     """(id, n_near, best): for every word with neighbours their number and the
     smallest id among them (the best form)."""
+    # Dealt before they are grouped: a task that lists pairs would sort all of
+    # its lists to merge hardly any, as most pairs of a task are different.
     pairs = words.select("id", "word").mapInArrow(
-        _pair_batches, "p long, s long, gap boolean, single boolean, id long")
+        _pair_batches, "p long, s long, gap boolean, single boolean, id long").repartition("p", "s")
     skipped, first = F.when(~F.col("gap"), F.col("id")), F.when(F.col("single"), F.col("id"))
     groups = pairs.groupBy("p", "s").agg(
         F.max(F.when(F.col("gap"), F.col("id"))).alias("short"),

@@ -135,3 +135,13 @@ def test_op13_over_whole_table(workers):
         near = sorted(((-words[v], v) for v in edits - {w} if v in words))
         form = near[0][1] if near and words[near[0][1]] >= 10 * words[w] else None
         assert (got[w].n_near, got[w].form, got[w].form_n) == (len(near), form, words.get(form))
+
+
+def test_pairs_are_dealt_before_they_are_grouped(workers):
+    """No list is made in the tasks that write the pairs; they hold no group."""
+    words = workers.createDataFrame([(0, "seldomly"), (1, "seldomla")], "id long, word string")
+    near = P.near_words(words)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(p") == 1
+    assert plan.rindex("collect_list") < plan.index("hashpartitioning(p") < plan.index("MapInArrow")
+    assert sorted(tuple(r) for r in near.collect()) == [(0, 1, 1), (1, 1, 0)]
