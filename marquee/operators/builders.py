@@ -19,7 +19,7 @@ from marquee.functions import (
     first_token,
     lenient_cast,
 )
-from marquee.operators.joins import left_lookup
+from marquee.operators.joins import Lookup, attach, left_lookup
 
 INT = T.IntegerType()
 LONG = T.LongType()
@@ -83,36 +83,18 @@ def build_titles(basics: DataFrame, ratings_raw: DataFrame | None = None) -> Dat
     )
 
 
-def series_of(titles: DataFrame, series_type: str = S.SERIES_TYPE) -> DataFrame:
-    """The lookup of a series' title and genre by its key."""
-    return titles.filter(F.col("title_type") == F.lit(series_type)).select(
-        F.col("tconst").alias("parent_tconst"),
-        F.col("primary_title").alias("series_title"),
-        "primary_genre",
-    )
-
-
-def build_episodes(
-    episode_raw: DataFrame,
-    titles: DataFrame,
-    series_type: str = S.SERIES_TYPE,
-    small_series: bool = False,
-) -> DataFrame:
-    """Episode hierarchy with the episode's own and its series' attributes.
-
-    ``episode LEFT JOIN titles ON episode = tconst`` gives title, year,
-    runtime and rating of the episode; ``LEFT JOIN (titles of type
-    series_type) ON parent = tconst`` gives the series title and genre.
-    Parents of any other type (a mini series) do not match. A missing year
-    becomes 0 and a missing genre ``Unknown``. ``small_series``: the caller
-    found that the series may be broadcast.
-    """
-    episodes = episode_raw.select(
+def read_episodes(episode_raw: DataFrame) -> DataFrame:
+    """The hierarchy's own columns, typed."""
+    return episode_raw.select(
         F.col("tconst").alias("episode_tconst"),
         F.col("parentTconst").alias("parent_tconst"),
         lenient_cast("seasonNumber", INT).alias("season_number"),
         lenient_cast("episodeNumber", INT).alias("episode_number"),
     )
+
+
+def episode_lookups(titles: DataFrame, series_type: str = S.SERIES_TYPE) -> tuple[Lookup, Lookup]:
+    """The episode's own attributes, and the title and genre of its series."""
     episode_attrs = titles.select(
         F.col("tconst").alias("episode_tconst"),
         F.col("primary_title").alias("episode_title"),
@@ -123,10 +105,16 @@ def build_episodes(
     )
     # Filter before the join: on the right side of a left join it must stay
     # below the join to keep unmatched parents (it is also pushed to the scan).
-    series = series_of(titles, series_type)
-    if small_series:
-        series = F.broadcast(series)
-    joined = left_lookup(left_lookup(episodes, episode_attrs, "episode_tconst"), series, "parent_tconst")
+    series = titles.filter(F.col("title_type") == F.lit(series_type)).select(
+        F.col("tconst").alias("parent_tconst"),
+        F.col("primary_title").alias("series_title"),
+        "primary_genre",
+    )
+    return Lookup(episode_attrs, "episode_tconst"), Lookup(series, "parent_tconst")
+
+
+def episode_columns(joined: DataFrame) -> DataFrame:
+    """Episodes with both lookups -> the dataset's columns."""
     return joined.select(
         "episode_tconst",
         "parent_tconst",
@@ -142,6 +130,22 @@ def build_episodes(
     )
 
 
+def build_episodes(
+    episode_raw: DataFrame,
+    titles: DataFrame,
+    series_type: str = S.SERIES_TYPE,
+) -> DataFrame:
+    """Episode hierarchy with the episode's own and its series' attributes.
+
+    ``episode LEFT JOIN titles ON episode = tconst`` gives title, year,
+    runtime and rating of the episode; ``LEFT JOIN (titles of type
+    series_type) ON parent = tconst`` gives the series title and genre.
+    Parents of any other type (a mini series) do not match. A missing year
+    becomes 0 and a missing genre ``Unknown``.
+    """
+    return episode_columns(attach(read_episodes(episode_raw), episode_lookups(titles, series_type)))
+
+
 def build_episodes_from_basics(
     titles: DataFrame, episode_type: str = S.EPISODE_TYPE
 ) -> DataFrame:
@@ -201,15 +205,11 @@ def read_credits(principals_raw: DataFrame) -> DataFrame:
     )
 
 
-def people_of(names: DataFrame) -> DataFrame:
-    """The person attributes that the bridge carries, by key."""
-    return names.select("nconst", "primary_name", "birth_year", "primary_role")
-
-
-def credit_titles(credits: DataFrame, titles: DataFrame) -> DataFrame:
-    """Credits with the title attributes that the bridge carries."""
+def credit_lookups(names: DataFrame, titles: DataFrame) -> tuple[Lookup, Lookup]:
+    """The person and the title attributes that the bridge carries."""
+    people = names.select("nconst", "primary_name", "birth_year", "primary_role")
     title_attrs = titles.select("tconst", "title_type", "primary_title", "primary_genre")
-    return left_lookup(credits, title_attrs, "tconst")
+    return Lookup(people, "nconst"), Lookup(title_attrs, "tconst")
 
 
 def build_principals(
@@ -221,5 +221,5 @@ def build_principals(
     (tconst)``; only the attributes the bridge carries are projected from
     each dimension before its join. A missing category becomes ``Unknown``.
     """
-    named = left_lookup(read_credits(principals_raw), people_of(names), "nconst")
-    return credit_titles(named, titles).select(*S.PRINCIPALS.columns)
+    credits = read_credits(principals_raw)
+    return attach(credits, credit_lookups(names, titles)).select(*S.PRINCIPALS.columns)

@@ -26,11 +26,20 @@ row. The physical strategy is left to Spark on purpose:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_BYTES = 64 << 20
+LOOKUP_BYTES = 128 << 20
+
+
+@dataclass(frozen=True, eq=False)
+class Lookup:
+    """A dimension's columns that a fact-like dataset takes by ``key``."""
+
+    frame: DataFrame
+    key: str
 
 
 def left_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -39,6 +48,14 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[str]) ->
     return left.join(right, on=keys, how="left")
 
 
+def attach(facts: DataFrame, lookups: Sequence[Lookup], small: Sequence[Lookup] = ()) -> DataFrame:
+    """Every lookup joined to ``facts``, by broadcast those in ``small``."""
+    for lookup in lookups:
+        right = F.broadcast(lookup.frame) if lookup in small else lookup.frame
+        facts = left_lookup(facts, right, lookup.key)
+    return facts
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether all rows of ``df`` take at most ``limit`` bytes (LOOKUP_BYTES) in a hash table."""
     row = F.lit(32 + 16 * len(df.columns))

@@ -14,7 +14,7 @@ principals     if title.principals *and* name.basics are present
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -32,12 +32,13 @@ from marquee.operators.builders import (
     build_principals,
     build_titles,
     clean_basics,
-    credit_titles,
-    people_of,
+    credit_lookups,
+    episode_columns,
+    episode_lookups,
     read_credits,
-    series_of,
+    read_episodes,
 )
-from marquee.operators.joins import fits_broadcast, left_lookup
+from marquee.operators.joins import Lookup, attach, fits_broadcast
 from marquee.operators.sinks import OVERWRITE_MODES
 from marquee.plans.versions import (
     KEEP_VERSIONS,
@@ -48,7 +49,7 @@ from marquee.plans.versions import (
     large_values,
     update_dataset,
 )
-from marquee.session import warn_without_adaptive
+from marquee.session import shuffles_released, warn_without_adaptive
 from marquee.sources.manifest import commit, new_version
 from marquee.sources.tsv import read_raw_inputs
 
@@ -57,28 +58,47 @@ log = logging.getLogger(__name__)
 OPTIONAL_RAW = (S.RAW_RATINGS, S.RAW_EPISODE, S.RAW_PRINCIPALS, S.RAW_AKAS, S.RAW_NAMES)
 
 
-@dataclass
-class Near:
-    """The same dataset where ``lookup`` is small enough to be broadcast: the
-    rows to deal out, and what adds the remaining columns in the write stage."""
-
-    lookup: DataFrame
-    frame: DataFrame
-    finish: Callable[[DataFrame], DataFrame] | None = None
-
-
 @dataclass
 class Dataset:
     """A built dataset and a narrow frame that is empty exactly when it is.
 
-    ``layout`` has the dataset's rows with at least its partition columns,
-    where these are at hand without its joins.
+    Where it is made by lookups, ``frame`` is ``columns`` of ``facts`` with all
+    ``lookups`` attached; ``columns`` derives none but partition columns.
     """
 
     frame: DataFrame
     probe: DataFrame
-    layout: DataFrame | None = None
-    near: Near | None = None
+    facts: DataFrame | None = None
+    lookups: tuple[Lookup, ...] = ()
+    columns: Callable[[DataFrame], DataFrame] = lambda df: df
+
+
+def dealing(ds: Dataset, spec: S.LakeSpec) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame] | None]:
+    """The rows to deal out, a frame that counts their partition values, and
+    what adds the remaining columns in the write stage.
+
+    Small lookups shuffle no facts: they are broadcast, and those without a
+    partition column only where the rows are written. Counting reads a lookup's
+    partition columns alone, so one too large as a whole may be small there.
+    """
+    if ds.facts is None:
+        return ds.frame, ds.frame, None
+    small = [k for k in ds.lookups if fits_broadcast(k.frame)]
+    placing, narrow = [], list(small)
+    for lookup in ds.lookups:
+        placed = [c for c in spec.partition_by if c in lookup.frame.columns]
+        if placed:
+            placing.append(lookup)
+            if lookup not in small and fits_broadcast(lookup.frame.select(lookup.key, *placed)):
+                narrow.append(lookup)
+    late = [k for k in small if k not in placing]
+    frame = attach(ds.facts, [k for k in ds.lookups if k not in late], small)
+    counted = attach(ds.facts, placing, narrow)
+    if len(placing) == len(ds.lookups):
+        counted = ds.columns(counted)
+    if not late:
+        return ds.columns(frame), counted, None
+    return frame, counted, lambda df: attach(df, late, late)
 
 
 def lake_path(lake_dir: str, name: str) -> str:
@@ -98,8 +118,8 @@ def build_episodes_dataset(
 ) -> Dataset:
     episode_raw = inputs.get(S.RAW_EPISODE)
     if episode_raw is not None:
-        near = Near(series_of(titles, series_type), build_episodes(episode_raw, titles, series_type, small_series=True))
-        return Dataset(build_episodes(episode_raw, titles, series_type=series_type), episode_raw, near=near)
+        return Dataset(build_episodes(episode_raw, titles, series_type=series_type), episode_raw,
+                       read_episodes(episode_raw), episode_lookups(titles, series_type), episode_columns)
     fallback = build_episodes_from_basics(titles, episode_type=episode_type)
     return Dataset(fallback, fallback)
 
@@ -123,9 +143,8 @@ def build_principals_dataset(
     if names is None:
         log.warning("principals not built: it needs %s, which is absent", S.RAW_NAMES)
         return None
-    people, credits = people_of(names), read_credits(principals_raw)
-    near = Near(people, credit_titles(credits, titles), lambda df: left_lookup(df, F.broadcast(people), "nconst"))
-    return Dataset(build_principals(principals_raw, names, titles), principals_raw, credits, near)
+    return Dataset(build_principals(principals_raw, names, titles), principals_raw, read_credits(principals_raw),
+                   credit_lookups(names, titles), lambda df: df.select(*S.PRINCIPALS.columns))
 
 
 def build_datasets(
@@ -153,6 +172,12 @@ def build_datasets(
     return {name: ds for name, ds in built.items() if ds is not None}
 
 
+def in_turns(names: Iterable[str]) -> list[list[str]]:
+    """Lists of datasets to write side by side: the facts share one, others have one each."""
+    facts = [n for n in names if n in S.FACTS]
+    return ([facts] if facts else []) + [[n] for n in names if n not in S.FACTS]
+
+
 def build_all(
     inputs: dict[str, DataFrame | None],
     series_type: str = S.SERIES_TYPE,
@@ -194,11 +219,12 @@ def run_etl(
 
     Partition values with fewer than ``pool_rows`` rows share files (0: each
     has a directory). The datasets are independent and run as concurrent Spark
-    jobs, so the tail of one overlaps the others.
+    jobs, so the tail of one overlaps the others; the facts take turns.
 
-    Names and series of at most ``LOOKUP_BYTES`` are broadcast, so the credits
-    and episodes, the largest datasets, are shuffled for their titles and for
-    their layout only, the credits without the persons' columns.
+    Lookups of at most ``LOOKUP_BYTES`` are broadcast, so the credits and
+    episodes, the largest datasets, are shuffled for their layout only, the
+    credits without the columns of persons and titles (see ``dealing``). Each
+    job's shuffle files go when it ends.
     """
     if mode not in OVERWRITE_MODES:
         raise ValueError(f"mode must be one of {OVERWRITE_MODES}, got {mode!r}")
@@ -222,23 +248,26 @@ def run_etl(
             counts[name] = 0
             return
         old = state.get(name, ()) if mode == "dynamic" else ()
-        frame, finish = ds.frame, None
-        if ds.near is not None and fits_broadcast(ds.near.lookup):
-            frame, finish = ds.near.frame, ds.near.finish
-        large = large_values(frame if ds.layout is None else ds.layout, spec, pool_rows)
+        frame, counted, finish = dealing(ds, spec)
+        large = large_values(counted, spec, pool_rows)
         state[name], counts[name] = update_dataset(
             spark, lake_dir, version, frame, spec, old, large, pool_rows, finish)
 
+    def write_all(names: list[str]) -> None:
+        for name in names:
+            write(name)
+
     try:
-        write("titles")
-        rest = [n for n in datasets if n != "titles"]
-        if concurrent and rest:
-            with ThreadPoolExecutor(max_workers=len(rest), thread_name_prefix="etl") as pool:
-                for future in [pool.submit(write, n) for n in rest]:
-                    future.result()
-        else:
-            for name in rest:
-                write(name)
+        with shuffles_released(spark):
+            write("titles")
+            rest = [n for n in datasets if n != "titles"]
+            if concurrent and rest:
+                turns = in_turns(rest)
+                with ThreadPoolExecutor(max_workers=len(turns), thread_name_prefix="etl") as pool:
+                    for future in [pool.submit(write_all, names) for names in turns]:
+                        future.result()
+            else:
+                write_all(rest)
         commit(spark, lake_dir, version, state, base)
     except BaseException:
         discard(spark, lake_dir, version)

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from marquee import schemas as S
 from marquee.functions import lenient_cast
 from marquee.operators.sinks import layout_for_write
-from marquee.plans.etl import lake_path
-from marquee.session import warn_without_adaptive
+from marquee.plans.etl import in_turns, lake_path
+from marquee.session import shuffles_released, warn_without_adaptive
 from marquee.sources.lake import read_lake, read_version
 from marquee.sources.manifest import new_version, read_state
 from marquee.sources.tsv import path_exists
@@ -265,7 +265,8 @@ def refresh_serving(
     (see the module's text): a missing dataset, a failed load or a failed
     catalog statement leaves all five tables as they were. An absent optional
     dataset empties its table (row count None). The loads run as concurrent
-    Spark jobs.
+    Spark jobs, those of the facts one after another; each job's shuffle files
+    go when it ends.
     """
     present = _lake_datasets(spark, lake_dir)
     warn_without_adaptive(spark, log)
@@ -276,20 +277,26 @@ def refresh_serving(
     def load(name: str) -> dict[str, int] | None:
         return load_table(spark, present[name], database, name, version) if name in present else None
 
+    def load_all(names: Iterable[str]) -> dict[str, dict[str, int] | None]:
+        return {name: load(name) for name in names}
+
+    stats: dict[str, dict[str, int] | None] = {}
     try:
         for spec in S.SERVING.values():
             _run(spark, create_table_sql(database, spec, version))
-        if concurrent:
-            with ThreadPoolExecutor(max_workers=len(S.SERVING), thread_name_prefix="serve") as pool:
-                futures = {name: pool.submit(load, name) for name in S.SERVING}
-                stats = {name: f.result() for name, f in futures.items()}
-        else:
-            stats = {name: load(name) for name in S.SERVING}
+        with shuffles_released(spark):
+            if concurrent:
+                turns = in_turns(S.SERVING)
+                with ThreadPoolExecutor(max_workers=len(turns), thread_name_prefix="serve") as pool:
+                    for future in [pool.submit(load_all, names) for names in turns]:
+                        stats.update(future.result())
+            else:
+                stats.update(load_all(S.SERVING))
         _publish(spark, database, version)
     except BaseException:
         _drop_version(spark, database, version)
         raise
-    counts = LoadCounts(stats)
+    counts = LoadCounts({name: stats[name] for name in S.SERVING})
     for name, found in counts.out_of_range.items():
         for column, n in found.items():
             log.warning("%s.%s: %s value(s) outside the serving range were kept", name, column, n)

@@ -151,6 +151,10 @@ LAKE: dict[str, LakeSpec] = {s.name: s for s in (TITLES, EPISODES, NAMES, AKAS,
 # Order in which the pipeline builds and reports the datasets.
 DATASET_ORDER = ("titles", "episodes", "names", "akas", "principals")
 
+# The largest datasets: written one after another, so that the shuffle files of
+# only one of them are on disk at a time.
+FACTS = ("episodes", "principals")
+
 # --------------------------------------------------------------------------
 # Serving tables
 # --------------------------------------------------------------------------

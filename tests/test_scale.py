@@ -10,12 +10,16 @@ import contextlib
 import glob
 import io
 import os
+import threading
+import time
 
+import pyarrow.parquet as pq
 import pytest
 
+from marquee import schemas as S
 from marquee.operators.joins import left_lookup
-from marquee.operators.sinks import write_partitioned
-from marquee.session import scratch_path
+from marquee.operators.sinks import write_partitioned, write_routed
+from marquee.session import SHUFFLE_CLEANUP, scratch_path, shuffles_released
 from test_lake import local
 
 SKEW_CONF = {
@@ -198,3 +202,108 @@ def test_small_lookups_shuffle_no_facts(spark, raw, monkeypatch):
     finally:
         spark.conf.set(threshold, old)
     assert lakes[0] == lakes[1] and len(lakes[0]["principals"]) == 4
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_runs_leave_no_shuffle_files(spark, raw, skew_conf):
+    from marquee.plans import refresh_serving, run_etl
+
+    before, lake = _shuffle_files(spark), scratch_path(spark, "released")
+    spark.range(1000).repartition(4, "id").count()
+    kept = _shuffle_files(spark) - before
+    assert kept  # without it they stay
+    run_etl(spark, raw, lake)
+    refresh_serving(spark, lake, "released", scratch_path(spark, "released-db"))
+    left = set()
+    for _ in range(40):  # removed in the background
+        left = _shuffle_files(spark) - before - kept
+        if len({f.split("_")[1] for f in left}) <= 4:
+            break
+        time.sleep(0.25)
+    # what stays: the persisted titles' join with the ratings, small jobs beside the writes
+    assert len({f.split("_")[1] for f in left}) <= 4
+    assert spark.conf.get(SHUFFLE_CLEANUP) != "true"
+
+
+def test_shuffles_released_restores_the_setting(spark):
+    old = spark.conf.get(SHUFFLE_CLEANUP)
+    with pytest.raises(ValueError), shuffles_released(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == old
+
+
+def test_facts_are_written_in_turns(spark, raw, monkeypatch):
+    from marquee.plans import etl, refresh_serving, run_etl, serving
+
+    active, met, lock = set(), [], threading.Lock()
+
+    def timed(real, name_of):
+        def call(*args):
+            name = name_of(args)
+            with lock:
+                active.add(name)
+                met.append(set(active))
+            try:
+                return real(*args)
+            finally:
+                with lock:
+                    active.discard(name)
+        return call
+
+    monkeypatch.setattr(etl, "update_dataset", timed(etl.update_dataset, lambda a: a[4].name))
+    monkeypatch.setattr(serving, "load_table", timed(serving.load_table, lambda a: a[3]))
+    lake = scratch_path(spark, "turns")
+    counts = run_etl(spark, raw, lake)
+    loaded = refresh_serving(spark, lake, "turns", scratch_path(spark, "turns-db"))
+    assert {n for m in met for n in m} == set(S.DATASET_ORDER)
+    assert not any(m >= set(S.FACTS) for m in met)
+    assert dict(loaded) == counts and list(loaded) == list(S.SERVING)
+
+
+def test_files_of_a_value_are_sorted_by_key(spark):
+    from marquee.plans.versions import large_values
+
+    rows = spark.range(4000).selectExpr(
+        "CAST(xxhash64(id) AS STRING) AS tconst", "CAST(id % 7 AS INT) AS ordering", "CAST(id AS STRING) AS nconst",
+        "CASE WHEN id % 3 = 0 THEN 'actor' WHEN id % 8 = 1 THEN 'self' ELSE 'writer' END AS category",
+        "'' AS job", "'' AS characters", "'' AS title_type", "'' AS primary_title", "'' AS primary_genre")
+    names = rows.selectExpr("nconst", "'Ann' AS primary_name", "1 AS birth_year", "'' AS primary_role")
+    path, large = scratch_path(spark, "by-key"), large_values(rows, S.PRINCIPALS, 1000)
+    write_routed(rows, path, S.PRINCIPALS, large, finish=lambda df: left_lookup(df, names.hint("broadcast"), "nconst"))
+    files = glob.glob(f"{local(path)}/**/*.parquet", recursive=True)
+    found = 0
+    for file in files:
+        table = pq.ParquetFile(file).read().to_pylist()
+        keys = [(r["key_category"] or "", r["tconst"], r["ordering"]) for r in table]
+        assert keys == sorted(keys), file
+        found += len(keys)
+    assert found == 4000 and len(large) == 2 and len(files) >= 3
+
+
+def test_small_titles_shuffle_no_facts(spark, raw, monkeypatch):
+    from marquee.operators import joins
+    from marquee.plans import etl
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit in (joins.LOOKUP_BYTES, 500, 0):  # all, some, none are small
+            monkeypatch.setattr(joins, "LOOKUP_BYTES", limit)
+            datasets = etl.build_datasets(raw)
+            for name in S.FACTS:
+                frame, counted, finish = etl.dealing(datasets[name], S.LAKE[name])
+                plan = frame._jdf.queryExecution().executedPlan().toString()
+                key = S.LAKE[name].key[0]
+                if limit != 500:
+                    assert (f"hashpartitioning({key}" in plan) == (limit == 0), (name, limit)
+                whole = frame if finish is None else finish(frame).select(*S.LAKE[name].columns)
+                assert sorted(whole.collect(), key=str) == sorted(datasets[name].frame.collect(), key=str)
+                parts = list(S.LAKE[name].partition_by)
+                assert sorted(counted.select(parts).collect(), key=str) == sorted(whole.select(parts).collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
